@@ -28,7 +28,10 @@ from pyspark.sql import functions as F
 from tidemark.operators.sizing import any_null
 
 ACTION = "_action"
-INSERT, UPDATE, KEEP, SOFT_DELETE = "insert", "update", "keep", "soft_delete"
+ACTIONS = INSERT, UPDATE, KEEP, SOFT_DELETE = "insert", "update", "keep", "soft_delete"
+METRICS = (
+    "num_affected_rows bigint, num_updated_rows bigint, num_deleted_rows bigint, num_inserted_rows bigint"
+)
 
 # One side of the merge: a (possibly nested) column path to a Column.
 Side = Callable[[str], Column]
@@ -156,12 +159,11 @@ def _key_match(keys: tuple[str, ...]) -> Column:
 
 
 def _matched(t: DataFrame, s: DataFrame, spec: MergeSpec, out: list[str], broadcast_source: bool) -> DataFrame:
-    s = s.withColumn("_in_source", F.lit(True))
     joined = t.alias("t").join(
         (F.broadcast(s) if broadcast_source else s).alias("s"), _key_match(spec.keys), "left"
     )
     target, source = _side("t"), _side("s")
-    found = F.col("s._in_source").isNotNull()
+    found = source(spec.keys[0]).isNotNull()
     update = _holds(spec.update_when(target, source)) if spec.update_when else F.lit(True)
     action = F.when(found & update, UPDATE)
     if spec.by_source_when:

@@ -4,34 +4,48 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 BROADCAST_BYTES = 64 << 20
 # Partition values that may travel through the driver as a literal filter.
 LITERAL_PARTITIONS = 500
 
 
+def row_bytes(schema: StructType) -> Column:
+    """An upper bound of a row's size in memory.
+
+    Fixed-width fields take a word each and text its bytes; nested fields are measured
+    by twice their JSON text, which names every field it holds.
+    """
+    fixed = 16 * (len(schema.fields) + 2)
+    total = F.lit(fixed).cast("bigint")
+    for f in schema.fields:
+        value = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            total = total + F.coalesce(F.octet_length(value), F.lit(0))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            text = F.octet_length(F.to_json(F.struct(value)))
+            total = total + 2 * text + 16 * f.dataType.simpleString().count(":")
+    return total
+
+
+def measured(df: DataFrame) -> int:
+    """Upper bound of the data's size in memory, from one pass over it."""
+    return df.agg(total_bytes(df.schema)).first()[0]
+
+
+def total_bytes(schema: StructType) -> Column:
+    return F.coalesce(F.sum(row_bytes(schema)), F.lit(0)).alias("bytes")
+
+
 def file_bytes(df: DataFrame) -> int:
     """Bytes on disk behind a file scan; reads file metadata, not the columns."""
     files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
     return files.agg(F.sum("file_size")).first()[0] or 0
 
 
-def fits_broadcast(staged: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether a staged file scan is proven small enough to broadcast.
-
-    Compressed files can unpack to many times their size, so files that look small
-    are measured: JSON text plus a per-field allowance bounds the row format.
-    """
-    if limit <= 0 or file_bytes(staged) > limit:
-        return False
-    per_row = 16 * (len(staged.columns) + 2)
-    text = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in staged.columns])))
-    rows, chars = staged.agg(F.count("*"), F.coalesce(F.sum(text), F.lit(0))).first()
-    return rows * per_row + 2 * chars <= limit
-
-
 def any_null(columns: list[str] | tuple[str, ...]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
 
@@ -43,23 +57,29 @@ def same_partition(left: str, right: str, columns: tuple[str, ...]) -> Column:
     )
 
 
-def only_partitions(
-    df: DataFrame, touched: DataFrame, columns: tuple[str, ...], literal_limit: int = LITERAL_PARTITIONS
-) -> DataFrame:
-    """Rows of ``df`` in the partitions listed by ``touched``.
+def listed_partitions(
+    rows: DataFrame, columns: tuple[str, ...], limit: int = LITERAL_PARTITIONS
+) -> list[Row] | None:
+    """The distinct partitions of ``rows``, or None if there are more than ``limit``."""
+    listed = rows.select(*columns).distinct().limit(limit + 1).collect()
+    return listed if len(listed) <= limit else None
+
+
+def only_partitions(df: DataFrame, touched: DataFrame | list[Row], columns: tuple[str, ...]) -> DataFrame:
+    """Rows of ``df`` in the partitions given as a list or as the rows of a DataFrame.
 
-    Few partitions become a literal filter, so the scan lists only those folders;
-    with more, a semi join says the same without passing them through the driver.
+    A list becomes a literal filter, so the scan opens only those folders; a DataFrame
+    is for longer lists and becomes a semi join, which keeps them off the driver.
     """
-    values = touched.select(*columns).distinct()
-    listed = values.limit(literal_limit + 1).collect()
-    if len(listed) > literal_limit:
-        return (
-            df.alias("d").join(values.alias("v"), same_partition("d", "v", columns), "left_semi")
-        )
-    if not listed:
+    if isinstance(touched, DataFrame):
+        values = touched.select(*columns).distinct()
+        return df.alias("d").join(values.alias("v"), same_partition("d", "v", columns), "left_semi")
+    if not touched:
         return df.limit(0)
-    terms = [
-        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(row[c])) for c in columns]) for row in listed
-    ]
+    if len(columns) == 1:
+        (c,) = columns
+        values = [row[c] for row in touched]
+        term = F.col(c).isin([v for v in values if v is not None])
+        return df.filter(term | F.col(c).isNull() if None in values else term)
+    terms = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(row[c])) for c in columns]) for row in touched]
     return df.filter(reduce(lambda a, b: a | b, terms))

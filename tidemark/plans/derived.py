@@ -37,4 +37,4 @@ class DerivedTable:
         check_unique(rows, self.spec.keys)
         if not catalog.exists(spark, self.name):
             catalog.create_as(rows, self.name, self.spec.partition_by)
-        return catalog.merge_into(rows, self.name, self.spec)
+        return catalog.merge_into(rows, self.name, self.spec, frozen=True)

@@ -135,5 +135,5 @@ def typed_pulls(rows: DataFrame) -> DataFrame:
         "is_draft",
         times_in_struct(F.col("time"), TIMES).alias("time"),
         "metrics",
-        none_if_empty(reviews).alias("reviews"),
+        F.when(F.array_size("reviews") > 0, reviews).alias("reviews"),
     )

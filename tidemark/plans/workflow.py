@@ -67,7 +67,7 @@ def run_all(
 
     landed_orgs = landing.orgs.join(configured, "org_name", "left_semi")
     snapshot = stage(orgs.org_snapshot(landed_orgs, day), "orgs")
-    report = [_merged(spark, database, orgs.TABLE, snapshot, policies.ORG_SNAPSHOT)]
+    report = [_merged(spark, database, orgs.TABLE, snapshot, policies.ORG_SNAPSHOT, frozen=True)]
 
     listed = orgs.listed_repos(snapshot)
     wanted = spark.createDataFrame([(n,) for n in repo_names], "repo_name string")
@@ -86,7 +86,7 @@ def run_all(
         report.append(_merged(spark, database, contributors.TABLE, rows, policies.CONTRIBUTORS))
     if landing.pulls is not None:
         facts, rejects = _pull_rows(spark, database, landing, in_scope, at, mode)
-        counts = _merged(spark, database, pulls.TABLE, facts, policies.PULLS)
+        counts = _merged(spark, database, pulls.TABLE, facts, policies.PULLS, frozen=True)
         set_aside = rejects.agg(F.count("*").alias("num_rejected_rows"))
         report.append(counts.withColumn("num_rejected_rows", set_aside.scalar()))
     if landing.expectations is not None:
@@ -120,6 +120,6 @@ def _pull_rows(spark, database, landing, in_scope, at, mode) -> tuple[DataFrame,
     return pulls.pull_facts(stage(pulls.with_details(rows, details, reviews), "pulls"))
 
 
-def _merged(spark, database, table, rows, spec) -> DataFrame:
-    counts = catalog.merge_into(rows, f"{database}.{table}", spec)
+def _merged(spark, database, table, rows, spec, frozen=False) -> DataFrame:
+    counts = catalog.merge_into(rows, f"{database}.{table}", spec, frozen=frozen)
     return counts.withColumn("table_name", F.lit(table))

@@ -14,13 +14,19 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators.merge import (
     ACTION,
+    ACTIONS,
+    INSERT,
     KEEP,
+    METRICS,
+    SOFT_DELETE,
+    UPDATE,
+    DuplicateKeys,
     MergeSpec,
     check_columns,
     check_unique,
@@ -28,8 +34,14 @@ from tidemark.operators.merge import (
     merge_metrics,
     merge_plan,
 )
-from tidemark.operators.sizing import BROADCAST_BYTES, fits_broadcast, only_partitions
-from tidemark.sources.staging import stage
+from tidemark.operators.sizing import (
+    BROADCAST_BYTES,
+    LITERAL_PARTITIONS,
+    listed_partitions,
+    measured,
+    only_partitions,
+)
+from tidemark.sources.staging import stage, stage_measured
 
 
 def split_name(spark: SparkSession, name: str) -> tuple[str, str]:
@@ -139,40 +151,81 @@ def merge_into(
     name: str,
     spec: MergeSpec,
     broadcast_limit: int = BROADCAST_BYTES,
+    frozen: bool = False,
 ) -> DataFrame:
-    """Merge ``source`` into the table, creating it first if absent; returns the counts.
+    """Merge ``source`` into the table, creating it from the source if absent.
 
-    The source is staged once. A first, narrow pass over keys and condition columns
-    decides what happens to each row and where; the wide pass then rewrites only what
-    changes: nothing, the touched partitions, or a new version of the table.
+    Returns the counts of ``merge_metrics``. The source is staged once, unless it is
+    ``frozen``: read from files that do not change. A first, narrow pass over keys and
+    condition columns decides what happens to each row and where; the wide pass then
+    rewrites only what changes: nothing, the touched partitions, or the whole table as
+    its next version.
     """
     spark = source.sparkSession
-    target = ensure_like(source, name, spec.partition_by)
+    if not exists(spark, name):
+        return _bootstrap(source, name, spec)
+    target = spark.table(name)
     check_columns(target, source, spec)
-    source = stage(source.select(*target.columns), "merge-source")
+    source = source.select(*target.columns)
+    source, size = (source, measured(source)) if frozen else stage_measured(source, "merge-source")
     check_unique(source, spec.keys)
-    small = fits_broadcast(source, broadcast_limit)
+    small = size <= broadcast_limit
 
     parts = tuple(_partition_columns(spark, name))
     if not set(parts) <= set(spec.keys):
         raise ValueError(f"{name} is partitioned by {parts}, which are not all merge keys")
     if parts and not spec.by_source_when:
-        target = only_partitions(target, source, parts)
+        listed = listed_partitions(source, parts)
+        target = only_partitions(target, source if listed is None else listed, parts)
     actions = merge_actions(target, source, replace(spec, partition_by=parts), small)
-    tally = stage(actions.groupBy(ACTION, *parts).agg(F.count("*").alias("_rows")), "merge-tally")
-    metrics = merge_metrics(tally)
-
-    changed = tally.filter(F.col(ACTION) != KEEP)
-    if not changed.isEmpty():
-        if parts:
-            target = only_partitions(target, changed, parts)
-            source = only_partitions(source, changed, parts)
-            overwrite_partitions(merge_plan(target, source, spec, small).drop(ACTION), name)
-        else:
-            publish(merge_plan(target, source, spec, small).drop(ACTION), name)
+    tally, metrics, changed = _decide(actions.groupBy(ACTION, *parts).agg(F.count("*").alias("_rows")), parts)
+    if changed == []:
+        return metrics
+    if parts:
+        touched = tally.filter(F.col(ACTION) != KEEP) if changed is None else changed
+        target, source = (only_partitions(df, touched, parts) for df in (target, source))
+    merged = merge_plan(target, source, spec, small).drop(ACTION)
+    if parts:
+        overwrite_partitions(merged, name)
+    else:
+        publish(merged, name)
     return metrics
 
 
+def _decide(tally: DataFrame, parts: tuple[str, ...]) -> tuple[DataFrame, DataFrame, list[Row] | None]:
+    """(tally, its metrics, changed partitions), computing the tally once.
+
+    A tally of few partitions is fetched and the metrics are worked out from its rows;
+    a longer one is staged, and the changed partitions are not listed (None). Without
+    partitions the whole table counts as one.
+    """
+    spark = tally.sparkSession
+    rows = tally.limit(LITERAL_PARTITIONS + 1).collect()
+    if len(rows) > LITERAL_PARTITIONS:
+        tally = stage(tally, "merge-tally")
+        counts = merge_metrics(tally).first()
+        changed = None if counts["num_affected_rows"] else []
+        return tally, spark.createDataFrame([counts], METRICS), changed
+    count = {action: sum(r["_rows"] for r in rows if r[ACTION] == action) for action in ACTIONS}
+    updated = count[UPDATE] + count[SOFT_DELETE]
+    metrics = [(updated + count[INSERT], updated, 0, count[INSERT])]
+    changed = {tuple(r[c] for c in parts): r for r in rows if r[ACTION] != KEEP}
+    return tally, spark.createDataFrame(metrics, METRICS), list(changed.values())
+
+
+def _bootstrap(source: DataFrame, name: str, spec: MergeSpec) -> DataFrame:
+    """First run: everything is inserted, so the source becomes the table as it is."""
+    spark = source.sparkSession
+    table = create_as(source, name, spec.partition_by)
+    try:
+        check_unique(table, spec.keys)
+    except DuplicateKeys:
+        drop(spark, name)
+        raise
+    rows = table.count()
+    return spark.createDataFrame([(rows, 0, 0, rows)], METRICS)
+
+
 def drop(spark: SparkSession, name: str, purge: bool = True) -> bool:
     """Drop the table, with its files if ``purge``. False if there was none."""
     if not exists(spark, name):
@@ -243,6 +296,8 @@ def _first_version(df: DataFrame, name: str, partition_by: tuple[str, ...]) -> D
     database, table = split_name(spark, name)
     home = spark.catalog.getDatabase(database).locationUri.rstrip("/")
     path = _version_path(f"{home}/{table}")
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.format("parquet").option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

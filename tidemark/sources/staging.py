@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
+from tidemark.operators.sizing import total_bytes
 from tidemark.session import scratch_path
 
 
@@ -15,6 +16,16 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_measured(df: DataFrame, label: str = "stage") -> tuple[DataFrame, int]:
+    """``stage`` that also returns an upper bound of the data's size in memory.
+
+    The size is summed by the writing tasks, so measuring costs no further pass.
+    """
+    seen = Observation()
+    staged = stage(df.observe(seen, total_bytes(df.schema)), label)
+    return staged, seen.get["bytes"]
+
+
 def sql_over(spark: SparkSession, query: str, **frames: DataFrame) -> DataFrame:
     """Run SQL over DataFrames named in braces, without global view names.
 

@@ -1,0 +1,82 @@
+import json
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tidemark.sources import landed
+
+ELEMENT = "array<struct<id: bigint, name: string>>"
+
+
+@pytest.fixture
+def folder(tmp_path):
+    def write(files):
+        for name, text in files.items():
+            path = tmp_path / name
+            path.parent.mkdir(parents=True, exist_ok=True)
+            path.write_text(text)
+        return str(tmp_path)
+
+    return write
+
+
+def test_pages_are_concatenated(spark, folder):
+    root = folder(
+        {
+            "p/1.json": '[{"id": 1, "name": "a"},\n {"id": 2, "name": null}]',
+            "p/2.json": '{"id": 3, "name": "c", "other": [1, 2]}',
+            "p/3.json": "[]",
+        }
+    )
+    got = landed.read_pages(spark, f"{root}/p", ELEMENT).select("record.*")
+    assert rows(got) == [(1, "a"), (2, None), (3, "c")]
+
+
+def test_pages_by_line(spark, folder):
+    root = folder({"p/all.txt": '[{"id": 1, "name": "a"}]\n{"id": 2, "name": "b"}\n'})
+    assert rows(landed.read_pages(spark, f"{root}/p", ELEMENT, one_per_file=False).select("record.*")) == [(1, "a"), (2, "b")]
+
+
+def test_varying_records(spark):
+    texts = spark.createDataFrame(
+        [('{"a": {"b": ["x"]}, "n": 1}',), ('{"n": "text"}',), ("broken",), (None,)], "value string"
+    )
+    got = texts.select(*landed.pick_fields(F.col("value"), {"b": ("$.a.b", "array<string>"), "n": ("$.n", "int")}))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(["x"], 1), (None, None), (None, None), (None, None)], key=str)
+    inferred = landed.infer_records(texts)
+    assert dict(inferred.dtypes) == {"a": "struct<b:array<string>>", "n": "variant"}
+    assert inferred.count() == 4 and inferred.select(F.explode("a.b")).first()[0] == "x"
+    with pytest.raises(ValueError, match="no JSON object"):
+        landed.infer_schema(texts.filter("value = 'broken'"))
+
+
+def test_keys(spark):
+    texts = spark.createDataFrame(
+        [('{"title": 1, "properties": {"x": 1, "y": 2}}',), ('{"extra": 1, "properties": {"z": 1}}',), ("[]",)], "d string"
+    )
+    assert rows(landed.top_level_keys(texts, "d")) == [("extra",), ("properties",), ("title",)]
+    assert rows(landed.property_keys(texts, "d")) == [("x",), ("y",), ("z",)]
+
+
+def test_catalogue(spark, folder):
+    root = folder(
+        {
+            "core/schemas/ExpectA.json": '{"title": "A"}\n',
+            "core/schemas/ExpectB.json": '{"title":\n "B"}',
+            "core/schemas/other.json": "{}",
+            "readme.md": "x",
+        }
+    )
+    found = landed.file_catalogue(spark, root, "core/schemas/Expect")
+    assert sorted(json.loads(r["value"])["title"] for r in found.collect()) == ["A", "B"]
+    with pytest.raises(ValueError, match="starts with"):
+        landed.file_catalogue(spark, root, "core/none/")
+
+
+def test_fallback(spark, folder):
+    root = folder({"good/a.json": '{"x": 1}', "bad/a.json": "<html>", "spare/a.json": '{"x": 2}'})
+    read = lambda primary: landed.read_with_fallback(spark, f"{root}/{primary}", f"{root}/spare").first()["value"]
+    assert read("good") == '{"x": 1}'
+    assert read("bad") == '{"x": 2}'
+    assert read("absent") == '{"x": 2}'

@@ -83,7 +83,9 @@ def cluster_table(
     spark: SparkSession, name: str, columns: list[str], target_bytes: int = TARGET_FILE_BYTES
 ) -> DataFrame:
     """Rewrite a table clustered by several columns; returns its layout before and after."""
-    table = spark.table(name)
+    table = catalog.read(spark, name)
+    if table is None:
+        raise ValueError(f"there is no table {name}")
     absent = [c for c in columns if c not in table.columns]
     if absent or not columns:
         raise ValueError(f"cannot cluster {name} by {columns}; missing: {absent}")

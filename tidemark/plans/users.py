@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.policies import USERS
 from tidemark.plans.derived import DerivedTable
+from tidemark.sources import catalog
 
 
 def latest_snapshot(snapshots: DataFrame) -> DataFrame:
@@ -25,4 +26,4 @@ def current_users(snapshots: DataFrame) -> DataFrame:
 
 
 def users_table(name: str, orgs_table: str) -> DerivedTable:
-    return DerivedTable(name, lambda spark: current_users(spark.table(orgs_table)), USERS)
+    return DerivedTable(name, lambda spark: current_users(catalog.read(spark, orgs_table)), USERS)

@@ -60,8 +60,15 @@ def exists(spark: SparkSession, name: str) -> bool:
 
 
 def read(spark: SparkSession, name: str) -> DataFrame | None:
-    """The table, or None if there is none."""
-    return spark.table(name) if exists(spark, name) else None
+    """The table's current version, or None if there is none.
+
+    A session remembers where a table was when it first read it; the refresh makes it
+    see a version that another session has published since.
+    """
+    if not exists(spark, name):
+        return None
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
 
 
 def parse_ddl(ddl: str) -> StructType:
@@ -91,9 +98,8 @@ def create(
 def ensure_like(like: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """The table, created empty with ``like``'s columns if it is absent."""
     spark = like.sparkSession
-    if exists(spark, name):
-        return spark.table(name)
-    return _first_version(like.limit(0), name, partition_by)
+    found = read(spark, name)
+    return _first_version(like.limit(0), name, partition_by) if found is None else found
 
 
 def create_as(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -162,9 +168,9 @@ def merge_into(
     its next version.
     """
     spark = source.sparkSession
-    if not exists(spark, name):
+    target = read(spark, name)
+    if target is None:
         return _bootstrap(source, name, spec)
-    target = spark.table(name)
     check_columns(target, source, spec)
     source = source.select(*target.columns)
     source, size = (source, measured(source)) if frozen else stage_measured(source, "merge-source")

@@ -65,9 +65,24 @@ def pick_fields(text: Column, fields: Mapping[str, tuple[str, str]]) -> list[Col
     return [F.try_variant_get(doc, path, kind).alias(name) for name, (path, kind) in fields.items()]
 
 
-def infer_records(spark: SparkSession, texts: DataFrame, column: str = "value") -> DataFrame:
-    """Records of unknown shape, with the schema inferred over all of them."""
-    return spark.read.json(texts.select(F.col(column).cast("string")))
+def infer_schema(texts: DataFrame, column: str = "value") -> str:
+    """DDL of the struct that holds every field of the JSON objects in ``column``.
+
+    The schema is merged by an aggregate over all texts, so only it reaches the driver.
+    A field with types that do not agree becomes a variant, one always null a string;
+    texts that are not objects are left out.
+    """
+    doc = F.try_parse_json(column)
+    is_object = F.startswith(F.schema_of_variant(doc), F.lit("OBJECT<"))
+    kind = texts.filter(is_object).agg(F.schema_of_variant_agg(doc)).first()[0]
+    if not kind or not kind.startswith("OBJECT<"):
+        raise ValueError("there is no JSON object to infer a schema from")
+    return kind.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
+
+
+def infer_records(texts: DataFrame, column: str = "value") -> DataFrame:
+    """Records of unknown shape, one column per field found in any of them."""
+    return texts.select(F.from_json(column, infer_schema(texts, column)).alias("r")).select("r.*")
 
 
 def top_level_keys(texts: DataFrame, column: str) -> DataFrame:

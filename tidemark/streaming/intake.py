@@ -55,4 +55,7 @@ def merge_stream(
         .start()
     )
     query.awaitTermination()
+    # Batches run in a session of their own; this one may have an older version in mind.
+    if catalog.exists(spark, table):
+        spark.catalog.refreshTable(table)
     return query

@@ -121,8 +121,34 @@ def merge_plan(
 def merge_actions(
     target: DataFrame, source: DataFrame, spec: MergeSpec, broadcast_source: bool = False
 ) -> DataFrame:
-    """The action per row without the rows: reads keys and condition columns only."""
-    return merge_plan(target, source, spec, broadcast_source, columns=list(spec.partition_by))
+    """Keys and action of every row: reads no more than key and condition columns."""
+    return merge_plan(target, source, spec, broadcast_source, columns=list(spec.keys))
+
+
+def merge_decided(
+    target: DataFrame, source: DataFrame, spec: MergeSpec, changed: DataFrame, broadcast_updates: bool = False
+) -> DataFrame:
+    """The merged rows, given the changed keys that ``merge_actions`` found.
+
+    For policies without a by-source clause. Only source rows that update something
+    meet the target; they are often few where the source is large, and may then be
+    broadcast. Inserts are known and need no second look at the target.
+    """
+    updates = decided_rows(source, spec.keys, changed, UPDATE)
+    rows = _matched(target, updates, spec, target.columns, broadcast_updates)
+    return rows.drop(ACTION).unionByName(inserted_rows(source.select(*target.columns), spec.keys, changed))
+
+
+def decided_rows(source: DataFrame, keys: tuple[str, ...], changed: DataFrame, action: str) -> DataFrame:
+    """Source rows whose (non-NULL) key was found to take the action."""
+    hits = changed.filter(F.col(ACTION) == action).select(*keys).distinct()
+    return source.join(hits, list(keys), "left_semi")
+
+
+def inserted_rows(source: DataFrame, keys: tuple[str, ...], changed: DataFrame) -> DataFrame:
+    """Source rows found to be new; a NULL key is always new."""
+    new = decided_rows(source, keys, changed, INSERT)
+    return new.unionByName(source.filter(any_null(keys)))
 
 
 def merge_metrics(actions: DataFrame) -> DataFrame:
@@ -130,12 +156,9 @@ def merge_metrics(actions: DataFrame) -> DataFrame:
 
     No policy deletes rows, so ``num_deleted_rows`` is always 0.
     """
-    counted = "_rows" in actions.columns
 
     def rows(*names: str) -> Column:
-        hit = F.col(ACTION).isin(*names)
-        per_row = F.col("_rows") if counted else F.lit(1)
-        return F.coalesce(F.sum(F.when(hit, per_row)), F.lit(0)).cast("bigint")
+        return F.count_if(F.col(ACTION).isin(*names))
 
     return actions.agg(
         rows(INSERT, UPDATE, SOFT_DELETE).alias("num_affected_rows"),

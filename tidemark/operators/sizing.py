@@ -40,12 +40,6 @@ def total_bytes(schema: StructType) -> Column:
     return F.coalesce(F.sum(row_bytes(schema)), F.lit(0)).alias("bytes")
 
 
-def file_bytes(df: DataFrame) -> int:
-    """Bytes on disk behind a file scan; reads file metadata, not the columns."""
-    files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
-    return files.agg(F.sum("file_size")).first()[0] or 0
-
-
 def any_null(columns: list[str] | tuple[str, ...]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
 
@@ -73,6 +67,8 @@ def only_partitions(df: DataFrame, touched: DataFrame | list[Row], columns: tupl
     """
     if isinstance(touched, DataFrame):
         values = touched.select(*columns).distinct()
+        if measured(values) <= BROADCAST_BYTES:
+            values = F.broadcast(values)
         return df.alias("d").join(values.alias("v"), same_partition("d", "v", columns), "left_semi")
     if not touched:
         return df.limit(0)

@@ -26,6 +26,7 @@ from tidemark.plans.pulls import (
     with_details,
 )
 from tidemark.queries.registry import query, table
+from tidemark.sources.staging import stage
 
 AT = datetime(2024, 2, 1, 12, 0, 0)
 
@@ -100,7 +101,7 @@ def contributor_merge(spark, sf_dir):
     """M3: only a later week replaces a contributor."""
     repo = (F.col("event_id") % 7).cast("string")
     old, new = (
-        contributor_rollup(active_weeks(weekly_records(spark, sf_dir, repo, before), AT))
+        stage(contributor_rollup(active_weeks(weekly_records(spark, sf_dir, repo, before), AT)), "contributors")
         for before in (date(2024, 1, 22), None)
     )
     merged = merge_plan(old, new, CONTRIBUTORS)

@@ -13,6 +13,7 @@ from tidemark.plans.expectations import core_expectations, legacy_expectations,
 from tidemark.queries.registry import query, table
 from tidemark.session import scratch_path
 from tidemark.sources import landed
+from tidemark.sources.staging import stage
 
 SOURCES = ["Snowflake", "pandas", "BigQuery", "Spark"]
 ISSUES = ["Volume", "schema", "Uniqueness"]
@@ -151,11 +152,12 @@ def expectations_with_legacy(spark, sf_dir):
 )
 def expectations_merge(spark, sf_dir):
     """M5: changed lists replace, absent ones are marked deprecated, some return."""
-    target = core_expectations(schema_docs(spark, sf_dir, "p_partkey % 8 <> 0")).withColumn(
+    stored = core_expectations(schema_docs(spark, sf_dir, "p_partkey % 8 <> 0")).withColumn(
         "deprecated", F.contains("expectation_name", F.lit("ring"))
     )
+    target = stage(stored, "expectations")
     changed = F.col("p_size") + F.when(F.col("p_partkey") % 5 == 0, 1).otherwise(0)
-    source = core_expectations(schema_docs(spark, sf_dir, "p_partkey % 9 <> 0", changed))
+    source = stage(core_expectations(schema_docs(spark, sf_dir, "p_partkey % 9 <> 0", changed)), "expectations")
     return flat(merge_plan(target, source, EXPECTATIONS).withColumnRenamed(ACTION, "action"))
 
 

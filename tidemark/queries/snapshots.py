@@ -18,6 +18,7 @@ from tidemark.plans.orgs import listed_repos, org_snapshot, repo_names
 from tidemark.plans.repos import repo_snapshot
 from tidemark.plans.users import current_users
 from tidemark.queries.registry import query, table
+from tidemark.sources.staging import stage
 
 DAY = date(2024, 1, 2)
 
@@ -230,6 +231,7 @@ def snapshot_merge_org(spark, sf_dir):
         .groupBy(F.col("l_suppkey").cast("string").alias("org_id"), F.to_date("l_shipdate").alias("dt"))
         .agg(F.count("*").alias("repos"), F.count_if(F.col("l_returnflag") == "A").alias("seen"))
     )
+    daily = stage(daily, "daily-orgs")  # aggregated once for both sides of the merge
     target = daily.filter("dt < DATE '1999-01-01'").select("org_id", F.col("seen").alias("repo_count"), "dt")
     source = daily.filter("dt >= DATE '1998-07-01'").select("org_id", F.col("repos").alias("repo_count"), "dt")
     return merge_plan(target, source, ORG_SNAPSHOT).withColumnRenamed(ACTION, "action")
@@ -260,6 +262,7 @@ def snapshot_merge_repo(spark, sf_dir):
         )
         .agg(F.sum("l_quantity").cast("bigint").alias("watchers"), F.count("*").alias("lines"))
     )
+    daily = stage(daily, "daily-repos")
     keys = ["org_id", "repo_id"]
     target = daily.filter("dt < DATE '1999-01-01'").select(*keys, F.col("lines").alias("watchers"), "dt")
     source = daily.filter("dt >= DATE '1998-07-01'").select(*keys, "watchers", "dt")

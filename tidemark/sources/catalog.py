@@ -30,7 +30,10 @@ from tidemark.operators.merge import (
     MergeSpec,
     check_columns,
     check_unique,
+    decided_rows,
+    inserted_rows,
     merge_actions,
+    merge_decided,
     merge_metrics,
     merge_plan,
 )
@@ -163,9 +166,9 @@ def merge_into(
 
     Returns the counts of ``merge_metrics``. The source is staged once, unless it is
     ``frozen``: read from files that do not change. A first, narrow pass over keys and
-    condition columns decides what happens to each row and where; the wide pass then
-    rewrites only what changes: nothing, the touched partitions, or the whole table as
-    its next version.
+    condition columns finds the changes and stages their keys. The wide pass then writes
+    no more than they need: nothing; an append, where all changes are inserts; the
+    touched partitions; or the whole table as its next version.
     """
     spark = source.sparkSession
     target = read(spark, name)
@@ -183,14 +186,23 @@ def merge_into(
     if parts and not spec.by_source_when:
         listed = listed_partitions(source, parts)
         target = only_partitions(target, source if listed is None else listed, parts)
-    actions = merge_actions(target, source, replace(spec, partition_by=parts), small)
-    tally, metrics, changed = _decide(actions.groupBy(ACTION, *parts).agg(F.count("*").alias("_rows")), parts)
-    if changed == []:
+    actions = merge_actions(target, source, spec, small)
+    changed = stage(actions.filter(F.col(ACTION) != KEEP), "merge-changes")
+    metrics, touched = _tally(changed, parts)
+    counts = metrics.first()
+    if not counts["num_affected_rows"]:
+        return metrics
+    if not counts["num_updated_rows"]:
+        inserts = inserted_rows(source, spec.keys, changed)
+        append(inserts.hint("rebalance", *parts) if parts else inserts, name)
         return metrics
     if parts:
-        touched = tally.filter(F.col(ACTION) != KEEP) if changed is None else changed
         target, source = (only_partitions(df, touched, parts) for df in (target, source))
-    merged = merge_plan(target, source, spec, small).drop(ACTION)
+    if spec.by_source_when:
+        merged = merge_plan(target, source, spec, small).drop(ACTION)
+    else:
+        few = small or measured(decided_rows(source, spec.keys, changed, UPDATE)) <= broadcast_limit
+        merged = merge_decided(target, source, spec, changed, few)
     if parts:
         overwrite_partitions(merged, name)
     else:
@@ -198,25 +210,21 @@ def merge_into(
     return metrics
 
 
-def _decide(tally: DataFrame, parts: tuple[str, ...]) -> tuple[DataFrame, DataFrame, list[Row] | None]:
-    """(tally, its metrics, changed partitions), computing the tally once.
+def _tally(changed: DataFrame, parts: tuple[str, ...]) -> tuple[DataFrame, DataFrame | list[Row]]:
+    """(metrics, changed partitions) of the staged changes.
 
-    A tally of few partitions is fetched and the metrics are worked out from its rows;
-    a longer one is staged, and the changed partitions are not listed (None). Without
-    partitions the whole table counts as one.
+    The partitions are fetched if they are few, and left as a DataFrame if not.
     """
-    spark = tally.sparkSession
-    rows = tally.limit(LITERAL_PARTITIONS + 1).collect()
+    spark = changed.sparkSession
+    per_part = changed.groupBy(ACTION, *parts).agg(F.count("*").alias("_rows"))
+    rows = per_part.limit(LITERAL_PARTITIONS + 1).collect()
     if len(rows) > LITERAL_PARTITIONS:
-        tally = stage(tally, "merge-tally")
-        counts = merge_metrics(tally).first()
-        changed = None if counts["num_affected_rows"] else []
-        return tally, spark.createDataFrame([counts], METRICS), changed
+        return spark.createDataFrame([merge_metrics(changed).first()], METRICS), changed
     count = {action: sum(r["_rows"] for r in rows if r[ACTION] == action) for action in ACTIONS}
     updated = count[UPDATE] + count[SOFT_DELETE]
     metrics = [(updated + count[INSERT], updated, 0, count[INSERT])]
-    changed = {tuple(r[c] for c in parts): r for r in rows if r[ACTION] != KEEP}
-    return tally, spark.createDataFrame(metrics, METRICS), list(changed.values())
+    touched = {tuple(r[c] for c in parts): r for r in rows}
+    return spark.createDataFrame(metrics, METRICS), list(touched.values())
 
 
 def _bootstrap(source: DataFrame, name: str, spec: MergeSpec) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators.merge import MergeSpec, check_unique
+from tidemark.operators.merge import METRICS, MergeSpec, check_unique
 from tidemark.operators.profile import require_rows
 from tidemark.sources import catalog
 from tidemark.sources.staging import stage
@@ -28,13 +28,14 @@ class DerivedTable:
             raise TypeError("spec must be a MergeSpec")
 
     def refresh(self, spark: SparkSession) -> DataFrame:
-        """Run the query once, create the table from it if absent, then merge.
+        """Run the query once, then merge its rows or create the table from them if absent.
 
-        A query without rows is an error. Returns the merge's counts, which are zero
-        right after creation.
+        A query without rows is an error. Returns the merge's counts; right after its
+        creation a table needs no change, so they are zero.
         """
         rows = require_rows(stage(self.build(spark), "derived"))
+        if catalog.exists(spark, self.name):
+            return catalog.merge_into(rows, self.name, self.spec, frozen=True)
         check_unique(rows, self.spec.keys)
-        if not catalog.exists(spark, self.name):
-            catalog.create_as(rows, self.name, self.spec.partition_by)
-        return catalog.merge_into(rows, self.name, self.spec, frozen=True)
+        catalog.create_as(rows, self.name, self.spec.partition_by)
+        return spark.createDataFrame([(0, 0, 0, 0)], METRICS)

@@ -89,12 +89,12 @@ def contributor_rollup_weeks(spark, sf_dir):
     f"""
     WITH t AS ({WEEKS.format(repo="CAST(event_id % 7 AS VARCHAR)", where="WHERE ts < TIMESTAMP '2024-01-22'")}),
     s AS ({WEEKS.format(repo="CAST(event_id % 7 AS VARCHAR)", where="")})
-    SELECT s.user_id, s.repo_id,
-           CASE WHEN t.user_id IS NULL OR t.last_week < s.last_week THEN s.first_week ELSE t.first_week END AS first_week,
-           CASE WHEN t.user_id IS NULL OR t.last_week < s.last_week THEN s.last_week ELSE t.last_week END AS last_week,
-           CASE WHEN t.user_id IS NULL OR t.last_week < s.last_week THEN s.commits ELSE t.commits END AS commits,
-           CASE WHEN t.user_id IS NULL THEN 'insert' WHEN t.last_week < s.last_week THEN 'update' ELSE 'keep' END AS action
-    FROM s LEFT JOIN t ON s.user_id = t.user_id AND s.repo_id = t.repo_id
+    SELECT coalesce(s.user_id, t.user_id) AS user_id, coalesce(s.repo_id, t.repo_id) AS repo_id,
+           CASE WHEN t.repo_id IS NULL OR t.last_week < s.last_week THEN s.first_week ELSE t.first_week END AS first_week,
+           CASE WHEN t.repo_id IS NULL OR t.last_week < s.last_week THEN s.last_week ELSE t.last_week END AS last_week,
+           CASE WHEN t.repo_id IS NULL OR t.last_week < s.last_week THEN s.commits ELSE t.commits END AS commits,
+           CASE WHEN t.repo_id IS NULL THEN 'insert' WHEN t.last_week < s.last_week THEN 'update' ELSE 'keep' END AS action
+    FROM s FULL OUTER JOIN t ON s.user_id = t.user_id AND s.repo_id = t.repo_id
     """
 )
 def contributor_merge(spark, sf_dir):
@@ -203,7 +203,7 @@ def detailed_pulls(spark, sf_dir):
     return with_details(rows, pull_details(details), pull_reviews(reviews))
 
 
-BAD = """CASE WHEN o_orderkey % 17 = 0 THEN 'missing author'
+BAD = """CASE WHEN o_orderkey % 17 = 0 OR o_custkey IS NULL THEN 'missing author'
               WHEN o_orderkey % 19 = 0 THEN 'malformed updated time'
               WHEN o_orderkey % 23 = 0 AND o_orderkey % 5 < 2 THEN 'missing reviewer' END"""
 
@@ -217,7 +217,7 @@ BAD = """CASE WHEN o_orderkey % 17 = 0 THEN 'missing author'
     )
     SELECT CAST(o_orderkey AS VARCHAR) AS pull_id, CAST(o_custkey % 50 AS VARCHAR) AS repo_id,
            CAST(o_custkey AS VARCHAR) AS user_id, o_orderpriority AS title,
-           CASE WHEN o_orderkey % 3 <> 0 THEN o_orderstatus END AS labels,
+           CASE WHEN o_orderkey % 3 <> 0 THEN coalesce(o_orderstatus, '') END AS labels,
            coalesce(o_orderkey % 4 <> 0 AND o_orderstatus = 'P', false) AS is_draft,
            o_orderdate AS created, o_orderdate + INTERVAL 1 DAY AS updated,
            CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate + INTERVAL 2 DAY END AS merged,
@@ -281,8 +281,8 @@ PULL_VERSIONS = """
     merged AS (
         SELECT CAST(coalesce(t.repo, s.repo) AS VARCHAR) AS repo_id,
                CAST(coalesce(t.o_orderkey, s.o_orderkey) AS VARCHAR) AS pull_id,
-               CASE WHEN t.updated IS NULL OR s.updated > t.updated THEN s.updated ELSE t.updated END AS updated,
-               CASE WHEN t.updated IS NULL THEN 'insert' WHEN s.updated > t.updated THEN 'update' ELSE 'keep' END AS action
+               CASE WHEN t.o_orderkey IS NULL OR s.updated > t.updated THEN s.updated ELSE t.updated END AS updated,
+               CASE WHEN t.o_orderkey IS NULL THEN 'insert' WHEN s.updated > t.updated THEN 'update' ELSE 'keep' END AS action
         FROM t FULL OUTER JOIN s ON t.repo = s.repo AND t.o_orderkey = s.o_orderkey
     )
 """
@@ -317,8 +317,8 @@ def merge_counts(spark, sf_dir):
                  CAST(o_orderkey AS VARCHAR) AS pull_id, o_orderdate + INTERVAL 1 DAY AS updated
           FROM orders WHERE o_orderkey % 10 >= 7)
     SELECT coalesce(t.repo_id, s.repo_id) AS repo_id, coalesce(t.pull_id, s.pull_id) AS pull_id,
-           coalesce(s.updated, t.updated) AS updated,
-           CASE WHEN t.pull_id IS NULL THEN 'insert' WHEN s.pull_id IS NULL THEN 'keep' ELSE 'update' END AS action
+           CASE WHEN t.pull_id IS NULL OR s.updated > t.updated THEN s.updated ELSE t.updated END AS updated,
+           CASE WHEN t.pull_id IS NULL THEN 'insert' WHEN s.updated > t.updated THEN 'update' ELSE 'keep' END AS action
     FROM t FULL OUTER JOIN s ON t.repo_id = s.repo_id AND t.pull_id = s.pull_id
     """
 )
@@ -369,7 +369,7 @@ def high_water_mark(spark, sf_dir):
     """
     WITH marks AS (SELECT o_custkey, max(o_orderdate) AS mark FROM orders WHERE o_orderkey % 10 < 6 GROUP BY 1)
     SELECT o_orderkey, orders.o_custkey, o_orderdate FROM orders LEFT JOIN marks ON orders.o_custkey = marks.o_custkey
-    WHERE CAST(o_orderdate AS DATE) >= CAST(coalesce(mark, TIMESTAMP '1970-01-01') AS DATE)
+    WHERE o_orderdate IS NULL OR CAST(o_orderdate AS DATE) >= CAST(coalesce(mark, TIMESTAMP '1970-01-01') AS DATE)
     """
 )
 def incremental_filter(spark, sf_dir):
@@ -396,7 +396,7 @@ def sample_pulls(spark, sf_dir):
 
 @query(
     """
-    SELECT event_id, CASE WHEN event_id % 17 = 0 THEN 'missing user'
+    SELECT event_id, CASE WHEN event_id % 17 = 0 OR user_id IS NULL THEN 'missing user'
                           WHEN event_id % 13 = 0 THEN 'malformed submitted' END AS reason,
            CASE WHEN event_id % 13 <> 0 THEN date_trunc('second', ts) END AS submitted
     FROM events

@@ -78,7 +78,8 @@ def day_range(spark, sf_dir):
     + """, days AS (SELECT user_id, date_trunc('day', last) AS final,
                   unnest(generate_series(date_trunc('day', first), date_trunc('day', last), INTERVAL 1 DAY)) AS day FROM spans),
          sizes AS (SELECT user_id, count(*) AS n FROM days GROUP BY 1)
-         SELECT user_id, day AS moment FROM days JOIN sizes USING (user_id) WHERE day < final OR n = 1
+         SELECT days.user_id, day AS moment FROM days JOIN sizes ON days.user_id IS NOT DISTINCT FROM sizes.user_id
+         WHERE day < final OR n = 1
          UNION ALL SELECT DISTINCT user_id, final + INTERVAL '86399' SECOND FROM days"""
 )
 def day_range_times(spark, sf_dir):
@@ -179,7 +180,8 @@ def publish_roundtrip(spark, sf_dir):
     """
     WITH t AS (SELECT CAST(o_custkey AS VARCHAR) AS user_id, count(*) AS n FROM orders WHERE o_orderkey % 4 < 3 GROUP BY 1),
     s AS (SELECT CAST(o_custkey AS VARCHAR) AS user_id, count(*) AS n FROM orders GROUP BY 1)
-    SELECT s.user_id, CAST(s.n AS VARCHAR) || ' orders' AS user_name FROM s LEFT JOIN t ON t.user_id = s.user_id
+    SELECT user_id, CAST(n AS VARCHAR) || ' orders' AS user_name FROM s
+    UNION ALL SELECT user_id, CAST(n AS VARCHAR) || ' orders' FROM t WHERE user_id IS NULL  -- a NULL key never matches
     """
 )
 def derived_refresh(spark, sf_dir):
@@ -200,8 +202,12 @@ def derived_refresh(spark, sf_dir):
 @query(
     """
     SELECT CAST(o_custkey % 20 AS VARCHAR) AS repo_id, CAST(o_orderkey AS VARCHAR) AS pull_id,
-           o_orderdate + CASE WHEN o_orderkey % 6 = 0 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS updated
+           o_orderdate + CASE WHEN o_orderkey % 6 = 0 AND o_custkey IS NOT NULL THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END
+               AS updated
     FROM orders
+    UNION ALL  -- a NULL key never matches, so the newer version is another row
+    SELECT NULL, CAST(o_orderkey AS VARCHAR), o_orderdate + INTERVAL 1 DAY FROM orders
+    WHERE o_orderkey % 6 = 0 AND o_custkey IS NULL
     """
 )
 def merge_into_partitions(spark, sf_dir):
@@ -226,8 +232,12 @@ def merge_into_partitions(spark, sf_dir):
 @query(
     """
     SELECT CAST(o_custkey % 20 AS VARCHAR) AS repo_id, CAST(o_orderkey AS VARCHAR) AS pull_id,
-           o_orderdate + CASE WHEN o_orderkey % 5 = 0 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS updated
+           o_orderdate + CASE WHEN o_orderkey % 5 = 0 AND o_custkey IS NOT NULL THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END
+               AS updated
     FROM orders
+    UNION ALL  -- a NULL key never matches, so the newer version is another row
+    SELECT NULL, CAST(o_orderkey AS VARCHAR), o_orderdate + INTERVAL 1 DAY FROM orders
+    WHERE o_orderkey % 5 = 0 AND o_custkey IS NULL
     """
 )
 def stream_intake(spark, sf_dir):
@@ -320,8 +330,8 @@ def landing_of(spark, sf_dir) -> Landing:
         SELECT 'source_orgs' AS table_name, (SELECT count(*) FROM region) AS n, NULL AS r
         UNION ALL SELECT 'source_repos', (SELECT count(*) FROM nation), NULL
         UNION ALL SELECT 'source_contributors', (SELECT count(DISTINCT user_id) FROM events), NULL
-        UNION ALL SELECT 'source_pulls', (SELECT count(*) FROM orders WHERE o_orderkey % 9 <> 0),
-                         (SELECT count(*) FROM orders WHERE o_orderkey % 9 = 0)
+        UNION ALL SELECT 'source_pulls', (SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 9 <> 0),
+                         (SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 9 = 0)
         UNION ALL SELECT 'expectations', (SELECT count(*) FROM part), NULL
         UNION ALL SELECT 'users', 0, NULL
     )

@@ -229,3 +229,5 @@ def test_size_bound_holds_for_wide_text(spark):
     df = spark.range(100).select("id", text.alias("a"), F.struct(text.alias("b")).alias("s"), F.array(text).alias("c"))
     assert sizing.measured(df) > 100 * 3000
     assert sizing.measured(df.limit(0)) == 0
+    assert sizing.fits_broadcast(df, 1 << 20) and not sizing.fits_broadcast(df, 100_000)
+    assert not sizing.fits_broadcast(spark.range(10_000), 10_000)

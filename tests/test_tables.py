@@ -1,4 +1,5 @@
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -9,7 +10,7 @@ from tidemark.operators.merge import MergeSpec
 from tidemark.operators.select import pad_union, sample_rows, select_ordered, select_prefix, stack_by_position
 from tidemark.plans.derived import DerivedTable
 from tidemark.sources import catalog
-from tidemark.sources.staging import register, sql_over, stage, stage_measured
+from tidemark.sources.staging import register, sql_over, stage, staged
 
 
 def test_names(spark, database):
@@ -97,6 +98,17 @@ def test_drop_all(spark, database):
     assert not catalog.exists(spark, f"{database}.a")
 
 
+def test_a_table_made_elsewhere(spark, database, tmp_path):
+    """Publishing and dropping leave the folders around such a table alone."""
+    name = f"{database}.plain"
+    spark.range(2).write.option("path", f"{tmp_path}/plain").saveAsTable(name)
+    (tmp_path / "neighbour").mkdir()
+    catalog.publish(catalog.read(spark, name).unionByName(spark.range(1)), name)
+    assert catalog.read(spark, name).count() == 3
+    catalog.drop(spark, name)
+    assert (tmp_path / "neighbour").exists() and not (tmp_path / "plain.versions").exists()
+
+
 def test_ensure_like(spark, database):
     like = spark.sql("select 1 a, array(named_struct('x', 'y')) s")
     made = catalog.ensure_like(like, f"{database}.t")
@@ -168,8 +180,10 @@ def test_sample_is_repeatable(spark):
 
 def test_staging(spark):
     df = spark.range(5)
-    staged, size = stage_measured(df)
-    assert rows(staged) == rows(df) and size >= 5 * 8
+    with staged(df) as kept:
+        assert rows(kept) == rows(df)
+        (file, *_) = kept.inputFiles()
+    assert not Path(file.removeprefix("file://")).exists()
     assert stage(df).dtypes == df.dtypes
     register(df, "some_view")
     assert spark.sql("select max(id) from some_view").first()[0] == 4

@@ -19,8 +19,7 @@ def row_bytes(schema: StructType) -> Column:
     Fixed-width fields take a word each and text its bytes; nested fields are measured
     by twice their JSON text, which names every field it holds.
     """
-    fixed = 16 * (len(schema.fields) + 2)
-    total = F.lit(fixed).cast("bigint")
+    total = F.lit(_fixed_bytes(schema)).cast("bigint")
     for f in schema.fields:
         value = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (StringType, BinaryType)):
@@ -31,13 +30,24 @@ def row_bytes(schema: StructType) -> Column:
     return total
 
 
+def _fixed_bytes(schema: StructType) -> int:
+    return 16 * (len(schema.fields) + 2)
+
+
 def measured(df: DataFrame) -> int:
     """Upper bound of the data's size in memory, from one pass over it."""
-    return df.agg(total_bytes(df.schema)).first()[0]
+    return df.agg(F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0))).first()[0]
 
 
-def total_bytes(schema: StructType) -> Column:
-    return F.coalesce(F.sum(row_bytes(schema)), F.lit(0)).alias("bytes")
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether the data is proven to take no more than ``limit`` bytes in memory.
+
+    Data with too many rows to fit is told by their count alone, so that only data that
+    may be small is measured.
+    """
+    if limit <= 0 or df.count() * _fixed_bytes(df.schema) > limit:
+        return False
+    return measured(df) <= limit
 
 
 def any_null(columns: list[str] | tuple[str, ...]) -> Column:
@@ -67,7 +77,7 @@ def only_partitions(df: DataFrame, touched: DataFrame | list[Row], columns: tupl
     """
     if isinstance(touched, DataFrame):
         values = touched.select(*columns).distinct()
-        if measured(values) <= BROADCAST_BYTES:
+        if fits_broadcast(values):
             values = F.broadcast(values)
         return df.alias("d").join(values.alias("v"), same_partition("d", "v", columns), "left_semi")
     if not touched:

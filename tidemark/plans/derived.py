@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.operators.merge import METRICS, MergeSpec, check_unique
 from tidemark.operators.profile import require_rows
 from tidemark.sources import catalog
-from tidemark.sources.staging import stage
+from tidemark.sources.staging import staged
 
 
 @dataclass(frozen=True)
@@ -33,9 +33,10 @@ class DerivedTable:
         A query without rows is an error. Returns the merge's counts; right after its
         creation a table needs no change, so they are zero.
         """
-        rows = require_rows(stage(self.build(spark), "derived"))
-        if catalog.exists(spark, self.name):
-            return catalog.merge_into(rows, self.name, self.spec, frozen=True)
-        check_unique(rows, self.spec.keys)
-        catalog.create_as(rows, self.name, self.spec.partition_by)
+        with staged(self.build(spark), "derived") as rows:
+            require_rows(rows)
+            if catalog.exists(spark, self.name):
+                return catalog.merge_into(rows, self.name, self.spec, frozen=True)
+            check_unique(rows, self.spec.keys)
+            catalog.create_as(rows, self.name, self.spec.partition_by)
         return spark.createDataFrame([(0, 0, 0, 0)], METRICS)

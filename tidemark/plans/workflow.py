@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime, timezone
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +14,7 @@ from tidemark.operators.incremental import Mode, high_water_marks, load
 from tidemark.operators.scope import require_known, scope_pairs
 from tidemark.plans import contributors, expectations, orgs, pulls, repos, users
 from tidemark.sources import catalog
-from tidemark.sources.staging import stage
+from tidemark.sources.staging import staged
 
 # Landed kinds and the columns of their JSON lines; bodies are JSON texts as received.
 KINDS = {
@@ -61,41 +61,48 @@ def run_all(
     Returns the merge counts of each table and how many records were set aside.
     """
     at = at or datetime.now(timezone.utc)
-    day: date = at.date()
+    day = at.date()
     configured = spark.createDataFrame([(n,) for n in org_names], "org_name string")
     require_known(configured, landing.orgs, ["org_name"])
 
     landed_orgs = landing.orgs.join(configured, "org_name", "left_semi")
-    snapshot = stage(orgs.org_snapshot(landed_orgs, day), "orgs")
-    report = [_merged(spark, database, orgs.TABLE, snapshot, policies.ORG_SNAPSHOT, frozen=True)]
+    with staged(orgs.org_snapshot(landed_orgs, day), "orgs") as snapshot:
+        report = [_merged(spark, database, orgs.TABLE, snapshot, policies.ORG_SNAPSHOT, frozen=True)]
+        listed = orgs.listed_repos(snapshot)
+        wanted = spark.createDataFrame([(n,) for n in repo_names], "repo_name string")
+        pairs = scope_pairs(listed, configured, wanted)
+        with staged(listed.join(pairs, ["org_name", "repo_name"], "left_semi"), "scope") as scope:
+            report += _merge_repos(spark, database, landing, scope, at, mode)
+    if landing.expectations is not None:
+        rows = expectations.core_expectations(landing.expectations)
+        report.append(_merged(spark, database, expectations.TABLE, rows, policies.EXPECTATIONS))
+
+    table = users.users_table(f"{database}.users", f"{database}.{orgs.TABLE}")
+    report.append(table.refresh(spark).withColumn("table_name", F.lit("users")))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), report)
+
 
-    listed = orgs.listed_repos(snapshot)
-    wanted = spark.createDataFrame([(n,) for n in repo_names], "repo_name string")
-    pairs = scope_pairs(listed, configured, wanted)
-    scope = stage(listed.join(pairs, ["org_name", "repo_name"], "left_semi"), "scope")
+def _merge_repos(spark, database, landing, scope, at, mode) -> list[DataFrame]:
+    """The merges of everything below a repository, each over all repositories at once."""
+    report = []
 
     def in_scope(texts: DataFrame) -> DataFrame:
         return texts.join(scope, ["org_name", "repo_name"])
 
     if landing.repos is not None:
-        rows = repos.repo_snapshot(in_scope(landing.repos), day)
+        rows = repos.repo_snapshot(in_scope(landing.repos), at.date())
         report.append(_merged(spark, database, repos.TABLE, rows, policies.REPO_SNAPSHOT))
     if landing.contributors is not None:
         records = contributors.contributor_records(in_scope(landing.contributors), at)
         rows = contributors.contributor_rollup(records)
         report.append(_merged(spark, database, contributors.TABLE, rows, policies.CONTRIBUTORS))
     if landing.pulls is not None:
-        facts, rejects = _pull_rows(spark, database, landing, in_scope, at, mode)
-        counts = _merged(spark, database, pulls.TABLE, facts, policies.PULLS, frozen=True)
-        set_aside = rejects.agg(F.count("*").alias("num_rejected_rows"))
-        report.append(counts.withColumn("num_rejected_rows", set_aside.scalar()))
-    if landing.expectations is not None:
-        rows = expectations.core_expectations(landing.expectations)
-        report.append(_merged(spark, database, expectations.TABLE, rows, policies.EXPECTATIONS))
-
-    table = users.users_table(f"{database}.users", f"{database}.{orgs.TABLE}")
-    report.append(table.refresh(spark).withColumn("table_name", F.lit("users")))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), report)
+        # Frozen before it is split, so that both halves see the same rows.
+        with staged(_detailed_pulls(spark, database, landing, in_scope, at, mode), "pulls") as rows:
+            facts, rejects = pulls.pull_facts(rows)
+            counts = _merged(spark, database, pulls.TABLE, facts, policies.PULLS, frozen=True)
+            report.append(counts.withColumn("num_rejected_rows", F.lit(rejects.count()).cast("bigint")))
+    return report
 
 
 def delete_all(spark: SparkSession, database: str) -> DataFrame:
@@ -103,7 +110,7 @@ def delete_all(spark: SparkSession, database: str) -> DataFrame:
     return catalog.drop_all(spark, [f"{database}.{t}" for t in TABLES])
 
 
-def _pull_rows(spark, database, landing, in_scope, at, mode) -> tuple[DataFrame, DataFrame]:
+def _detailed_pulls(spark, database, landing, in_scope, at, mode) -> DataFrame:
     records = pulls.pull_records(in_scope(landing.pulls))
     stored = catalog.read(spark, f"{database}.{pulls.TABLE}")
     groups = ("org_id", "repo_id")
@@ -116,8 +123,7 @@ def _pull_rows(spark, database, landing, in_scope, at, mode) -> tuple[DataFrame,
     rows = pulls.pull_rows(records, at)
     details = pulls.pull_details(in_scope(landing.details))
     reviews = pulls.pull_reviews(in_scope(landing.reviews))
-    # Frozen before it is split, so that both halves see the same rows.
-    return pulls.pull_facts(stage(pulls.with_details(rows, details, reviews), "pulls"))
+    return pulls.with_details(rows, details, reviews)
 
 
 def _merged(spark, database, table, rows, spec, frozen=False) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from dataclasses import replace
+from threading import Lock
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -40,11 +40,15 @@ from tidemark.operators.merge import (
 from tidemark.operators.sizing import (
     BROADCAST_BYTES,
     LITERAL_PARTITIONS,
+    fits_broadcast,
     listed_partitions,
-    measured,
     only_partitions,
 )
-from tidemark.sources.staging import stage, stage_measured
+from tidemark.session import remove_path
+from tidemark.sources.staging import staged
+
+VERSION = "version-"
+_overwriting = Lock()
 
 
 def split_name(spark: SparkSession, name: str) -> tuple[str, str]:
@@ -121,8 +125,8 @@ def overwrite(df: DataFrame, name: str, by_name: bool = True) -> None:
     """Replace all rows. ``df`` may read the table itself."""
     rows = _in_table_order(df, name, by_name)
     if _partition_columns(df.sparkSession, name):
-        with _overwrite_mode(df.sparkSession, "static"):
-            stage(rows).write.insertInto(name, overwrite=True)
+        with staged(rows, "overwrite") as frozen, _overwrite_mode(df.sparkSession, "static"):
+            frozen.write.insertInto(name, overwrite=True)
     else:
         publish(rows.toDF(*df.sparkSession.table(name).columns), name)
 
@@ -176,38 +180,43 @@ def merge_into(
         return _bootstrap(source, name, spec)
     check_columns(target, source, spec)
     source = source.select(*target.columns)
-    source, size = (source, measured(source)) if frozen else stage_measured(source, "merge-source")
-    check_unique(source, spec.keys)
-    small = size <= broadcast_limit
+    if frozen:
+        return _merge(target, source, name, spec, broadcast_limit)
+    with staged(source, "merge-source") as source:
+        return _merge(target, source, name, spec, broadcast_limit)
+
 
-    parts = tuple(_partition_columns(spark, name))
+def _merge(target: DataFrame, source: DataFrame, name: str, spec: MergeSpec, limit: int) -> DataFrame:
+    parts = tuple(_partition_columns(source.sparkSession, name))
     if not set(parts) <= set(spec.keys):
         raise ValueError(f"{name} is partitioned by {parts}, which are not all merge keys")
+    check_unique(source, spec.keys)
+    small = fits_broadcast(source, limit)
     if parts and not spec.by_source_when:
         listed = listed_partitions(source, parts)
         target = only_partitions(target, source if listed is None else listed, parts)
     actions = merge_actions(target, source, spec, small)
-    changed = stage(actions.filter(F.col(ACTION) != KEEP), "merge-changes")
-    metrics, touched = _tally(changed, parts)
-    counts = metrics.first()
-    if not counts["num_affected_rows"]:
-        return metrics
-    if not counts["num_updated_rows"]:
-        inserts = inserted_rows(source, spec.keys, changed)
-        append(inserts.hint("rebalance", *parts) if parts else inserts, name)
+    with staged(actions.filter(F.col(ACTION) != KEEP), "merge-changes") as changed:
+        metrics, touched = _tally(changed, parts)
+        counts = metrics.first()
+        if not counts["num_affected_rows"]:
+            return metrics
+        if not counts["num_updated_rows"]:
+            inserts = inserted_rows(source, spec.keys, changed)
+            append(inserts.hint("rebalance", *parts) if parts else inserts, name)
+            return metrics
+        if parts:
+            target, source = (only_partitions(df, touched, parts) for df in (target, source))
+        if spec.by_source_when:
+            merged = merge_plan(target, source, spec, small).drop(ACTION)
+        else:
+            few = small or fits_broadcast(decided_rows(source, spec.keys, changed, UPDATE), limit)
+            merged = merge_decided(target, source, spec, changed, few)
+        if parts:
+            overwrite_partitions(merged, name)
+        else:
+            publish(merged, name)
         return metrics
-    if parts:
-        target, source = (only_partitions(df, touched, parts) for df in (target, source))
-    if spec.by_source_when:
-        merged = merge_plan(target, source, spec, small).drop(ACTION)
-    else:
-        few = small or measured(decided_rows(source, spec.keys, changed, UPDATE)) <= broadcast_limit
-        merged = merge_decided(target, source, spec, changed, few)
-    if parts:
-        overwrite_partitions(merged, name)
-    else:
-        publish(merged, name)
-    return metrics
 
 
 def _tally(changed: DataFrame, parts: tuple[str, ...]) -> tuple[DataFrame, DataFrame | list[Row]]:
@@ -244,11 +253,11 @@ def drop(spark: SparkSession, name: str, purge: bool = True) -> bool:
     """Drop the table, with its files if ``purge``. False if there was none."""
     if not exists(spark, name):
         return False
-    root = _table_root(spark, name)
+    location, root = _location(spark, name), _table_root(spark, name)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     if purge:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        for folder in {location, root}:
+            remove_path(spark, folder)
     return True
 
 
@@ -267,14 +276,18 @@ def ddl_text(spark: SparkSession, name: str) -> str | None:
 
 @contextmanager
 def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
-    """``insertInto`` heeds only the session's overwrite mode, not a writer option."""
+    """``insertInto`` heeds only the session's overwrite mode, not a writer option.
+
+    The mode is the session's, so threads that share one take turns.
+    """
     key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, mode)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    with _overwriting:
+        before = spark.conf.get(key)
+        spark.conf.set(key, mode)
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)
 
 
 def _in_table_order(df: DataFrame, name: str, by_name: bool = True) -> DataFrame:
@@ -297,12 +310,15 @@ def _location(spark: SparkSession, name: str) -> str:
 
 
 def _table_root(spark: SparkSession, name: str) -> str:
-    """The folder above the table's version folders."""
-    return _location(spark, name).rsplit("/", 1)[0]
+    """The folder of the table's versions: above its current one, or beside a table
+    that was not made here."""
+    location = _location(spark, name)
+    parent, leaf = location.rsplit("/", 1)
+    return parent if leaf.startswith(VERSION) else f"{location}.versions"
 
 
 def _version_path(root: str) -> str:
-    return f"{root}/version-{uuid.uuid4().hex}"
+    return f"{root}/{VERSION}{uuid.uuid4().hex}"
 
 
 def _first_version(df: DataFrame, name: str, partition_by: tuple[str, ...]) -> DataFrame:

@@ -2,28 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from tidemark.operators.sizing import total_bytes
-from tidemark.session import scratch_path
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark.session import remove_path, scratch_path
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Freeze ``df``: later passes see the same rows, and its lineage ends here."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _written(df, scratch_path(df.sparkSession, label))
 
 
-def stage_measured(df: DataFrame, label: str = "stage") -> tuple[DataFrame, int]:
-    """``stage`` that also returns an upper bound of the data's size in memory.
+@contextmanager
+def staged(df: DataFrame, label: str = "stage") -> Iterator[DataFrame]:
+    """``stage`` for the length of a block; the files are removed at its end."""
+    path = scratch_path(df.sparkSession, label)
+    try:
+        yield _written(df, path)
+    finally:
+        remove_path(df.sparkSession, path)
 
-    The size is summed by the writing tasks, so measuring costs no further pass.
-    """
-    seen = Observation()
-    staged = stage(df.observe(seen, total_bytes(df.schema)), label)
-    return staged, seen.get["bytes"]
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def sql_over(spark: SparkSession, query: str, **frames: DataFrame) -> DataFrame:

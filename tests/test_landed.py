@@ -33,6 +33,12 @@ def test_pages_are_concatenated(spark, folder):
     assert rows(got) == [(1, "a"), (2, None), (3, "c")]
 
 
+def test_an_unreadable_page_is_an_error(spark, folder):
+    root = folder({"p/1.json": '[{"id": 1}]', "p/2.json": "<html>busy</html>"})
+    with pytest.raises(Exception, match="unreadable page: <html>busy"):
+        landed.read_pages(spark, f"{root}/p", ELEMENT).collect()
+
+
 def test_pages_by_line(spark, folder):
     root = folder({"p/all.txt": '[{"id": 1, "name": "a"}]\n{"id": 2, "name": "b"}\n'})
     assert rows(landed.read_pages(spark, f"{root}/p", ELEMENT, one_per_file=False).select("record.*")) == [(1, "a"), (2, "b")]

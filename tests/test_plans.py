@@ -115,9 +115,10 @@ def test_pulls(spark):
             pull(4, updated="soon"),
             pull(5),
             pull(6),
+            pull(7),
         ],
         [(1, {"comments": 1, "review_comments": 2, "commits": 3, "changed_files": 4})],
-        [(1, [review]), (2, []), (5, [review, {**review, "user": None}]), (6, [{**review, "submitted_at": "x"}])],
+        [(1, [review]), (2, []), (5, [review, {**review, "user": None}]), (6, [{**review, "submitted_at": "x"}]), (7, "busy")],
     )
     detailed = pulls.with_details(
         pulls.pull_rows(pulls.pull_records(pages), AT), pulls.pull_details(detail), pulls.pull_reviews(reviews)
@@ -136,6 +137,7 @@ def test_pulls(spark):
         ("4", "malformed updated time"),
         ("5", "missing reviewer"),
         ("6", "malformed review time"),
+        ("7", "unreadable reviews"),
     ]
 
 
@@ -200,6 +202,13 @@ def test_users_of_the_latest_day(spark):
     assert rows(users.current_users(old.unionByName(new))) == [("1", "ann"), ("2", "bob")]
 
 
+def test_records_without_identity_are_errors(spark):
+    with pytest.raises(Exception, match="no id for organization: acme"):
+        orgs.org_snapshot(spark.createDataFrame([("acme", "{}", "[]", "[]")], workflow.KINDS["orgs"]), DAY).collect()
+    with pytest.raises(Exception, match="no title in document: busy"):
+        expectations.core_expectations(spark.createDataFrame([("busy",)], "value string")).collect()
+
+
 def test_scope(spark):
     listed = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x"), ("b", "z")], "org_name string, repo_name string")
     names = lambda c, *v: spark.createDataFrame([(n,) for n in v], f"{c} string")
@@ -215,7 +224,7 @@ def landing(spark, pulls_, members, details=(), reviews=(), docs=()):
     return workflow.Landing(
         orgs=landed_orgs(spark, ("acme", 7, members, [(5, "abe"), (6, "other")]), ("beta", 8, [], [(9, "abe2")])),
         repos=make("repos", [("acme", "abe", '{"id": 5, "forks_count": 2}'), ("acme", "other", '{"id": 6}')]),
-        contributors=make("contributors", [("acme", "abe", contributor_page((1, "ann", week)))]),
+        contributors=make("contributors", [("acme", "abe", contributor_page((1, "ann", week))), ("acme", "abe", '[{"weeks": []}]')]),
         pulls=make("pulls", [("acme", "abe", json.dumps(list(pulls_))), ("acme", "other", json.dumps([pull(77)]))]),
         details=make("details", [("acme", "abe", str(n), json.dumps(d)) for n, d in details]),
         reviews=make("reviews", [("acme", "abe", str(n), json.dumps(r)) for n, r in reviews]),
@@ -231,6 +240,7 @@ def test_run_all_twice(spark, database, tmp_path):
         "source_orgs": 1, "source_repos": 1, "source_contributors": 1, "source_pulls": 2, "expectations": 2, "users": 0,
     }
     assert counts["source_pulls"]["num_rejected_rows"] == 1
+    assert counts["source_contributors"]["num_rejected_rows"] == 1
     assert rows(spark.table(f"{database}.users")) == [("1", "ann")]
 
     again = landing(

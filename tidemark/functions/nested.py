@@ -51,7 +51,3 @@ def engine_classes(names: Column) -> Column:
 def times_in_struct(struct: Column, fields: list[str]) -> Column:
     """The struct's named text fields as timestamps."""
     return pack(**{f: to_time(struct[f]) for f in fields})
-
-
-def sorted_names(array: Column) -> Column:
-    return F.array_sort(array)

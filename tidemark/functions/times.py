@@ -7,10 +7,9 @@ from datetime import date, datetime, timezone
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The two text forms of a timestamp and the text form of a date.
+# The plain text form of a timestamp (the API form has T between date and
+# time, and Z at the end), and the mark of a group with nothing loaded.
 PLAIN_FORM = "yyyy-MM-dd HH:mm:ss"
-API_FORM = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-DAY_FORM = "yyyy-MM-dd"
 EPOCH = "1970-01-01 00:00:00"
 
 
@@ -31,12 +30,14 @@ def is_malformed_time(text: Column) -> Column:
 
 def reformat_to_api(text: Column, pattern: str = PLAIN_FORM) -> Column:
     """A timestamp string in ``pattern`` rewritten in API form."""
-    return F.date_format(F.to_timestamp_ntz(text, F.lit(pattern)), API_FORM)
+    return time_text(F.to_timestamp_ntz(text, F.lit(pattern)), api=True)
 
 
 def time_text(ts: Column, api: bool = False) -> Column:
-    """A timestamp as text, in plain or API form."""
-    return F.date_format(ts, API_FORM if api else PLAIN_FORM)
+    """A timestamp as text, in plain or API form; the session's zone plays no part."""
+    text = ts.cast("timestamp_ntz").cast("string")
+    between, end = ("T", "Z") if api else (" ", "")
+    return F.concat(F.substring(text, 1, 10), F.lit(between), F.substring(text, 12, 8), F.lit(end))
 
 
 def unix_day(seconds: Column) -> Column:

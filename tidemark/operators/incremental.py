@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame
@@ -75,7 +74,3 @@ def split_rejects(records: DataFrame, reason: Column) -> tuple[DataFrame, DataFr
     marked = records.withColumn("reject_reason", reason)
     good = marked.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     return good, marked.filter(F.col("reject_reason").isNotNull())
-
-
-def matches_all(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
-from tidemark.functions.times import DAY_FORM, PLAIN_FORM
+from tidemark.functions.times import time_text
 from tidemark.sources import catalog
 
 
@@ -56,9 +56,9 @@ def extreme_of(df: DataFrame, column: str, which: Literal["min", "max"], as_text
     value = F.min(column) if which == "min" else F.max(column)
     kind = df.schema[column].dataType
     if as_text and isinstance(kind, DateType):
-        value = F.date_format(value, DAY_FORM)
+        value = value.cast("string")
     elif as_text and isinstance(kind, (TimestampType, TimestampNTZType)):
-        value = F.date_format(value, PLAIN_FORM)
+        value = time_text(value)
     return value
 
 

@@ -24,9 +24,9 @@ LEGACY = "map<string, struct<execution_engines: map<string, boolean>>>"
 
 def core_expectations(docs: DataFrame, column: str = "value") -> DataFrame:
     """One row per schema document: name normalized, lists lower case and sorted."""
-    picked = docs.select(*landed.pick_fields(F.col(column), FIELDS))
+    picked = docs.select(column, *landed.pick_fields(F.col(column), FIELDS))
     return picked.select(
-        underscored(F.col("title")).alias("expectation_name"),
+        underscored(landed.required(F.col("title"), F.col(column), "no title in document")).alias("expectation_name"),
         sorted_lower(F.col("data_sources")).alias("data_sources"),
         sorted_lower(F.col("data_quality_issues")).alias("data_quality_issues"),
         F.lit(False).alias("deprecated"),

@@ -50,7 +50,7 @@ def org_snapshot(landed_orgs: DataFrame, dt: date | Column) -> DataFrame:
         F.from_json("repos", landed.REPOS).alias("repos"),
     )
     return parsed.select(
-        F.col("org.id").cast("string").alias("org_id"),
+        landed.required(F.col("org.id"), F.col("org_name"), "no id for organization").cast("string").alias("org_id"),
         "org_name",
         member_list(F.col("members")).alias("members"),
         repo_list(F.col("repos")).alias("repos"),

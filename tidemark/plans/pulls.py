@@ -44,7 +44,9 @@ def pull_reviews(texts: DataFrame) -> DataFrame:
     A pull's reviews are landed as one list, so they are not collected here.
     """
     parsed = texts.select(*PULL, F.from_json("reviews", landed.REVIEWS).alias("reviews"))
-    return parsed.select(*PULL, review_list(F.col("reviews")).alias("reviews"))
+    return parsed.select(
+        *PULL, review_list(F.col("reviews")).alias("reviews"), F.col("reviews").isNull().alias("reviews_unreadable")
+    )
 
 
 def review_list(reviews: Column) -> Column:
@@ -102,7 +104,9 @@ def pull_rows(records: DataFrame, at: datetime | None = None) -> DataFrame:
 def pull_reject_reason() -> Column:
     """Why a detailed pull row cannot be stored: no author, a bad time or a bad review."""
     times = {f"{t} time": F.col("time")[t] for t in TIMES}
-    review = F.when(F.exists("reviews", lambda v: v["user_id"].isNull()), F.lit("missing reviewer")).when(
+    review = F.when(F.col("reviews_unreadable"), F.lit("unreadable reviews")).when(
+        F.exists("reviews", lambda v: v["user_id"].isNull()), F.lit("missing reviewer")
+    ).when(
         F.exists("reviews", lambda v: is_malformed_time(v["submitted"])), F.lit("malformed review time")
     )
     return F.coalesce(reject_reason({"author": F.col("user_id")}, times), review)

@@ -35,7 +35,7 @@ def repo_records(landed_repos: DataFrame, dt: date | Column) -> DataFrame:
     return parsed.select(
         "org_id",
         "org_name",
-        F.col("record.id").cast("string").alias("repo_id"),
+        landed.required(F.col("record.id"), F.col("repo_name"), "no id for repository").cast("string").alias("repo_id"),
         "repo_name",
         url_map(F.col("fields")).alias("urls"),
         pack(**{c: F.col(f"record.{c}") for c in COUNTERS}).alias("metrics"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import policies
-from tidemark.operators.incremental import Mode, high_water_marks, load
+from tidemark.operators.incremental import Mode, high_water_marks, load, reject_reason, split_rejects
 from tidemark.operators.scope import require_known, scope_pairs
 from tidemark.plans import contributors, expectations, orgs, pulls, repos, users
 from tidemark.sources import catalog
@@ -94,8 +94,11 @@ def _merge_repos(spark, database, landing, scope, at, mode) -> list[DataFrame]:
         report.append(_merged(spark, database, repos.TABLE, rows, policies.REPO_SNAPSHOT))
     if landing.contributors is not None:
         records = contributors.contributor_records(in_scope(landing.contributors), at)
-        rows = contributors.contributor_rollup(records)
-        report.append(_merged(spark, database, contributors.TABLE, rows, policies.CONTRIBUTORS))
+        with staged(records, "contributors") as records:
+            good, rejects = split_rejects(records, reject_reason({"author": F.col("user_id")}, {}))
+            rows = contributors.contributor_rollup(good)
+            counts = _merged(spark, database, contributors.TABLE, rows, policies.CONTRIBUTORS, frozen=True)
+            report.append(counts.withColumn("num_rejected_rows", F.lit(rejects.count()).cast("bigint")))
     if landing.pulls is not None:
         # Frozen before it is split, so that both halves see the same rows.
         with staged(_detailed_pulls(spark, database, landing, in_scope, at, mode), "pulls") as rows:

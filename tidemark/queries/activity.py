@@ -7,6 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import spaced
+from tidemark.functions.times import time_text
 from tidemark.operators.incremental import (
     high_water_marks,
     load,
@@ -146,7 +147,7 @@ def pulls_flat(spark, sf_dir):
 
 
 def api_time(ts):
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return time_text(ts, api=True)
 
 
 def landed_pulls(spark, sf_dir):

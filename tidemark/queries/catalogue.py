@@ -201,6 +201,21 @@ def landed_pages(spark, sf_dir):
     )
 
 
+@query(
+    """
+    SELECT p_partkey AS id, p_name AS name, CAST(p_size AS BIGINT) AS size, CAST(NULL AS VARCHAR) AS nation FROM part
+    UNION ALL SELECT s_suppkey, s_name, NULL, CAST(s_nationkey AS VARCHAR) FROM supplier
+    """
+)
+def inferred_records(spark, sf_dir):
+    """S3: documents of two shapes, read with the schema inferred over all of them."""
+    part = pack(id=F.col("p_partkey"), name=F.col("p_name"), size=F.col("p_size"))
+    supplier = pack(id=F.col("s_suppkey"), name=F.col("s_name"), nation=F.col("s_nationkey").cast("string"))
+    parts = table(spark, sf_dir, "part").select(F.to_json(part).alias("value"))
+    suppliers = table(spark, sf_dir, "supplier").select(F.to_json(supplier).alias("value"))
+    return landed.infer_records(parts.unionByName(suppliers))
+
+
 def mixed_docs(spark, sf_dir):
     """Event documents whose fields vary with the event type."""
     inner = F.concat(F.lit('{"'), "event_type", F.lit('_id": 1, "props": '), "props", F.lit("}"))

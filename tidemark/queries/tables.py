@@ -329,7 +329,7 @@ def landing_of(spark, sf_dir) -> Landing:
     WITH counts AS (
         SELECT 'source_orgs' AS table_name, (SELECT count(*) FROM region) AS n, NULL AS r
         UNION ALL SELECT 'source_repos', (SELECT count(*) FROM nation), NULL
-        UNION ALL SELECT 'source_contributors', (SELECT count(DISTINCT user_id) FROM events), NULL
+        UNION ALL SELECT 'source_contributors', (SELECT count(DISTINCT user_id) FROM events), 0
         UNION ALL SELECT 'source_pulls', (SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 9 <> 0),
                          (SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 9 = 0)
         UNION ALL SELECT 'expectations', (SELECT count(*) FROM part), NULL

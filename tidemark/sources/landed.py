@@ -46,9 +46,18 @@ def read_pages(spark: SparkSession, path: str, element: str, one_per_file: bool
 
 
 def explode_pages(pages: DataFrame, column: str, element: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Concatenate pages held in a text column: one row per record, as struct ``record``."""
-    rows = pages.select(*keep, F.explode(F.from_json(F.col(column), element)).alias("record"))
-    return rows
+    """Concatenate pages held in a text column: one row per record, as struct ``record``.
+
+    A page that is not JSON of that shape is an error, as its records would be lost.
+    """
+    records = required(F.from_json(F.col(column), element), F.col(column), "unreadable page")
+    return pages.select(*keep, F.explode(records).alias("record"))
+
+
+def required(value: Column, text: Column, message: str) -> Column:
+    """``value``, or an error naming the start of the text that did not yield one."""
+    wrong = F.raise_error(F.concat(F.lit(f"{message}: "), F.coalesce(F.left(text, F.lit(200)), F.lit("NULL"))))
+    return F.when(value.isNotNull(), value).otherwise(wrong)
 
 
 def parse_record(text: Column, ddl: str) -> Column:

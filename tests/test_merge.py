@@ -16,6 +16,7 @@ from tidemark.operators.merge import (
     merge_metrics,
     merge_plan,
 )
+from tidemark.plans import pulls
 from tidemark.sources import catalog
 
 DDL = "k int, j int, v int, gone boolean"
@@ -51,7 +52,7 @@ row = st.tuples(small, small, small, st.one_of(st.none(), st.booleans()))
 unique_source = st.lists(row, max_size=8, unique_by=lambda r: r[:2] if None not in r[:2] else object())
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(target=st.lists(row, max_size=10), source=unique_source, by_source=st.booleans(), broadcast=st.booleans())
 def test_merge_follows_the_rules(spark, target, source, by_source, broadcast):
     """Also with repeated target keys: each such row is decided on its own."""
@@ -205,6 +206,30 @@ def test_more_partitions_than_the_literal_limit(spark, database, monkeypatch, by
     assert counts["num_inserted_rows"] == sum(r[0] == "insert" for r in expected)
 
 
+@pytest.mark.parametrize("parts", [(), ("j",)])
+def test_empty_source(spark, database, parts):
+    name, empty = f"{database}.t", spark.createDataFrame([], DDL)
+    spec = MergeSpec(("k", "j"), SPEC.update_when, partition_by=parts)
+    assert tuple(catalog.merge_into(empty, name, spec).first()) == (0, 0, 0, 0)
+    catalog.merge_into(spark.createDataFrame([(1, 1, 1, None)], DDL), name, spec)
+    assert tuple(catalog.merge_into(empty, name, spec).first()) == (0, 0, 0, 0)
+    assert catalog.read(spark, name).count() == 1
+
+
+def test_blocks_keep_a_hot_repository_local(spark, database):
+    name = f"{database}.t"
+    rows_of = lambda ids, v: pulls.in_blocks(
+        spark.createDataFrame([("hot", str(i), (v,)) for i in ids], "repo_id string, pull_id string, time struct<updated: int>"), 10
+    )
+    catalog.merge_into(rows_of(range(100), 1), name, policies.PULLS_IN_BLOCKS)
+    before = set(spark.table(name).inputFiles())
+    counts = catalog.merge_into(rows_of(range(95, 105), 2), name, policies.PULLS_IN_BLOCKS).first()
+    assert tuple(counts) == (10, 5, 0, 5)
+    gone = before - set(catalog.read(spark, name).inputFiles())
+    assert gone and all("pull_block=9/" in f for f in gone)
+    assert catalog.read(spark, name).count() == 105
+
+
 def test_session_overwrite_mode_is_restored(spark, database):
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)

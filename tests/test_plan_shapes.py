@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidemark.operators.incremental import high_water_marks
+from tidemark.operators.incremental import fresh_records, high_water_marks
 from tidemark.operators.merge import MergeSpec, merge_actions, merge_plan
 from tidemark.operators.policies import PULLS
 from tidemark.plans.users import current_users
@@ -72,6 +72,36 @@ def test_a_shuffled_source_is_shuffled_once(spark, pulls, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_a_hot_group_is_split_among_tasks(spark, tmp_path):
+    """A third of the records in one repository: AQE splits that partition of the join."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {k: spark.conf.get(k) for k in conf if k != "spark.sql.adaptive.autoBroadcastJoinThreshold"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        repo = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 97)
+        updated = F.concat(F.lit("2024-01-0"), (F.col("id") % 9 + 1).cast("string"), F.lit("T00:00:00Z"))
+        records = spark.range(0, 60_000, 1, 8).select(
+            "id", repo.alias("repo_id"), updated.alias("updated_at"), F.md5(F.col("id").cast("string")).alias("title")
+        )
+        marks = spark.range(97).select(F.col("id").alias("repo_id"), F.expr("timestamp_ntz'2024-01-05 00:00:00'").alias("mark"))
+        fresh = fresh_records(records, marks, ("repo_id",), F.col("updated_at"))
+        assert len(fresh.collect()) == sum(i % 9 + 1 >= 5 for i in range(60_000))
+        assert "skew=true" in executed(fresh)
+        assert fresh.filter("updated_at < '2024-01-05'").isEmpty()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 def test_users_open_the_latest_day_only(spark, database):
     member = F.array(F.struct(F.col("id").cast("string").alias("id"), F.lit("n").alias("name")))
     days = spark.range(30).select(

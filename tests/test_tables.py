@@ -91,6 +91,14 @@ def test_failed_publish_leaves_the_table(spark, database):
     assert spark.table(name).count() == 3
 
 
+def test_a_column_called_location(spark, database):
+    name = f"{database}.t"
+    catalog.create_as(spark.sql("select 1 id, 'here' Location"), name)
+    catalog.publish(spark.sql("select 2 id, 'there' Location"), name)
+    assert rows(catalog.read(spark, name)) == [(2, "there")]
+    assert catalog.drop(spark, name)
+
+
 def test_drop_all(spark, database):
     catalog.create_as(spark.range(1), f"{database}.a")
     report = catalog.drop_all(spark, [f"{database}.a", f"{database}.b"])
@@ -152,6 +160,10 @@ def test_derived_table(spark, database):
         DerivedTable(name, build([]), spec).refresh(spark)
     with pytest.raises(TypeError):
         DerivedTable(name, "select 1", spec)
+    text = f"  SELECT user_id, 'z' as user_name FROM {name}"
+    assert DerivedTable.from_select(name, text, spec).refresh(spark).first()["num_updated_rows"] == 3
+    with pytest.raises(ValueError, match="select"):
+        DerivedTable.from_select(name, "delete from t", spec)
     with pytest.raises(TypeError):
         DerivedTable(name, build([]), "merge into")
 

@@ -6,6 +6,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from tidemark.operators.merge import MergeSpec
 
 # M1, M2: a day's snapshot replaces an earlier one of the same day.
@@ -26,6 +28,12 @@ PULLS = MergeSpec(
     partition_by=("repo_id",),
 )
 
+# M4 for tables with hot repositories: a block of ids follows from the id, so that it
+# changes nothing about which rows match, but a merge rewrites only blocks with changes.
+PULLS_IN_BLOCKS = replace(
+    PULLS, keys=("repo_id", "pull_id", "pull_block"), partition_by=("repo_id", "pull_block")
+)
+
 # M5: changed lists replace; what the source no longer has is marked, not removed.
 EXPECTATIONS = MergeSpec(
     keys=("expectation_name",),

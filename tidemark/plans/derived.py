@@ -27,6 +27,13 @@ class DerivedTable:
         if not isinstance(self.spec, MergeSpec):
             raise TypeError("spec must be a MergeSpec")
 
+    @classmethod
+    def from_select(cls, name: str, select: str, spec: MergeSpec) -> DerivedTable:
+        """A derived table whose query is SQL text; it must be a SELECT."""
+        if not isinstance(select, str) or not select.strip().lower().startswith("select"):
+            raise ValueError("the query must be text that starts with 'select'")
+        return cls(name, lambda spark: spark.sql(select), spec)
+
     def refresh(self, spark: SparkSession) -> DataFrame:
         """Run the query once, then merge its rows or create the table from them if absent.
 

@@ -75,6 +75,16 @@ def review_rollup(reviews: DataFrame, keys: tuple[str, ...], submitted: str, act
     )
 
 
+def in_blocks(pulls: DataFrame, ids_per_block: int = 10_000_000) -> DataFrame:
+    """Pulls with the block their id lies in, for ``policies.PULLS_IN_BLOCKS``.
+
+    Ids grow with time and updates mostly concern recent pulls, so most blocks of even
+    the largest repository stay as they are.
+    """
+    block = F.floor(F.col("pull_id").cast("bigint") / ids_per_block)
+    return pulls.withColumn("pull_block", block)
+
+
 def with_details(pulls: DataFrame, details: DataFrame, reviews: DataFrame) -> DataFrame:
     """Each pull with its counts and its list of reviews; a missing list is empty."""
     return pulls.join(details, list(PULL), "left").join(reviews, list(PULL), "left")

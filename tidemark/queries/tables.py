@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from tidemark.functions import times
 from tidemark.operators.layout import clustered
 from tidemark.operators.merge import MergeSpec
-from tidemark.operators.policies import PULLS
+from tidemark.operators.policies import PULLS, PULLS_IN_BLOCKS
 from tidemark.operators.profile import column_profile, freshness
 from tidemark.operators.select import select_ordered
 from tidemark.plans.derived import DerivedTable
+from tidemark.plans.pulls import in_blocks
 from tidemark.plans.workflow import Landing, run_all
 from tidemark.queries.activity import api_time
 from tidemark.queries.catalogue import schema_docs
@@ -226,7 +227,31 @@ def merge_into_partitions(spark, sf_dir):
     catalog.merge_into(rows(orders.filter("o_orderkey % 3 < 2"), 0), name, PULLS)
     catalog.merge_into(rows(orders.filter("o_orderkey % 3 = 2"), 0), name, PULLS)
     catalog.merge_into(rows(orders.filter("o_orderkey % 6 = 0"), 1), name, PULLS)
-    return spark.table(name).select("repo_id", "pull_id", "time.updated")
+    return catalog.read(spark, name).select("repo_id", "pull_id", "time.updated")
+
+
+@query(
+    """
+    SELECT CASE WHEN o_custkey % 3 < 2 THEN 'hot' ELSE 'other' END AS repo_id, CAST(o_orderkey AS VARCHAR) AS pull_id,
+           o_orderkey // 500 AS pull_block,
+           o_orderdate + CASE WHEN o_orderkey % 1000 < 20 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS updated
+    FROM orders WHERE o_custkey IS NOT NULL
+    """
+)
+def merge_into_blocks(spark, sf_dir):
+    """M4: a hot repository split into blocks of ids, few of them rewritten."""
+    repo = F.when(F.col("o_custkey") % 3 < 2, "hot").otherwise("other").alias("repo_id")
+
+    def rows(df, days):
+        updated = F.col("o_orderdate") + F.expr(f"interval {days} day")
+        key = F.col("o_orderkey").cast("string").alias("pull_id")
+        return in_blocks(df.select(repo, key, F.struct(updated.alias("updated")).alias("time")), 500)
+
+    orders = table(spark, sf_dir, "orders").filter("o_custkey is not null")
+    name = f"{scratch_database(spark)}.pulls"
+    catalog.merge_into(rows(orders, 0), name, PULLS_IN_BLOCKS)
+    catalog.merge_into(rows(orders.filter("o_orderkey % 1000 < 20"), 1), name, PULLS_IN_BLOCKS)
+    return catalog.read(spark, name).select("repo_id", "pull_id", "pull_block", "time.updated")
 
 
 @query(
@@ -266,7 +291,7 @@ def stream_intake(spark, sf_dir):
     take_in()
     land(orders.filter("o_orderkey % 5 = 0"), 1)
     take_in()
-    return spark.table(name).select("repo_id", "pull_id", "time.updated")
+    return catalog.read(spark, name).select("repo_id", "pull_id", "time.updated")
 
 
 def landing_of(spark, sf_dir) -> Landing:

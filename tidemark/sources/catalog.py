@@ -305,8 +305,9 @@ def _partition_columns(spark: SparkSession, name: str) -> list[str]:
 
 
 def _location(spark: SparkSession, name: str) -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
-    return described.filter("col_name = 'Location'").first()["data_type"]
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
+    # The table's own columns are described first, and one may have that name.
+    return described.collect()[-1]["data_type"]
 
 
 def _table_root(spark: SparkSession, name: str) -> str:

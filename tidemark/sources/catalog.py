@@ -197,43 +197,39 @@ def _merge(target: DataFrame, source: DataFrame, name: str, spec: MergeSpec, lim
         target = only_partitions(target, source if listed is None else listed, parts)
     actions = merge_actions(target, source, spec, small)
     with staged(actions.filter(F.col(ACTION) != KEEP), "merge-changes") as changed:
-        metrics, touched = _tally(changed, parts)
-        counts = metrics.first()
-        if not counts["num_affected_rows"]:
-            return metrics
-        if not counts["num_updated_rows"]:
+        counts, touched = _tally(changed, parts)
+        affected, updated, _, _ = counts
+        if affected and not updated:
             inserts = inserted_rows(source, spec.keys, changed)
             append(inserts.hint("rebalance", *parts) if parts else inserts, name)
-            return metrics
-        if parts:
-            target, source = (only_partitions(df, touched, parts) for df in (target, source))
-        if spec.by_source_when:
-            merged = merge_plan(target, source, spec, small).drop(ACTION)
-        else:
-            few = small or fits_broadcast(decided_rows(source, spec.keys, changed, UPDATE), limit)
-            merged = merge_decided(target, source, spec, changed, few)
-        if parts:
-            overwrite_partitions(merged, name)
-        else:
-            publish(merged, name)
-        return metrics
-
-
-def _tally(changed: DataFrame, parts: tuple[str, ...]) -> tuple[DataFrame, DataFrame | list[Row]]:
-    """(metrics, changed partitions) of the staged changes.
+        elif affected:
+            if parts:
+                target, source = (only_partitions(df, touched, parts) for df in (target, source))
+            if spec.by_source_when:
+                merged = merge_plan(target, source, spec, small).drop(ACTION)
+            else:
+                few = small or fits_broadcast(decided_rows(source, spec.keys, changed, UPDATE), limit)
+                merged = merge_decided(target, source, spec, changed, few)
+            if parts:
+                overwrite_partitions(merged, name)
+            else:
+                publish(merged, name)
+    return source.sparkSession.createDataFrame([counts], METRICS)
+
+
+def _tally(changed: DataFrame, parts: tuple[str, ...]) -> tuple[tuple[int, ...], DataFrame | list[Row]]:
+    """(counts in the order of METRICS, changed partitions) of the staged changes.
 
     The partitions are fetched if they are few, and left as a DataFrame if not.
     """
-    spark = changed.sparkSession
     per_part = changed.groupBy(ACTION, *parts).agg(F.count("*").alias("_rows"))
     rows = per_part.limit(LITERAL_PARTITIONS + 1).collect()
     if len(rows) > LITERAL_PARTITIONS:
-        return spark.createDataFrame([merge_metrics(changed).first()], METRICS), changed
+        return tuple(merge_metrics(changed).first()), changed
     count = {action: sum(r["_rows"] for r in rows if r[ACTION] == action) for action in ACTIONS}
     updated = count[UPDATE] + count[SOFT_DELETE]
-    metrics = [(updated + count[INSERT], updated, 0, count[INSERT])]
     touched = {tuple(r[c] for c in parts): r for r in rows}
-    return spark.createDataFrame(metrics, METRICS), list(touched.values())
+    return (updated + count[INSERT], updated, 0, count[INSERT]), list(touched.values())
 
 
 def _bootstrap(source: DataFrame, name: str, spec: MergeSpec) -> DataFrame:

@@ -233,8 +233,8 @@ def merge_into_partitions(spark, sf_dir):
 @query(
     """
     SELECT CASE WHEN o_custkey % 3 < 2 THEN 'hot' ELSE 'other' END AS repo_id, CAST(o_orderkey AS VARCHAR) AS pull_id,
-           o_orderkey // 500 AS pull_block,
-           o_orderdate + CASE WHEN o_orderkey % 1000 < 20 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS updated
+           o_orderkey // 5000 AS pull_block,
+           o_orderdate + CASE WHEN o_orderkey // 5000 % 3 = 0 AND o_orderkey % 50 < 2 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS updated
     FROM orders WHERE o_custkey IS NOT NULL
     """
 )
@@ -245,12 +245,12 @@ def merge_into_blocks(spark, sf_dir):
     def rows(df, days):
         updated = F.col("o_orderdate") + F.expr(f"interval {days} day")
         key = F.col("o_orderkey").cast("string").alias("pull_id")
-        return in_blocks(df.select(repo, key, F.struct(updated.alias("updated")).alias("time")), 500)
+        return in_blocks(df.select(repo, key, F.struct(updated.alias("updated")).alias("time")), 5000)
 
     orders = table(spark, sf_dir, "orders").filter("o_custkey is not null")
     name = f"{scratch_database(spark)}.pulls"
     catalog.merge_into(rows(orders, 0), name, PULLS_IN_BLOCKS)
-    catalog.merge_into(rows(orders.filter("o_orderkey % 1000 < 20"), 1), name, PULLS_IN_BLOCKS)
+    catalog.merge_into(rows(orders.filter("o_orderkey div 5000 % 3 = 0 and o_orderkey % 50 < 2"), 1), name, PULLS_IN_BLOCKS)
     return catalog.read(spark, name).select("repo_id", "pull_id", "pull_block", "time.updated")
 
 

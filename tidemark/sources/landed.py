@@ -57,7 +57,7 @@ def explode_pages(pages: DataFrame, column: str, element: str, keep: tuple[str,
 def required(value: Column, text: Column, message: str) -> Column:
     """``value``, or an error naming the start of the text that did not yield one."""
     wrong = F.raise_error(F.concat(F.lit(f"{message}: "), F.coalesce(F.left(text, F.lit(200)), F.lit("NULL"))))
-    return F.when(value.isNotNull(), value).otherwise(wrong)
+    return F.coalesce(value, wrong)  # which, unlike a CASE, parses the text once
 
 
 def parse_record(text: Column, ddl: str) -> Column:

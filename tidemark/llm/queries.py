@@ -1,4 +1,4 @@
 """All queries of this subpackage; importing it registers them."""
 
-from tidemark.llm import piece_encoding  # noqa: F401
+from tidemark.llm import html_text, piece_encoding, quality  # noqa: F401
 from tidemark.llm.common import ORACLES, QUERIES  # noqa: F401

@@ -1,4 +1,4 @@
 """All queries of this subpackage; importing it registers them."""
 
-from tidemark.llm import decontamination, html_text, near_copies, personal_data, piece_encoding, pivot_search, quality, token_counts  # noqa: F401
+from tidemark.llm import decontamination, html_text, near_copies, personal_data, piece_encoding, pivot_search, quality, suffix_tree, token_counts  # noqa: F401
 from tidemark.llm.common import ORACLES, QUERIES  # noqa: F401

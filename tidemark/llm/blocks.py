@@ -9,14 +9,107 @@ data and not in size.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 BLOCK_BYTES = 24_000_000
+#: Bytes of a block that are worked on at a time.
+CHUNK_BYTES = 4_000_000
+_BASE = 0x9E3779B97F4A7C15
+PACKED = pa.schema([("block", pa.int32()), *((k, pa.binary()) for k in ("ids", "nulls", "sizes", "data"))])
 DEALT = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 
 
+def blocks_for(docs: DataFrame, text_col: str) -> tuple[int, int]:
+    """Bytes of all texts, and the number of blocks for them."""
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+    return size, max(1, -(-size // BLOCK_BYTES))
+
+
+def packed(docs: DataFrame, blocks: int, encode: Callable[[bytes], bytes], id_col: str, text_col: str) -> DataFrame:
+    """Documents dealt to blocks by id, encoded, packed and compressed before they are shuffled."""
+
+    def pack(batches):
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            ids, block, texts = batch.column(0).to_pylist(), batch.column(1).to_numpy(), batch.column(2)
+            order = np.argsort(block, kind="stable")
+            out: dict[str, list] = {k: [] for k in PACKED.names}
+            for rows in np.split(order, np.flatnonzero(np.diff(block[order])) + 1) if len(order) else []:
+                data = [encode(texts[i].as_py() or b"") for i in rows.tolist()]
+                own = [ids[i] for i in rows.tolist()]
+                out["block"].append(int(block[rows[0]]))
+                out["ids"].append(np.array([i or 0 for i in own], np.int64).tobytes())
+                out["nulls"].append(np.array([i is None for i in own], np.uint8).tobytes())
+                out["sizes"].append(np.array([len(d) for d in data], np.int64).tobytes())
+                out["data"].append(press.compress(b"".join(data)))
+            yield pa.RecordBatch.from_pydict(out, PACKED)
+
+    # Rows without id are dealt by their text, so that they do not meet in one block.
+    key = F.xxhash64(id_col, F.when(F.col(id_col).isNull(), F.xxhash64(text_col)))
+    block = F.pmod(key, F.lit(blocks)).cast("int")
+    picked = docs.select(F.col(id_col).cast("bigint"), block, F.col(text_col).cast("string").cast("binary"))
+    return picked.mapInArrow(pack, "block int, ids binary, nulls binary, sizes binary, data binary")
+
+
+def chunks(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bytes]]:
+    """(ids, nulls, sizes, data) of a block's documents, some megabytes at a time."""
+    press = zstandard.ZstdDecompressor()
+    for row in rows.select(["ids", "nulls", "sizes", "data"]).to_pylist():
+        data = press.decompress(row["data"]) if row["data"] else b""
+        ids, nulls, sizes = (np.frombuffer(row[k], t) for k, t in (("ids", np.int64), ("nulls", np.bool_), ("sizes", np.int64)))
+        start = byte = 0
+        while start < len(ids):
+            stop = start + 1 + int(np.searchsorted(np.cumsum(sizes[start + 1 :]), CHUNK_BYTES - sizes[start], "right"))
+            length = int(sizes[start:stop].sum())
+            yield ids[start:stop], nulls[start:stop], sizes[start:stop], data[byte : byte + length]
+            start, byte = stop, byte + length
+
+
+class Hashes:
+    """64-bit polynomial hashes of any stretches of some bytes, from one running sum."""
+
+    def __init__(self, data: np.ndarray):
+        forward, self.backward = _powers(len(data) + 1)
+        self.run = np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * forward[:-1], dtype=np.uint64)]
+
+    def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        h = (self.run[stop] - self.run[start]) * self.backward[start]
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return h ^ (h >> np.uint64(32))
+
+    def width(self, n: int) -> np.ndarray:
+        """Of the n bytes from every place on."""
+        h = (self.run[n:] - self.run[:-n]) * self.backward[: len(self.run) - n]
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return h ^ (h >> np.uint64(32))
+
+
+@lru_cache(maxsize=1)
+def _all_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        powers = np.empty(n, np.uint64)
+        powers[0] = 1
+        done = 1
+        while done < n:
+            powers[done : 2 * done] = powers[: min(done, n - done)] * np.uint64(pow(base, done, 1 << 64))
+            done *= 2
+        out.append(powers)
+    return out[0], out[1]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    f, b = _all_powers(1 << max(22, (n - 1).bit_length()))
+    return f[:n], b[:n]
+
+
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     """Equal stretches of the 64-bit key space."""
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)

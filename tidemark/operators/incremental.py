@@ -47,13 +47,13 @@ def load(
     key: str | None = None,
     sample_size: int = 3,
 ) -> DataFrame:
-    """Records to take in: those new since the marks, all of them, or a small sample."""
+    """Records to take in: those new since the marks, all of them, or a small sample of each group."""
     if mode == "all":
         return records
     if mode == "sample":
         if key is None:
             raise ValueError("a sample needs the record's key")
-        return sample_rows(records, key, sample_size)
+        return sample_rows(records, key, sample_size, groups=groups)
     if marks is None or updated is None:
         raise ValueError("new records need marks and the time they were updated")
     return fresh_records(records, marks, groups, updated)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -38,10 +38,14 @@ def stack_by_position(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.union(second)
 
 
-def sample_rows(df: DataFrame, key: str, n: int = 3, seed: int = 0) -> DataFrame:
-    """``n`` rows picked by a hash of their key: the same ones on every run.
+def sample_rows(df: DataFrame, key: str, n: int = 3, seed: int = 0, groups: tuple[str, ...] = ()) -> DataFrame:
+    """``n`` rows picked by a hash of their key, of each group if there are ``groups``: the
+    same ones on every run.
 
-    Each task keeps its own best ``n``, so nothing but candidates is shuffled.
+    Each task keeps its own best ``n`` (of every group), so nothing but candidates is shuffled.
     """
     lot = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
-    return df.orderBy(lot, key).limit(n)
+    if not groups:
+        return df.orderBy(lot, key).limit(n)
+    place = F.row_number().over(Window.partitionBy(*groups).orderBy(lot, key))
+    return df.withColumn("_place", place).filter(F.col("_place") <= n).drop("_place")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,28 +26,38 @@ def pull_records(pages: DataFrame) -> DataFrame:
 
 
 def pull_details(texts: DataFrame) -> DataFrame:
-    """Counts of each pull from landed texts (repo_id, pull_number, detail)."""
-    parsed = texts.select(*PULL, landed.parse_record(F.col("detail"), landed.PULL_DETAIL).alias("d"))
+    """Counts of each pull from landed texts (repo_id, pull_number, detail).
+
+    ``details_unreadable`` tells a text that is no JSON object, or a count that is no int.
+    """
+    parsed = texts.select(*PULL, F.from_json("detail", "map<string,string>").alias("d"))
+    count = {name: F.col("d")[name] for name in landed.PULL_DETAIL}
+    unreadable = reduce(lambda a, b: a | b, [landed.is_unreadable(c, "int") for c in count.values()])
+    number = {name: landed.whole_number(c, "int") for name, c in count.items()}
     return parsed.select(
         *PULL,
         pack(
-            comment_count=F.col("d.comments"),
-            review_comment_count=F.col("d.review_comments"),
-            commit_count=F.col("d.commits"),
-            changed_file_count=F.col("d.changed_files"),
+            comment_count=number["comments"],
+            review_comment_count=number["review_comments"],
+            commit_count=number["commits"],
+            changed_file_count=number["changed_files"],
         ).alias("metrics"),
+        (F.col("d").isNull() | unreadable).alias("details_unreadable"),
     )
 
 
 def pull_reviews(texts: DataFrame) -> DataFrame:
-    """Reviews of each pull from landed texts (repo_id, pull_number, reviews).
+    """Reviews of each pull from landed texts (repo_id, pull_number, reviews), one row a page.
 
-    A pull's reviews are landed as one list, so they are not collected here.
+    Pages of one pull are concatenated, in the order of their texts; the list is bounded by
+    the pull. The join that follows has the same keys, so that this moves nothing twice.
     """
-    parsed = texts.select(*PULL, F.from_json("reviews", landed.REVIEWS).alias("reviews"))
-    return parsed.select(
-        *PULL, review_list(F.col("reviews")).alias("reviews"), F.col("reviews").isNull().alias("reviews_unreadable")
+    parsed = texts.select(*PULL, F.col("reviews").alias("page"), F.from_json("reviews", landed.REVIEWS).alias("reviews"))
+    pages = parsed.groupBy(*PULL).agg(
+        F.array_sort(F.collect_list(F.struct("page", "reviews"))).alias("pages"), F.bool_or(F.col("reviews").isNull()).alias("unreadable")
     )
+    reviews = F.flatten(F.transform("pages", lambda p: p["reviews"]))
+    return pages.select(*PULL, review_list(reviews).alias("reviews"), F.col("unreadable").alias("reviews_unreadable"))
 
 
 def review_list(reviews: Column) -> Column:
@@ -96,8 +107,8 @@ def pull_rows(records: DataFrame, at: datetime | None = None) -> DataFrame:
     return records.select(
         run_time(at).alias("api_request_time"),
         *IDS,
-        F.col(r + "id").cast("string").alias("pull_id"),
-        F.col(r + "number").cast("string").alias("pull_number"),
+        landed.whole_number(F.col(r + "id")).cast("string").alias("pull_id"),
+        landed.whole_number(F.col(r + "number")).cast("string").alias("pull_number"),
         F.col(r + "title").alias("title"),
         F.col(r + "user.id").cast("string").alias("user_id"),
         F.col(r + "labels.name").alias("labels"),
@@ -112,14 +123,17 @@ def pull_rows(records: DataFrame, at: datetime | None = None) -> DataFrame:
 
 
 def pull_reject_reason() -> Column:
-    """Why a detailed pull row cannot be stored: no author, a bad time or a bad review."""
+    """Why a detailed pull row cannot be stored: a part of its identity or its author is
+    missing or unreadable, a time, its details or a review is bad."""
     times = {f"{t} time": F.col("time")[t] for t in TIMES}
     review = F.when(F.col("reviews_unreadable"), F.lit("unreadable reviews")).when(
         F.exists("reviews", lambda v: v["user_id"].isNull()), F.lit("missing reviewer")
     ).when(
         F.exists("reviews", lambda v: is_malformed_time(v["submitted"])), F.lit("malformed review time")
     )
-    return F.coalesce(reject_reason({"author": F.col("user_id")}, times), review)
+    needed = {"author": "user_id", "id": "pull_id", "number": "pull_number", "repository": "repo_id"}
+    details = F.when(F.col("details_unreadable"), F.lit("unreadable details"))
+    return F.coalesce(reject_reason({name: F.col(c) for name, c in needed.items()}, times), review, details)
 
 
 def pull_facts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -25,26 +25,29 @@ COUNTERS = (
 
 
 def repo_records(landed_repos: DataFrame, dt: date | Column) -> DataFrame:
-    """Typed rows with their URLs, from landed texts (org_id, org_name, repo_name, repo)."""
-    fields = "id bigint, " + ", ".join(f"{c} int" for c in COUNTERS)
-    parsed = landed_repos.select(
-        "*",
-        landed.parse_record(F.col("repo"), fields).alias("record"),
-        F.from_json("repo", "map<string,string>").alias("fields"),
-    )
+    """Typed rows with their URLs, from landed texts (org_id, org_name, repo_name, repo).
+
+    A counter may be a number or text; one that is not an int is an error, never a NULL.
+    """
+    parsed = landed_repos.select("*", F.from_json("repo", "map<string,string>").alias("fields"))
     return parsed.select(
         "org_id",
         "org_name",
-        landed.required(F.col("record.id"), F.col("repo_name"), "no id for repository").cast("string").alias("repo_id"),
+        landed.required(landed.whole_number(F.col("fields")["id"]), F.col("repo_name"), "no id for repository").cast("string").alias("repo_id"),
         "repo_name",
         url_map(F.col("fields")).alias("urls"),
-        pack(**{c: F.col(f"record.{c}") for c in COUNTERS}).alias("metrics"),
+        pack(**{c: _counter(F.col("fields")[c], c) for c in COUNTERS}).alias("metrics"),
         (dt if isinstance(dt, Column) else F.lit(dt)).cast("date").alias("dt"),
     )
 
 
+def _counter(text: Column, name: str) -> Column:
+    wrong = F.raise_error(F.concat(F.lit(f"unreadable {name}: "), text)).cast("int")
+    return F.when(landed.is_unreadable(text, "int"), wrong).otherwise(landed.whole_number(text, "int"))
+
+
 def repo_snapshot(landed_repos: DataFrame, dt: date | Column) -> DataFrame:
-    """Snapshot rows as stored, without URLs; unused, they are not parsed either."""
+    """Snapshot rows as stored, without URLs."""
     return repo_records(landed_repos, dt).drop("urls")
 
 

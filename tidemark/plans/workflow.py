@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import policies
-from tidemark.operators.incremental import Mode, high_water_marks, load, reject_reason, split_rejects
+from tidemark.operators.incremental import Mode, high_water_marks, load, split_rejects
+from tidemark.operators.merge import METRICS, MergeSpec
 from tidemark.operators.scope import require_known, scope_pairs
+from tidemark.operators.sizing import fits_broadcast
 from tidemark.plans import contributors, expectations, orgs, pulls, repos, users
 from tidemark.sources import catalog
 from tidemark.sources.staging import staged
@@ -26,6 +28,14 @@ KINDS = {
     "reviews": "org_name string, repo_name string, pull_number string, reviews string",
     "expectations": "value string",
 }
+# Merge policies by table; ``users`` declares its own.
+SPECS = {
+    orgs.TABLE: policies.ORG_SNAPSHOT,
+    repos.TABLE: policies.REPO_SNAPSHOT,
+    contributors.TABLE: policies.CONTRIBUTORS,
+    pulls.TABLE: policies.PULLS,
+    expectations.TABLE: policies.EXPECTATIONS,
+}
 TABLES = (orgs.TABLE, repos.TABLE, contributors.TABLE, pulls.TABLE, expectations.TABLE, "users")
 
 
@@ -55,11 +65,15 @@ def run_all(
     repo_names: list[str],
     at: datetime | None = None,
     mode: Mode = "new",
+    specs: dict[str, MergeSpec] | None = None,
 ) -> DataFrame:
     """Upsert every table for the configured organizations and repositories.
 
-    Returns the merge counts of each table and how many records were set aside.
+    ``specs`` replaces the merge policies of tables named in it; a policy for pulls that is
+    partitioned by ``pull_block`` gets pulls divided into blocks. Returns the merge counts of
+    each table and how many records were set aside.
     """
+    spec = {**SPECS, **(specs or {})}
     at = at or datetime.now(timezone.utc)
     day = at.date()
     configured = spark.createDataFrame([(n,) for n in org_names], "org_name string")
@@ -67,22 +81,26 @@ def run_all(
 
     landed_orgs = landing.orgs.join(configured, "org_name", "left_semi")
     with staged(orgs.org_snapshot(landed_orgs, day), "orgs") as snapshot:
-        report = [_merged(spark, database, orgs.TABLE, snapshot, policies.ORG_SNAPSHOT, frozen=True)]
+        report = [_merged(spark, database, orgs.TABLE, snapshot, spec[orgs.TABLE], frozen=True)]
         listed = orgs.listed_repos(snapshot)
         wanted = spark.createDataFrame([(n,) for n in repo_names], "repo_name string")
         pairs = scope_pairs(listed, configured, wanted)
         with staged(listed.join(pairs, ["org_name", "repo_name"], "left_semi"), "scope") as scope:
-            report += _merge_repos(spark, database, landing, scope, at, mode)
+            report += _merge_repos(spark, database, landing, scope, at, mode, spec)
     if landing.expectations is not None:
         rows = expectations.core_expectations(landing.expectations)
-        report.append(_merged(spark, database, expectations.TABLE, rows, policies.EXPECTATIONS))
+        report.append(_merged(spark, database, expectations.TABLE, rows, spec[expectations.TABLE]))
 
     table = users.users_table(f"{database}.users", f"{database}.{orgs.TABLE}")
-    report.append(table.refresh(spark).withColumn("table_name", F.lit("users")))
+    if table.build(spark).isEmpty():  # nobody is listed on the latest day: nothing to merge
+        counts = spark.createDataFrame([(0, 0, 0, 0)], METRICS)
+    else:
+        counts = table.refresh(spark)
+    report.append(counts.withColumn("table_name", F.lit("users")))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), report)
 
 
-def _merge_repos(spark, database, landing, scope, at, mode) -> list[DataFrame]:
+def _merge_repos(spark, database, landing, scope, at, mode, spec) -> list[DataFrame]:
     """The merges of everything below a repository, each over all repositories at once."""
     report = []
 
@@ -91,20 +109,24 @@ def _merge_repos(spark, database, landing, scope, at, mode) -> list[DataFrame]:
 
     if landing.repos is not None:
         rows = repos.repo_snapshot(in_scope(landing.repos), at.date())
-        report.append(_merged(spark, database, repos.TABLE, rows, policies.REPO_SNAPSHOT))
+        report.append(_merged(spark, database, repos.TABLE, rows, spec[repos.TABLE]))
     if landing.contributors is not None:
         records = contributors.contributor_records(in_scope(landing.contributors), at)
         with staged(records, "contributors") as records:
-            good, rejects = split_rejects(records, reject_reason({"author": F.col("user_id")}, {}))
+            good, rejects = split_rejects(records, contributors.contributor_reject_reason())
             rows = contributors.contributor_rollup(good)
-            counts = _merged(spark, database, contributors.TABLE, rows, policies.CONTRIBUTORS, frozen=True)
+            counts = _merged(spark, database, contributors.TABLE, rows, spec[contributors.TABLE], frozen=True)
             report.append(counts.withColumn("num_rejected_rows", F.lit(rejects.count()).cast("bigint")))
     if landing.pulls is not None:
-        # Frozen before it is split, so that both halves see the same rows.
-        with staged(_detailed_pulls(spark, database, landing, in_scope, at, mode), "pulls") as rows:
-            facts, rejects = pulls.pull_facts(rows)
-            counts = _merged(spark, database, pulls.TABLE, facts, policies.PULLS, frozen=True)
-            report.append(counts.withColumn("num_rejected_rows", F.lit(rejects.count()).cast("bigint")))
+        # Fresh pulls first: only their details and reviews are parsed. All is frozen before it
+        # is split, so that both halves see the same rows.
+        with staged(_fresh_pulls(spark, database, landing, in_scope, at, mode), "fresh") as fresh:
+            with staged(_detailed_pulls(landing, in_scope, fresh), "pulls") as rows:
+                facts, rejects = pulls.pull_facts(rows)
+                if "pull_block" in spec[pulls.TABLE].partition_by:
+                    facts = pulls.in_blocks(facts)
+                counts = _merged(spark, database, pulls.TABLE, facts, spec[pulls.TABLE], frozen=True)
+                report.append(counts.withColumn("num_rejected_rows", F.lit(rejects.count()).cast("bigint")))
     return report
 
 
@@ -113,7 +135,7 @@ def delete_all(spark: SparkSession, database: str) -> DataFrame:
     return catalog.drop_all(spark, [f"{database}.{t}" for t in TABLES])
 
 
-def _detailed_pulls(spark, database, landing, in_scope, at, mode) -> DataFrame:
+def _fresh_pulls(spark, database, landing, in_scope, at, mode) -> DataFrame:
     records = pulls.pull_records(in_scope(landing.pulls))
     stored = catalog.read(spark, f"{database}.{pulls.TABLE}")
     groups = ("org_id", "repo_id")
@@ -122,11 +144,23 @@ def _detailed_pulls(spark, database, landing, in_scope, at, mode) -> DataFrame:
         records = load(records, "new", marks=marks, groups=groups, updated=F.col("record.updated_at"))
     elif mode == "sample":
         keyed = records.withColumn("_key", F.concat_ws("/", "repo_id", F.col("record.id").cast("string")))
-        records = load(keyed, "sample", key="_key").drop("_key")
-    rows = pulls.pull_rows(records, at)
-    details = pulls.pull_details(in_scope(landing.details))
-    reviews = pulls.pull_reviews(in_scope(landing.reviews))
-    return pulls.with_details(rows, details, reviews)
+        records = load(keyed, "sample", key="_key", groups=groups).drop("_key")
+    return pulls.pull_rows(records, at)
+
+
+def _detailed_pulls(landing, in_scope, fresh: DataFrame) -> DataFrame:
+    """Fresh pulls with their details and reviews; texts of other pulls are not parsed."""
+    keys = fresh.select(*pulls.PULL).distinct()
+    if fits_broadcast(keys):
+        keys = F.broadcast(keys)
+
+    def wanted(kind: str, body: str) -> DataFrame:
+        texts = getattr(landing, kind)
+        if texts is None:
+            texts = fresh.sparkSession.createDataFrame([], KINDS[kind])
+        return in_scope(texts).select(*pulls.PULL, body).join(keys, list(pulls.PULL), "left_semi")
+
+    return pulls.with_details(fresh, pulls.pull_details(wanted("details", "detail")), pulls.pull_reviews(wanted("reviews", "reviews")))
 
 
 def _merged(spark, database, table, rows, spec, frozen=False) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,14 +17,14 @@ REPOS = (
 )
 CONTRIBUTORS = (
     "array<struct<author: struct<id: bigint, login: string>,"
-    " weeks: array<struct<w: bigint, a: int, d: int, c: int>>>>"
+    " weeks: array<struct<w: string, a: string, d: string, c: string>>>>"
 )
 PULLS = (
-    "array<struct<id: bigint, number: int, title: string, user: struct<id: bigint>,"
+    "array<struct<id: string, number: string, title: string, user: struct<id: bigint>,"
     " labels: array<struct<name: string>>, draft: boolean,"
     " created_at: string, updated_at: string, closed_at: string, merged_at: string>>"
 )
-PULL_DETAIL = "comments int, review_comments int, commits int, changed_files int"
+PULL_DETAIL = ("comments", "review_comments", "commits", "changed_files")
 REVIEWS = "array<struct<id: bigint, user: struct<id: bigint>, state: string, submitted_at: string>>"
 
 
@@ -65,6 +66,16 @@ def parse_record(text: Column, ddl: str) -> Column:
     return F.from_json(text, ddl)
 
 
+def whole_number(text: Column, kind: str = "bigint") -> Column:
+    """A number given as a number or as text; NULL if it is neither or does not fit ``kind``."""
+    return text.try_cast(kind)
+
+
+def is_unreadable(text: Column, kind: str = "bigint") -> Column:
+    """True where there is a value but no number of that kind in it."""
+    return text.isNotNull() & whole_number(text, kind).isNull()
+
+
 def pick_fields(text: Column, fields: Mapping[str, tuple[str, str]]) -> list[Column]:
     """Fields of records whose shape varies: name → (JSON path, type).
 
@@ -86,7 +97,17 @@ def infer_schema(texts: DataFrame, column: str = "value") -> str:
     kind = texts.filter(is_object).agg(F.schema_of_variant_agg(doc)).first()[0]
     if not kind or not kind.startswith("OBJECT<"):
         raise ValueError("there is no JSON object to infer a schema from")
-    return kind.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
+    return _as_ddl(kind)
+
+
+def _as_ddl(kind: str) -> str:
+    """A variant's schema as DDL. Only type words change, which stand at the start or behind
+    ``: `` or ``ARRAY<``; field names stay, those in backticks whatever they hold."""
+    parts = re.split(r"(`(?:[^`]|``)*`)", kind)
+    for i in range(0, len(parts), 2):
+        parts[i] = re.sub(r"(^|: |ARRAY<)OBJECT<" if i == 0 else r"(: |ARRAY<)OBJECT<", r"\1STRUCT<", parts[i])
+        parts[i] = re.sub(r"(: |ARRAY<)VOID(?=[,>]|$)", r"\1STRING", parts[i])
+    return "".join(parts)
 
 
 def infer_records(texts: DataFrame, column: str = "value") -> DataFrame:
@@ -114,12 +135,24 @@ def file_catalogue(spark: SparkSession, root: str, prefix: str) -> DataFrame:
     No such file is an error. The filter on the file path prunes files before reading.
     """
     files = read_texts(spark, root)
-    found = files.filter(F.contains("path", F.lit(f"{root.rstrip('/')}/{prefix}")))
+    found = files.filter(_plain_path(F.col("path")).startswith(_plain_path(F.lit(_encoded(spark, root, prefix)))))
     if found.isEmpty():
         raise ValueError(f"no file below {root} starts with {prefix}")
     return found
 
 
+def _encoded(spark: SparkSession, root: str, prefix: str) -> str:
+    """A path as Spark reports those of files: qualified and URL-encoded."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{prefix}")
+    qualified = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder)
+    return qualified.toUri().toString() + ("/" if prefix.endswith("/") or not prefix else "")
+
+
+def _plain_path(path: Column) -> Column:
+    """A local path has one slash or three behind its scheme."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
 def read_with_fallback(spark: SparkSession, primary: str, fallback: str) -> DataFrame:
     """The texts of ``primary``, or those of ``fallback`` if none of them is JSON."""
     try:

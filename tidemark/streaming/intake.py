@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.merge import MergeSpec
+from tidemark.operators.sizing import any_null
 from tidemark.sources import catalog
 
 
@@ -15,11 +16,14 @@ def newest_per_key(rows: DataFrame, keys: tuple[str, ...], version: str) -> Data
     """One row per key, the one with the greatest ``version``.
 
     A batch may hold several landings of one record. Copies are combined before the
-    shuffle, so a key with very many of them is not gathered.
+    shuffle, so a key with very many of them is not gathered. A NULL key matches nothing,
+    so rows with one are all kept.
     """
+    own = F.when(any_null(keys), F.monotonically_increasing_id())
     hashable = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
     rank = F.struct(F.col(version), F.xxhash64(*hashable))
-    newest = rows.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
+    marked = rows.withColumns({f"_k_{k}": F.col(k) for k in keys} | {"_own": own})
+    newest = marked.groupBy(*[f"_k_{k}" for k in keys], "_own").agg(
         F.max_by(F.struct(*rows.columns), rank).alias("row")
     )
     return newest.select("row.*")

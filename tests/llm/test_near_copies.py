@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
@@ -71,6 +72,36 @@ def test_families_at_the_border(spark, monkeypatch, small, large):
     assert found(nc.near_copies(docs)) == brute(rows)
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_branching_in_a_node(monkeypatch, percent):
+    """One node with many members, compared where they are: as all pairs."""
+    monkeypatch.setattr(nc, "SMALL", 8)
+    rng = random.Random(9)
+    texts = [t for _ in range(5) for t in family(rng, 200, 25, 8)]
+    words = nc.Hashed()
+    sketch = np.array([np.frombuffer(nc.signature(nc.shingles(t, words))[1], np.uint8) for t in texts])
+    n = len(texts)
+    node = np.zeros(n, np.int64)
+    for trial in range(29):  # further trees, as other nodes with the same members
+        node = np.r_[node, np.full(n, trial + 1)]
+    rep = np.tile(np.arange(n), 30)
+    search = nc.Confirm(node, sketch[rep], rep, percent, rep, pa.array([texts[i] for i in rep]))
+    search.run()
+    up = list(range(n))
+
+    def root(i):
+        return i if up[i] == i else root(up[i])
+
+    for a, b in search.links:
+        x, y = root(rep[a]), root(rep[b])
+        up[max(x, y)] = min(x, y)
+    want = brute(list(enumerate(texts)), percent)
+    assert [root(i) for i in range(n)] == [want[i][1] for i in range(n)]
+    forest = nc.Propose(node, sketch[rep], rep, percent)
+    forest.run()
+    assert len(forest.links) < n
+
+
 def test_chain_of_links(spark):
     words = [f"w{i}" for i in range(1000)]
     rows = [(i, " ".join(words[3 * i : 3 * i + 200])) for i in range(60)]

@@ -12,15 +12,16 @@ Classes are then searched for links:
   again, unless most of their members are linked to one of them anyway; nodes too large for one
   task branch in Spark, and what never gets small is compared in pairs of chunks.
 * A node proposes only the edges of a forest of its likely links, most similar first, and each
-  is confirmed on the full sets. Where one fails, the nodes it came from are looked at again and
-  propose every likely link between sets that are not connected yet. No list of all pairs of a
-  group is ever made, and no likely link is left out.
+  is confirmed on the full sets. Where one fails, the nodes it came from are looked at again: the
+  texts of members with a likely link to something that is not connected to them come to the
+  node, which confirms link after link until all likely ones are connected or refuted. No list
+  of a group's pairs is ever made, and no likely link is left out.
 
 Components are found by alternating stars. Nothing but counts reaches the driver.
 
 Defined results: NULL texts and texts without words have an empty set and link with nothing; a
 text of fewer than five words is one shingle; rows without id are compared with nothing, have
-no component and are kept; rows that repeat an id are judged by their own text; extra columns
+no component and are kept; rows that repeat an id are judged by their own text (where such an id represents a class, either text may stand for it); extra columns
 are not looked at.
 """
 
@@ -39,8 +40,6 @@ from tidemark.operators.sizing import fits_broadcast
 SHINGLE = 5
 TREES = 12
 SKETCH = 128
-#: Share of equal sketch bytes from which two sets may be linked: four deviations below 0.85.
-LIKELY = 92
 #: A node is compared exhaustively up to the first size, within one task up to the second.
 SMALL, LARGE = 64, 4096
 LEVELS = 8
@@ -57,6 +56,12 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def likely_bytes(percent: int) -> int:
+    """Number of equal sketch bytes from which two sets may be linked: four deviations below the border."""
+    p = percent / 100
+    return int(SKETCH * (p - 4 * (p * (1 - p) / SKETCH) ** 0.5))
+
+
 class Hashed(dict):
     """Word -> hash, remembered up to a bound."""
 
@@ -163,108 +168,206 @@ class Forest:
         return i != j
 
 
-def likely_links(node: np.ndarray, sketch: np.ndarray, labels: np.ndarray, every: bool) -> list[tuple[int, int]]:
-    """Pairs of positions that may be linked, from nodes given as sorted runs of ``node``.
+class Search:
+    """Finds likely links among the members of nodes, given as sorted runs of ``node``.
 
-    ``labels`` tells what is connected already. Only a forest of the likely links is returned,
-    or ``every`` one between groups that are not connected.
+    ``labels`` tells what is connected already. ``found`` is called with a position and those of
+    its likely partners that it was not connected to at the start, the most similar first.
     """
-    forest = Forest(labels)
-    roots = np.array(forest.up)
-    out: list[tuple[int, int]] = []
-    tiny: dict[int, list[np.ndarray]] = {}
-    todo = [(m, 0) for m in np.split(np.arange(len(node)), np.flatnonzero(np.diff(node)) + 1) if len(m) > 1]
-    rest = []
-    for m, level in todo:
-        if len(m) <= 8:
-            tiny.setdefault(len(m), []).append(m)
-        else:
-            rest.append((m, level))
-    pairs = []
-    for size, members in tiny.items():
-        grid = np.array(members)
-        i, j = np.triu_indices(size, 1)
-        a, b = grid[:, i].ravel(), grid[:, j].ravel()
-        apart = roots[a] != roots[b]
-        a, b = a[apart], b[apart]
-        for at in range(0, len(a), 50_000):
-            x, y = a[at : at + 50_000], b[at : at + 50_000]
-            equal = (sketch[x] == sketch[y]).sum(axis=1)
-            keep = equal >= LIKELY
-            pairs.append(np.stack([equal[keep], x[keep], y[keep]], axis=1))
-    if pairs:
-        found = np.vstack(pairs)
-        for _, a, b in found[np.argsort(-found[:, 0], kind="stable")].tolist():
-            if every or forest.join(a, b):
-                out.append((a, b))
-    while rest:
-        m, level = rest.pop()
-        if len(m) < 2:
-            continue
-        if len(m) > SMALL:
-            linked = m[1:][(sketch[m[1:]] == sketch[m[0]]).sum(axis=1) >= LIKELY]
-            if 2 * len(linked) < len(m) and level < 40:
-                # Too mixed to compare all: branch by a further minwise token.
-                step = sketch[m, TREES + (level * 37 + int(node[m[0]] & 63)) % (SKETCH - TREES)]
-                order = np.argsort(step, kind="stable")
-                rest += [(m[p], level + 1) for p in np.split(order, np.flatnonzero(np.diff(step[order])) + 1) if len(p) > 1]
-                # The branches may part the links of the first member; they are proposed here.
-                for b in linked.tolist():
-                    if (roots[m[0]] != roots[b]) if every else forest.join(int(m[0]), b):
-                        out.append((int(m[0]), b))
+
+    def __init__(self, node: np.ndarray, sketch: np.ndarray, labels: np.ndarray, percent: int, live: bool):
+        self.node, self.sketch, self.live = node, sketch, live
+        self.percent, self.likely = percent, likely_bytes(percent)
+        self.forest = Forest(labels)
+        self.at_start = np.array(self.forest.up)
+
+    def found(self, a: int, partners: list[int]) -> None:
+        raise NotImplementedError
+
+    def groups(self, m: np.ndarray) -> np.ndarray:
+        """What is connected now, or was at the start if links are not followed."""
+        return np.array([self.forest.root(x) for x in m.tolist()]) if self.live else self.at_start[m]
+
+    def run(self) -> None:
+        tiny: dict[int, list[np.ndarray]] = {}
+        rest = []
+        for m in np.split(np.arange(len(self.node)), np.flatnonzero(np.diff(self.node)) + 1):
+            if 1 < len(m) <= 8:
+                tiny.setdefault(len(m), []).append(m)
+            elif len(m) > 1:
+                rest.append((m, 0))
+        self._tiny(tiny)
+        while rest:
+            m, level = rest.pop()
+            if len(m) > SMALL:
+                equal = (self.sketch[m[1:]] == self.sketch[m[0]]).sum(axis=1)
+                linked = m[1:][equal >= self.likely]
+                if 2 * len(linked) < len(m) and level < 40:
+                    # Too mixed to compare all: branch by a further minwise token. The branches
+                    # may part the first member from its partners, which are told here.
+                    apart = linked[self.groups(linked) != self.groups(m[:1])[0]]
+                    if len(apart):
+                        self.found(int(m[0]), apart.tolist())
+                    step = self.sketch[m, TREES + (level * 37 + int(self.node[m[0]] & 63)) % (SKETCH - TREES)]
+                    order = np.argsort(step, kind="stable")
+                    rest += [(m[p], level + 1) for p in np.split(order, np.flatnonzero(np.diff(step[order])) + 1) if len(p) > 1]
+                    continue
+            self._all(m)
+
+    def _tiny(self, tiny: dict[int, list[np.ndarray]]) -> None:
+        """All nodes of one small size together."""
+        pairs = []
+        for size, members in tiny.items():
+            grid = np.array(members)
+            i, j = np.triu_indices(size, 1)
+            a, b = grid[:, i].ravel(), grid[:, j].ravel()
+            apart = self.at_start[a] != self.at_start[b]
+            a, b = a[apart], b[apart]
+            for at in range(0, len(a), 50_000):
+                x, y = a[at : at + 50_000], b[at : at + 50_000]
+                equal = (self.sketch[x] == self.sketch[y]).sum(axis=1)
+                keep = equal >= self.likely
+                pairs.append(np.stack([equal[keep], x[keep], y[keep]], axis=1))
+        if pairs:
+            every = np.vstack(pairs)
+            for _, a, b in every[np.argsort(-every[:, 0], kind="stable")].tolist():
+                self.found(a, [b])
+
+    def _all(self, m: np.ndarray) -> None:
+        """Exhaustive comparison of one node; members already connected are passed over."""
+        group = self.groups(m)
+        for k in range(len(m) - 1):
+            ahead = np.flatnonzero(group[k + 1 :] != group[k]) + k + 1
+            if not len(ahead):
+                if (group[k:] == group[k]).all():
+                    break
                 continue
-        out += _all_links(m, sketch, forest, roots, every)
-    return out
-
-
-def _all_links(m: np.ndarray, sketch: np.ndarray, forest: Forest, roots: np.ndarray, every: bool) -> list[tuple[int, int]]:
-    """Exhaustive comparison of one node; members already connected are passed over."""
-    out = []
-    # What is connected, as one number per member; joined numbers are made equal as links are found.
-    group = roots[m] if every else np.array([forest.root(x) for x in m.tolist()])
-    for k in range(len(m) - 1):
-        ahead = np.flatnonzero(group[k + 1 :] != group[k]) + k + 1
-        if not len(ahead):
-            if (group[k:] == group[k]).all():
-                break
-            continue
-        equal = (sketch[m[ahead]] == sketch[m[k]]).sum(axis=1)
-        hits = ahead[equal >= LIKELY]
-        for j in hits[np.argsort(-equal[equal >= LIKELY], kind="stable")].tolist():
-            if every:
-                out.append((int(m[k]), int(m[j])))
-            elif group[j] != group[k]:
-                forest.join(int(m[k]), int(m[j]))
-                group[group == group[j]] = group[k]
-                out.append((int(m[k]), int(m[j])))
-    return out
-
-
-def propose(nodes: DataFrame, every: bool) -> DataFrame:
-    """(bucket, a, b): likely links of the nodes of every bucket; nodes need a column ``label``."""
+            equal = (self.sketch[m[ahead]] == self.sketch[m[k]]).sum(axis=1)
+            hits = equal >= self.likely
+            if hits.any():
+                self.found(int(m[k]), m[ahead[hits]][np.argsort(-equal[hits], kind="stable")].tolist())
+                if self.live:
+                    group = self.groups(m)
+
+
+class Propose(Search):
+    """A forest of likely links."""
+
+    def __init__(self, node, sketch, labels, percent):
+        super().__init__(node, sketch, labels, percent, True)
+        self.links: list[tuple[int, int]] = []
+
+    def found(self, a, partners):
+        self.links += [(a, b) for b in partners if self.forest.join(a, b)]
+
+
+class Open(Search):
+    """Members with a likely link to something they are not connected to."""
+
+    def __init__(self, node, sketch, labels, percent):
+        super().__init__(node, sketch, labels, percent, False)
+        self.flags = np.zeros(len(node), bool)
+
+    def found(self, a, partners):
+        self.flags[a] = True
+        self.flags[partners] = True
+
+
+class Confirm(Search):
+    """A forest of links confirmed on the full sets of the members' texts."""
+
+    def __init__(self, node, sketch, labels, percent, rep, texts):
+        super().__init__(node, sketch, labels, percent, True)
+        self.rep, self.texts = rep, texts
+        self.words, self.sets = Hashed(), {}
+        self.links: list[tuple[int, int]] = []
+
+    def _set(self, i: int) -> np.ndarray:
+        r = int(self.rep[i])
+        if r not in self.sets:
+            self.sets[r] = shingles(self.texts[i].as_py(), self.words)
+        return self.sets[r]
+
+    def found(self, a, partners):
+        for b in partners:
+            if self.forest.root(a) != self.forest.root(b) and similar(self._set(a), self._set(b), self.percent):
+                self.forest.join(a, b)
+                self.links.append((a, b))
+
+
+def similar(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    least, most = sorted((len(s), len(t)))
+    if not least or 100 * least < percent * most:
+        return False
+    both = len(np.intersect1d(s, t, assume_unique=True))
+    return 100 * both >= percent * (len(s) + len(t) - both)
+
+
+def _columns(rows: pa.Table) -> tuple[pa.Table, list[np.ndarray]]:
+    rows = rows.sort_by([("node", "ascending"), ("rep", "ascending")])
+    node, rep, label = (rows.column(c).to_numpy() for c in ("node", "rep", "label"))
+    sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+    return rows, [node, sketch, label, rep]
+
+
+def _link_table(bucket: int, links: list[tuple[int, int]], rep: np.ndarray) -> pa.Table:
+    made = sorted({(int(min(rep[a], rep[b])), int(max(rep[a], rep[b]))) for a, b in links})
+    return pa.table({"bucket": pa.array([bucket] * len(made), pa.int32()), "a": pa.array([p[0] for p in made], pa.int64()), "b": pa.array([p[1] for p in made], pa.int64())})
+
+
+NODE = ("bucket", "node", "rep", "label", "sketch")
+
+
+def propose(nodes: DataFrame, percent: int) -> DataFrame:
+    """(bucket, a, b): a forest of likely links of every bucket's nodes."""
 
     def links(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("node", "ascending"), ("rep", "ascending")])
-        node, rep, label = (rows.column(c).to_numpy() for c in ("node", "rep", "label"))
-        sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
-        # A class has one label but a row for each of its nodes.
-        pairs = {(min(rep[a], rep[b]), max(rep[a], rep[b])) for a, b in likely_links(node, sketch, label, every)}
-        bucket = rows.column("bucket")[0].as_py()
-        made = sorted(p for p in pairs if p[0] != p[1])
-        return pa.table(
-            {"bucket": pa.array([bucket] * len(made), pa.int32()), "a": pa.array([p[0] for p in made], pa.int64()), "b": pa.array([p[1] for p in made], pa.int64())}
-        )
+        rows, (node, sketch, label, rep) = _columns(rows)
+        search = Propose(node, sketch, label, percent)
+        search.run()
+        return _link_table(rows.column("bucket")[0].as_py(), search.links, rep)
 
-    return nodes.select("bucket", "node", "rep", "label", "sketch").groupBy("bucket").applyInArrow(links, "bucket int, a bigint, b bigint")
+    return nodes.select(*NODE).groupBy("bucket").applyInArrow(links, "bucket int, a bigint, b bigint")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """(a, b, linked) of the pairs, by their full sets."""
-    ids = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
+def still_open(nodes: DataFrame, percent: int) -> DataFrame:
+    """The rows of members with a likely link to a set they are not connected to."""
+
+    def flagged(rows: pa.Table) -> pa.Table:
+        rows, (node, sketch, label, _) = _columns(rows)
+        search = Open(node, sketch, label, percent)
+        search.run()
+        return rows.select(list(NODE)).filter(pa.array(search.flags))
+
+    return nodes.select(*NODE).groupBy("bucket").applyInArrow(flagged, "bucket int, node bigint, rep bigint, label bigint, sketch binary")
+
+
+def settle(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """(a, b): a forest of the confirmed links of the nodes, compared on full sets where they are."""
+    texts = _texts_of(nodes.select("rep"), docs, id_col, text_col)
+
+    def links(rows: pa.Table) -> pa.Table:
+        rows, (node, sketch, label, rep) = _columns(rows)
+        search = Confirm(node, sketch, label, percent, rep, rows.column("text"))
+        search.run()
+        return _link_table(rows.column("bucket")[0].as_py(), search.links, rep).select(["a", "b"])
+
+    return nodes.join(texts, "rep").select(*NODE, "text").groupBy("bucket").applyInArrow(links, "a bigint, b bigint")
+
+
+def _texts_of(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(rep, text) of the ids in ``ids``; rows that repeat an id count once, with the text whose set the class has."""
+    ids = ids.toDF("rep").distinct()
     if fits_broadcast(ids):
         ids = F.broadcast(ids)
-    texts = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    texts = texts.join(ids, "doc", "left_semi")
+    texts = docs.select(F.col(id_col).cast("bigint").alias("rep"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    return texts.join(ids, "rep", "left_semi")
+
+
+def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """(a, b, linked) of the pairs, by their full sets."""
+    ids = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
+    texts = _texts_of(ids, docs, id_col, text_col)
 
     def compared(batch: pa.RecordBatch) -> pa.RecordBatch:
         known = Hashed()
@@ -273,12 +376,11 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, perce
             if left != last:
                 last, s = left, shingles(left, known)
             t = shingles(right, known)
-            both = len(np.intersect1d(s, t, assume_unique=True))
-            linked.append(both > 0 and 100 * both >= percent * (len(s) + len(t) - both))
+            linked.append(similar(s, t, percent))
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
 
-    right = pairs.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
-    joined = right.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
+    right = pairs.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b")
+    joined = right.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a")
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(per_batch(compared, 500), "a bigint, b bigint, linked boolean")
 
 
@@ -294,17 +396,15 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     buckets = max(1, -(-nodes.count() // (2 * LARGE)))
     nodes = nodes.withColumn("bucket", F.pmod(F.xxhash64("node"), F.lit(buckets)).cast("int"))
 
-    proposed = stage(propose(nodes.withColumn("label", F.col("rep")), False), "proposed")
+    proposed = stage(propose(nodes.withColumn("label", F.col("rep")), percent), "proposed")
     judged = stage(confirm(proposed.select("a", "b").distinct(), docs, id_col, text_col, percent), "judged")
     links = judged.where("linked").select("a", "b")
     failed = judged.where("not linked").select("a", "b")
     if not failed.isEmpty():
         again = proposed.join(failed, ["a", "b"], "left_semi").select("bucket").distinct()
         label = components(links).select(F.col("vertex").alias("rep"), F.col("component").alias("label"))
-        open_nodes = nodes.join(again, "bucket", "left_semi").join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-        more = propose(open_nodes, True).select("a", "b").distinct().join(failed, ["a", "b"], "left_anti")
-        more = confirm(stage(more, "proposed"), docs, id_col, text_col, percent)
-        links = links.unionByName(stage(more.where("linked").select("a", "b"), "judged"))
+        doubtful = nodes.join(again, "bucket", "left_semi").join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        links = links.unionByName(stage(settle(stage(still_open(doubtful, percent), "open"), docs, id_col, text_col, percent), "settled"))
     label = components(links).select(F.col("vertex").alias("rep"), "component")
     of_class = classes.select(*key, "rep").join(label, "rep", "left").select(*key, F.coalesce("component", "rep").alias("component"))
     joined = signed.select("doc", *key).join(of_class, key, "left")

@@ -207,7 +207,7 @@ def _unmatched_source(t: DataFrame, s: DataFrame, keys: tuple[str, ...], broadca
     present = t.select(*keys)
     if broadcast_source:
         present = present.join(F.broadcast(s.select(*keys)), list(keys), "left_semi")
-    return s.alias("s").join(present.distinct().alias("t"), _key_match(keys), "left_anti")
+    return s.alias("s").join(present.alias("t"), _key_match(keys), "left_anti")
 
 
 def _by_source(t: DataFrame, spec: MergeSpec, out: list[str]) -> DataFrame:

@@ -39,13 +39,13 @@ def measured(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0))).first()[0]
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES, rows: int | None = None) -> bool:
     """Whether the data is proven to take no more than ``limit`` bytes in memory.
 
-    Data with too many rows to fit is told by their count alone, so that only data that
-    may be small is measured.
+    Data with too many rows to fit is told by their count alone, given as ``rows`` if it is
+    known already, so that only data that may be small is measured.
     """
-    if limit <= 0 or df.count() * _fixed_bytes(df.schema) > limit:
+    if limit <= 0 or (df.count() if rows is None else rows) * _fixed_bytes(df.schema) > limit:
         return False
     return measured(df) <= limit
 

@@ -16,7 +16,7 @@ from tidemark.operators.incremental import (
 )
 from tidemark.operators.merge import ACTION, merge_actions, merge_metrics, merge_plan
 from tidemark.operators.policies import CONTRIBUTORS, PULLS
-from tidemark.plans.contributors import active_weeks, contributor_rollup
+from tidemark.plans.contributors import active_weeks, contributor_records, contributor_reject_reason, contributor_rollup
 from tidemark.plans.pulls import (
     pull_details,
     pull_facts,
@@ -26,8 +26,9 @@ from tidemark.plans.pulls import (
     review_rollup,
     with_details,
 )
-from tidemark.queries.registry import query, table
-from tidemark.sources.staging import stage
+from tidemark.queries.registry import query, scratch_database, table
+from tidemark.sources import catalog
+from tidemark.sources.staging import stage, staged
 
 AT = datetime(2024, 2, 1, 12, 0, 0)
 
@@ -341,7 +342,7 @@ def merge_null_keys(spark, sf_dir):
     """
     SELECT r_name AS org_name, n_name AS repo_name, coalesce(max(o_orderdate), TIMESTAMP '1970-01-01') AS mark
     FROM nation JOIN region ON n_regionkey = r_regionkey
-    LEFT JOIN (customer JOIN orders ON o_custkey = c_custkey AND o_orderstatus = 'F')
+    LEFT JOIN (customer JOIN orders ON o_custkey = c_custkey)
         ON c_nationkey = n_nationkey AND n_nationkey % 6 <> 0
     GROUP BY 1, 2
     """
@@ -356,8 +357,7 @@ def high_water_mark(spark, sf_dir):
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select("n_nationkey", F.col("r_name").alias("org_name"), F.col("n_name").alias("repo_name"))
     )
-    orders = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'")
-    by_customer = high_water_marks(orders, ("o_custkey",), "o_orderdate")
+    by_customer = high_water_marks(table(spark, sf_dir, "orders"), ("o_custkey",), "o_orderdate")
     customers = table(spark, sf_dir, "customer").filter("c_nationkey % 6 <> 0").select("c_custkey", "c_nationkey")
     by_nation = high_water_marks(
         by_customer.join(customers, F.col("o_custkey") == F.col("c_custkey")), ("c_nationkey",), "mark"
@@ -395,6 +395,97 @@ def sample_pulls(spark, sf_dir):
     return load(orders, "sample", key="o_orderkey")
 
 
+@query(
+    """
+    SELECT o_custkey, o_orderkey FROM orders
+    QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY md5(CAST(o_orderkey AS VARCHAR) || ':0'), o_orderkey) <= 3
+    """
+)
+def sample_per_group(spark, sf_dir):
+    """three records of every group, picked by a hash of their key."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
+    return load(orders, "sample", key="o_orderkey", groups=("o_custkey",))
+
+
+def paged_pulls(spark, sf_dir):
+    """Orders as pulls, lines as their reviews in pages of two line numbers; ids, details and pages partly corrupt."""
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    key, day = F.col("o_orderkey"), F.col("o_orderdate")
+    ids = [F.lit("1").alias("org_id"), F.lit("org").alias("org_name"), F.lit("5").alias("repo_id"), F.lit("repo").alias("repo_name")]
+    body = F.struct(
+        F.when(key % 29 == 0, F.concat(F.lit("x"), key.cast("string"))).otherwise(key.cast("string")).alias("id"),
+        key.alias("number"), F.struct(F.coalesce("o_custkey", F.lit(0)).alias("id")).alias("user"), api_time(day).alias("updated_at"),
+    )
+    pages = orders.select(*ids, F.to_json(F.array(body)).alias("page"))
+    number = key.cast("string").alias("pull_number")
+    detail = F.when(key % 31 == 0, "not json").when(key % 37 == 0, '{"commits": "many"}').when(key % 41 == 0, '{"commits": 3000000000}').otherwise('{"commits": "12"}')
+    details = orders.select(ids[2], number, detail.alias("detail"))
+    review = F.struct(F.col("l_linenumber").alias("id"), F.struct(F.col("l_suppkey").alias("id")).alias("user"),
+                      F.lit("APPROVED").alias("state"), api_time(F.col("l_shipdate")).alias("submitted_at"))
+    review_pages = lines.groupBy(F.col("l_orderkey").alias("k"), F.floor(F.col("l_linenumber") / 2).alias("at")).agg(F.collect_list(review).alias("page"))
+    reviews = review_pages.select(ids[2], F.col("k").cast("string").alias("pull_number"), F.to_json("page").alias("reviews"))
+    return with_details(pull_rows(pull_records(pages), AT), pull_details(details), pull_reviews(reviews))
+
+
+UNREADABLE = """CASE WHEN o_orderkey % 29 = 0 THEN 'missing id'
+                     WHEN o_orderkey % 31 = 0 OR o_orderkey % 37 = 0 OR o_orderkey % 41 = 0 THEN 'unreadable details' END"""
+
+
+@query(
+    f"""
+    WITH r AS (SELECT l_orderkey, count(*) AS reviews, min(l_suppkey) AS first_reviewer FROM lineitem GROUP BY 1)
+    SELECT CAST(o_orderkey AS VARCHAR) AS pull_number, CAST(12 AS INTEGER) AS commit_count, coalesce(reviews, 0) AS reviews, first_reviewer
+    FROM orders LEFT JOIN r ON l_orderkey = o_orderkey WHERE {UNREADABLE} IS NULL
+    """
+)
+def pull_review_pages(spark, sf_dir):
+    """Reviews landed in several pages a pull, concatenated before the join."""
+    facts, _ = pull_facts(paged_pulls(spark, sf_dir))
+    first = F.array_min(F.transform("reviews", lambda r: r["user_id"].cast("bigint")))
+    return facts.select(
+        "pull_number", "metrics.commit_count", F.coalesce(F.array_size("reviews"), F.lit(0)).cast("bigint").alias("reviews"), first.alias("first_reviewer")
+    )
+
+
+@query(f"SELECT * FROM (SELECT CAST(o_orderkey AS VARCHAR) AS pull_number, {UNREADABLE} AS reject_reason FROM orders) WHERE reject_reason IS NOT NULL")
+def unreadable_pulls(spark, sf_dir):
+    """pulls whose id or details do not parse are set aside with the reason."""
+    _, rejects = pull_facts(paged_pulls(spark, sf_dir))
+    return rejects.select("pull_number", "reject_reason")
+
+
+@query(
+    f"""
+    WITH n AS (SELECT count(*) AS good FROM orders WHERE {UNREADABLE} IS NULL)
+    SELECT 1 AS run, good AS num_inserted_rows, CAST(0 AS BIGINT) AS num_updated_rows FROM n
+    UNION ALL SELECT 2, CAST(0 AS BIGINT), CAST(0 AS BIGINT)
+    """
+)
+def unreadable_pulls_again(spark, sf_dir):
+    """A merge of a landing with corrupt records, repeated, changes nothing."""
+    name = f"{scratch_database(spark)}.pulls"
+    with staged(pull_facts(paged_pulls(spark, sf_dir))[0], "pulls") as facts:
+        runs = [catalog.merge_into(facts, name, PULLS, frozen=True).first() for _ in range(2)]
+    rows = [(n + 1, r["num_inserted_rows"], r["num_updated_rows"]) for n, r in enumerate(runs)]
+    return spark.createDataFrame(rows, "run int, num_inserted_rows bigint, num_updated_rows bigint")
+
+
+@query(
+    """
+    WITH p AS (SELECT DISTINCT user_id FROM events)
+    SELECT CAST(user_id AS VARCHAR) AS user_id, CASE WHEN user_id % 7 = 0 THEN 'unreadable week' END AS reject_reason FROM p
+    """
+)
+def unreadable_weeks(spark, sf_dir):
+    """a contributor with a week whose count does not parse is set aside, not cut short."""
+    people = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("n"))
+    week = F.struct(F.lit(1704067200).alias("w"), F.when(F.col("user_id") % 7 == 0, "many").otherwise(F.col("n").cast("string")).alias("a"), F.lit(0).alias("d"), F.lit(1).alias("c"))
+    record = F.struct(F.struct(F.col("user_id").alias("id"), F.lit("someone").alias("login")).alias("author"), F.array(week).alias("weeks"))
+    ids = [F.lit("1").alias("org_id"), F.lit("org").alias("org_name"), F.lit("5").alias("repo_id"), F.lit("repo").alias("repo_name")]
+    records = contributor_records(people.select(*ids, F.to_json(F.array(record)).alias("page")), AT)
+    return records.select("user_id", contributor_reject_reason().alias("reject_reason"))
+
+
 @query(
     """
     SELECT event_id, CASE WHEN event_id % 17 = 0 OR user_id IS NULL THEN 'missing user'

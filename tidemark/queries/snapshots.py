@@ -88,12 +88,17 @@ def users_merge(spark, sf_dir):
     return merge_plan(target, source, USERS).withColumnRenamed(ACTION, "action")
 
 
+def _or_empty(df, column):
+    return F.coalesce(F.col(column), F.array().cast(df.schema[column].dataType))
+
+
 def landed_orgs(spark, sf_dir):
-    """Organization texts as received. Lists hold at most one block of 100 keys, and the
+    """Organization texts as received, with members, repositories or both. Lists hold at most one block of 100 keys, and the
     sets collapse copies before the shuffle."""
     block = lambda key: F.floor(F.col(key) / 100)
     members = (
         table(spark, sf_dir, "customer")
+        .filter("c_custkey is not null")
         .groupBy(block("c_custkey").alias("org"))
         .agg(F.collect_set(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("login"))).alias("members"))
     )
@@ -109,6 +114,7 @@ def landed_orgs(spark, sf_dir):
     )
     repos = (
         table(spark, sf_dir, "part")
+        .filter("p_partkey is not null")
         .groupBy(block("p_partkey").alias("org"))
         .agg(F.collect_set(repo).alias("repos"))
     )
@@ -118,7 +124,10 @@ def landed_orgs(spark, sf_dir):
         (F.size("repos") - hidden).alias("public_repos"),
         hidden.alias("owned_private_repos"),
     )
-    return members.join(repos, "org").select(
+    every = members.join(repos, "org", "full").withColumns(
+        {"members": _or_empty(members, "members"), "repos": _or_empty(repos, "repos")}
+    )
+    return every.select(
         F.concat(F.lit("org-"), F.col("org").cast("string")).alias("org_name"),
         F.to_json(org).alias("org"),
         F.to_json("members").alias("members"),
@@ -128,22 +137,22 @@ def landed_orgs(spark, sf_dir):
 
 @query(
     """
-    WITH m AS (SELECT c_custkey // 100 AS org, count(*) AS members FROM customer GROUP BY 1),
+    WITH m AS (SELECT c_custkey // 100 AS org, count(*) AS members FROM customer WHERE c_custkey IS NOT NULL GROUP BY 1),
     r AS (
         SELECT p_partkey // 100 AS org, count(*) AS repos,
                count(*) FILTER (WHERE p_size % 2 = 0) AS hidden,
                count(*) FILTER (WHERE p_size % 5 = 0) AS archived,
                min('repo-' || CAST(p_partkey AS VARCHAR)) AS first_repo,
                max(TIMESTAMP '2021-01-01' + p_size * INTERVAL 1 DAY) AS last_update
-        FROM part GROUP BY 1
+        FROM part WHERE p_partkey IS NOT NULL GROUP BY 1
     )
-    SELECT CAST(m.org AS VARCHAR) AS org_id, 'org-' || CAST(m.org AS VARCHAR) AS org_name,
-           CAST(members AS INTEGER) AS member_count,
-           CAST(repos - hidden AS INTEGER) AS public_repo_count,
-           CAST(hidden AS INTEGER) AS private_repo_count,
-           CAST(archived AS INTEGER) AS archived_count,
+    SELECT CAST(org AS VARCHAR) AS org_id, 'org-' || CAST(org AS VARCHAR) AS org_name,
+           CAST(coalesce(members, 0) AS INTEGER) AS member_count,
+           CAST(coalesce(repos - hidden, 0) AS INTEGER) AS public_repo_count,
+           CAST(coalesce(hidden, 0) AS INTEGER) AS private_repo_count,
+           CAST(coalesce(archived, 0) AS INTEGER) AS archived_count,
            first_repo, last_update, DATE '2024-01-02' AS dt
-    FROM m JOIN r USING (org)
+    FROM m FULL JOIN r USING (org)
     """
 )
 def org_snapshot_flat(spark, sf_dir):
@@ -164,11 +173,11 @@ def org_snapshot_flat(spark, sf_dir):
 
 @query(
     """
-    WITH m AS (SELECT DISTINCT c_custkey // 100 AS org FROM customer)
-    SELECT CAST(p_partkey // 100 AS VARCHAR) AS org_id,
-           string_agg('repo-' || CAST(p_partkey AS VARCHAR), ',' ORDER BY 'repo-' || CAST(p_partkey AS VARCHAR))
-               AS repo_names
-    FROM part JOIN m ON m.org = p_partkey // 100 GROUP BY 1
+    WITH m AS (SELECT DISTINCT c_custkey // 100 AS org FROM customer WHERE c_custkey IS NOT NULL),
+    r AS (SELECT p_partkey // 100 AS org,
+                 string_agg('repo-' || CAST(p_partkey AS VARCHAR), ',' ORDER BY 'repo-' || CAST(p_partkey AS VARCHAR)) AS names
+          FROM part WHERE p_partkey IS NOT NULL GROUP BY 1)
+    SELECT CAST(org AS VARCHAR) AS org_id, coalesce(names, '') AS repo_names FROM m FULL JOIN r USING (org)
     """
 )
 def org_repo_names(spark, sf_dir):
@@ -311,7 +320,7 @@ def scope_unknown(spark, sf_dir):
     """
     SELECT CAST(p_partkey AS VARCHAR) AS repo_id, 'repo-' || CAST(p_partkey AS VARCHAR) AS repo_name,
            'org-' || CAST(p_partkey // 100 AS VARCHAR) AS org_name
-    FROM part WHERE p_partkey // 100 IN (SELECT c_custkey // 100 FROM customer)
+    FROM part WHERE p_partkey IS NOT NULL
     """
 )
 def listed_repositories(spark, sf_dir):

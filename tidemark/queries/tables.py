@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from tidemark.functions import times
-from tidemark.operators.layout import clustered
+from tidemark.operators.layout import cluster_table, file_layout
 from tidemark.operators.merge import MergeSpec
 from tidemark.operators.policies import PULLS, PULLS_IN_BLOCKS
 from tidemark.operators.profile import column_profile, freshness
@@ -18,20 +17,13 @@ from tidemark.plans.pulls import in_blocks
 from tidemark.plans.workflow import Landing, run_all
 from tidemark.queries.activity import api_time
 from tidemark.queries.catalogue import schema_docs
-from tidemark.queries.registry import query, table
+from tidemark.queries.registry import query, scratch_database, table
 from tidemark.session import scratch_path
 from tidemark.sources import catalog
-from tidemark.sources.staging import sql_over, stage
+from tidemark.sources.staging import sql_over
 from tidemark.streaming.intake import merge_stream
 
 
-def scratch_database(spark) -> str:
-    """A database of its own for one query's tables, kept in the scratch folder."""
-    name = f"tidemark_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, 'database')}'")
-    return name
-
-
 @query(
     """
     SELECT count(*) AS row_count,
@@ -145,10 +137,11 @@ def sql_over_frames(spark, sf_dir):
     """
 )
 def clustered_write(spark, sf_dir):
-    """The contents after a clustered write are what they were before."""
-    lines = table(spark, sf_dir, "lineitem")
-    written = stage(clustered(lines, ["l_shipdate", "l_partkey", "l_returnflag"], files=8), "clustered")
-    return written.groupBy("l_suppkey", "l_returnflag").agg(
+    """The contents of a table rewritten clustered are what they were before."""
+    name = f"{scratch_database(spark)}.lines"
+    catalog.create_as(table(spark, sf_dir, "lineitem"), name)
+    cluster_table(spark, name, ["l_shipdate", "l_partkey", "l_returnflag"])
+    return catalog.read(spark, name).groupBy("l_suppkey", "l_returnflag").agg(
         F.count("*").alias("lines"),
         F.sum("l_quantity").alias("quantity"),
         F.min("l_shipdate").alias("first_ship"),
@@ -157,6 +150,29 @@ def clustered_write(spark, sf_dir):
     )
 
 
+@query(
+    """
+    SELECT count(*) AS rows, count(DISTINCT o_orderpriority) AS priorities, true AS narrower
+    FROM orders WHERE o_orderkey IS NOT NULL
+    """
+)
+def clustered_ranges(spark, sf_dir):
+    """After clustering by prefixed text, a file's range of values is a part of the whole."""
+    name = F.format_string("repository-%012d", "o_orderkey").alias("name")
+    orders = table(spark, sf_dir, "orders").filter("o_orderkey is not null").select(name, "o_orderpriority")
+    table_name = f"{scratch_database(spark)}.names"
+    catalog.create_as(orders, table_name)
+    cluster_table(spark, table_name, ["name"], target_bytes=1 << 16)
+    written = catalog.read(spark, table_name)
+    ranges = file_layout(written, ["name"])
+    whole = written.agg(F.count("*").alias("rows"), F.count_distinct("o_orderpriority").alias("priorities"))
+    # Ranges of files must not overlap but at their ends: a sum of widths below twice the whole.
+    width = F.substring("max_name", 12, 12).cast("bigint") - F.substring("min_name", 12, 12).cast("bigint")
+    low, high = F.min(F.substring("min_name", 12, 12).cast("bigint")), F.max(F.substring("max_name", 12, 12).cast("bigint"))
+    overlap = ranges.agg(F.coalesce(F.sum(width) < 2 * (high - low) + 1, F.lit(True)).alias("narrower"))
+    return whole.withColumn("narrower", F.lit(overlap.first()[0]))
+
+
 @query(
     """
     SELECT o_orderkey, o_orderstatus, 'created' AS origin FROM orders WHERE o_orderstatus = 'F'
@@ -235,7 +251,7 @@ def merge_into_partitions(spark, sf_dir):
     SELECT CASE WHEN o_custkey % 3 < 2 THEN 'hot' ELSE 'other' END AS repo_id, CAST(o_orderkey AS VARCHAR) AS pull_id,
            o_orderkey // 5000 AS pull_block,
            o_orderdate + CASE WHEN o_orderkey // 5000 % 3 = 0 AND o_orderkey % 50 < 2 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS updated
-    FROM orders WHERE o_custkey IS NOT NULL
+    FROM orders
     """
 )
 def merge_into_blocks(spark, sf_dir):
@@ -247,7 +263,7 @@ def merge_into_blocks(spark, sf_dir):
         key = F.col("o_orderkey").cast("string").alias("pull_id")
         return in_blocks(df.select(repo, key, F.struct(updated.alias("updated")).alias("time")), 5000)
 
-    orders = table(spark, sf_dir, "orders").filter("o_custkey is not null")
+    orders = table(spark, sf_dir, "orders")
     name = f"{scratch_database(spark)}.pulls"
     catalog.merge_into(rows(orders, 0), name, PULLS_IN_BLOCKS)
     catalog.merge_into(rows(orders.filter("o_orderkey div 5000 % 3 = 0 and o_orderkey % 50 < 2"), 1), name, PULLS_IN_BLOCKS)

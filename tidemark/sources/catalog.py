@@ -208,7 +208,7 @@ def _merge(target: DataFrame, source: DataFrame, name: str, spec: MergeSpec, lim
             if spec.by_source_when:
                 merged = merge_plan(target, source, spec, small).drop(ACTION)
             else:
-                few = small or fits_broadcast(decided_rows(source, spec.keys, changed, UPDATE), limit)
+                few = small or fits_broadcast(decided_rows(source, spec.keys, changed, UPDATE), limit, rows=updated)
                 merged = merge_decided(target, source, spec, changed, few)
             if parts:
                 overwrite_partitions(merged, name)

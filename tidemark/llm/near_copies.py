@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.blocks import distinct
 from tidemark.llm.common import fresh, lower_words, per_batch, query, stage, table
 from tidemark.llm.components import components
 from tidemark.operators.sizing import fits_broadcast
@@ -84,7 +85,7 @@ def shingles(text: str, known: Hashed) -> np.ndarray:
     total = np.full(n, width, np.uint64)
     for k in range(width):
         total += mixed(h[k : k + n] + np.uint64(k)) * _PLACES[k]
-    return np.unique(mixed(total))
+    return distinct(mixed(total))
 
 
 def signature(s: np.ndarray) -> tuple[np.ndarray, bytes]:

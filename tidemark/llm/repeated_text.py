@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.blocks import Hashes, blocks_for, chunks, dealt, keys_of, packed, part_of, read_counts, small_counts, small_keys, summed
+from tidemark.llm.blocks import Hashes, blocks_for, chunks, dealt, distinct, keys_of, packed, part_of, read_counts, small_counts, small_keys, summed
 from tidemark.llm.common import query, stage, table
 
 MIN_BYTES = 50
@@ -126,7 +126,7 @@ def _repeated_keys(keys: DataFrame) -> DataFrame:
 def _repeated_runs(runs: list[Runs], told: pa.Table, bits: int) -> list[np.ndarray]:
     """For each chunk of a block, the places of its runs with a repeated key."""
     short = [r.key >> np.uint64(64 - bits) << np.uint64(64 - bits) for r in runs]
-    every = np.unique(np.concatenate(short)) if short else np.zeros(0, np.uint64)
+    every = distinct(np.concatenate(short)) if short else np.zeros(0, np.uint64)
     told = told.sort_by("part").to_pylist()
     flags = [np.unpackbits(np.frombuffer(t["repeated"], np.uint8), count=t["size"]).astype(bool) for t in told]
     flag = np.concatenate(flags) if flags else np.zeros(0, bool)

@@ -54,32 +54,38 @@ OUTPUTS = {
 
 
 class Runs:
-    """Runs of windows with one key in some documents: keys, first and last-plus-one window, document."""
+    """Runs of windows with one key in some documents: keys, first and last-plus-one window, document, hash."""
 
     def __init__(self, ids: np.ndarray, nulls: np.ndarray, sizes: np.ndarray, data: bytes, least: int):
         self.ids, self.nulls, self.sizes = ids, nulls, sizes
         self.bytes = np.frombuffer(data, np.uint8)
-        self.hashes = Hashes(self.bytes)
         ends = np.cumsum(sizes)
         self.doc_start = ends - sizes
         width = max(1, int(least * KEY_SHARE))
         if len(data) < least:
-            self.key, self.start, self.stop, self.doc = np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 3
+            self.key = self.mark = np.zeros(0, np.uint64)
+            self.start = self.stop = self.doc = np.zeros(0, np.int64)
             return
-        key = self.hashes.width(width)
+        hashes = Hashes(self.bytes)
+        key = hashes.width(width)
         span, reach = least - width + 1, 1
         while reach * 2 <= span:
             key = np.minimum(key[:-reach], key[reach:])
             reach *= 2
         if span > reach:
             key = np.minimum(key[: len(key) - (span - reach)], key[span - reach :])
-        doc = np.repeat(np.arange(len(sizes)), sizes)[: len(key)]
-        inside = (np.arange(len(key)) + least <= ends[doc]) & ~nulls[doc]
-        cut = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]) | (inside[1:] != inside[:-1])])
+        # Windows that cross a document's end are none; they also part the runs of two documents.
+        inside = np.ones(len(key), bool)
+        cross = (ends[:, None] - np.arange(1, least)).ravel()
+        inside[cross[(cross >= 0) & (cross < len(key))]] = False
+        cut = np.flatnonzero((key[1:] != key[:-1]) | (inside[1:] != inside[:-1])) + 1
+        cut = np.r_[0, cut]
         stop = np.r_[cut[1:], len(key)]
-        usable = inside[cut]
-        self.start, self.stop = cut[usable], stop[usable]
-        self.key, self.doc = key[self.start], doc[self.start]
+        doc = np.searchsorted(ends, cut, "right")
+        usable = inside[cut] & ~nulls[doc]
+        self.start, self.stop, self.doc = cut[usable], stop[usable], doc[usable]
+        self.key = key[self.start]
+        self.mark = hashes.of(self.start, self.stop + least - 1)
 
 
 def _block_runs(rows: pa.Table, least: int) -> list[Runs]:
@@ -135,14 +141,14 @@ def _repeated_runs(runs: list[Runs], told: pa.Table, bits: int) -> list[np.ndarr
     return [np.flatnonzero(flag[np.searchsorted(every, s)]) if len(s) else np.zeros(0, np.int64) for s in short]
 
 
-def _stretches(runs: list[Runs], places: list[np.ndarray], least: int):
+def _stretches(runs: list[Runs], places: list[np.ndarray]):
     """The different stretches of a block's repeated runs, sorted by key and hash.
 
     Returns their keys, chunk and place of one run for each, smallest document, and for every
     chunk the stretch of each of its repeated runs.
     """
     key = np.concatenate([r.key[p] for r, p in zip(runs, places, strict=True)])
-    mark = np.concatenate([r.hashes.of(r.start[p], r.stop[p] + least - 1) for r, p in zip(runs, places, strict=True)])
+    mark = np.concatenate([r.mark[p] for r, p in zip(runs, places, strict=True)])
     size = np.concatenate([r.stop[p] - r.start[p] for r, p in zip(runs, places, strict=True)])
     doc = np.concatenate([r.ids[r.doc[p]] for r, p in zip(runs, places, strict=True)])
     order = np.lexsort((size, mark, key))
@@ -164,26 +170,24 @@ def _send_stretches(packs: DataFrame, told: DataFrame, parts: int, bits: int, le
     def send(_, rows: pa.Table, told: pa.Table) -> pa.Table:
         runs = _block_runs(rows, least)
         places = _repeated_runs(runs, told, bits)
-        key, where, smallest, _, size = _stretches(runs, places, least)
-        texts = [(r, p) for r, p in zip(runs, places, strict=True)]
-        offset = np.cumsum([0, *(len(p) for p in places)])
+        key, where, smallest, _, size = _stretches(runs, places)
+        data = np.concatenate([r.bytes for r in runs])
+        before = np.cumsum([0, *(len(r.bytes) for r in runs)])
+        start = np.concatenate([r.start[p] + b for r, p, b in zip(runs, places, before[:-1], strict=True)])[where]
+        length = size + least - 1
         part = part_of(key, parts)
         used, starts = np.unique(part, return_index=True)
         out: dict[str, list] = {k: [] for k in ("part", "block", "keys", "sizes", "docs", "data")}
         block = rows.column("block")[0].as_py()
         for p, lo, hi in zip(used.tolist(), starts.tolist(), [*starts.tolist(), len(key)][1:], strict=True):
-            data = []
-            for w in where[lo:hi].tolist():
-                c = int(np.searchsorted(offset, w, "right")) - 1
-                r, own = texts[c]
-                i = own[w - offset[c]]
-                data.append(r.bytes[r.start[i] : r.stop[i] + least - 1].tobytes())
+            many = length[lo:hi]
+            at = np.repeat(start[lo:hi] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
             out["part"].append(p)
             out["block"].append(block)
             out["keys"].append(small_keys(key[lo:hi]))
             out["sizes"].append(small_counts(size[lo:hi]))
             out["docs"].append(zstandard.compress(smallest[lo:hi].tobytes(), 1))
-            out["data"].append(zstandard.compress(b"".join(data), 3))
+            out["data"].append(zstandard.compress(data[at].tobytes(), 3))
         types = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
         return pa.table([pa.array(v, t) for v, t in zip(out.values(), types, strict=True)], names=list(out))
 
@@ -197,12 +201,11 @@ def equal_windows(data: np.ndarray, start: np.ndarray, count: np.ndarray, least:
     a number of their own, from -1 downwards.
     """
     total = int(count.sum())
-    first = np.repeat(start, count) + np.arange(total) - np.repeat(np.cumsum(count) - count, count)
     result = -1 - np.arange(total)
     # Suffixes in the order of their next bytes up to the window's end, and their intervals.
-    row = np.arange(total)
-    interval = np.zeros(total, np.int32)
-    at = first + least
+    row = np.arange(total, dtype=np.int32 if total < 1 << 31 else np.int64)
+    interval = np.zeros(total, row.dtype)
+    at = np.repeat((start + least - np.cumsum(count) + count).astype(np.int64), count) + row
     for _ in range(least):
         at = at - 1
         byte = data[at]
@@ -210,7 +213,7 @@ def equal_windows(data: np.ndarray, start: np.ndarray, count: np.ndarray, least:
         byte, interval, at, row = byte[order], interval[order], at[order], row[order]
         new = np.r_[True, (byte[1:] != byte[:-1]) | (interval[1:] != interval[:-1])] if len(row) else np.zeros(0, bool)
         alone = new & np.r_[new[1:], True] if len(row) else new
-        interval = np.cumsum(new, dtype=np.int32)
+        interval = np.cumsum(new, dtype=row.dtype)
         if alone.any():
             at, row, interval = at[~alone], row[~alone], interval[~alone]
         if not len(row):
@@ -219,6 +222,17 @@ def equal_windows(data: np.ndarray, start: np.ndarray, count: np.ndarray, least:
     return result
 
 
+def _marks(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Hashes of stretches that lie one behind the other, about a megabyte at a time."""
+    out = np.empty(len(start), np.uint64)
+    lo = 0
+    while lo < len(start):
+        hi = max(lo + 1, int(np.searchsorted(stop, start[lo] + 1_000_000)))
+        out[lo:hi] = Hashes(data[start[lo] : stop[hi - 1]]).of(start[lo:hi] - start[lo], stop[lo:hi] - start[lo])
+        lo = hi
+    return out
+
+
 def _index_stretches(sent: DataFrame, least: int) -> DataFrame:
     """(block, part, smallest): for every window of a block's stretches the smallest document that has it."""
 
@@ -231,7 +245,7 @@ def _index_stretches(sent: DataFrame, least: int) -> DataFrame:
         stop = np.cumsum(windows + least - 1)
         start = stop - (windows + least - 1)
         # Copies sent by several blocks are indexed once.
-        mark = Hashes(data).of(start, stop)
+        mark = _marks(data, start, stop)
         order = np.lexsort((windows, mark))
         m, w = mark[order], windows[order]
         new = np.r_[True, (m[1:] != m[:-1]) | (w[1:] != w[:-1])]
@@ -281,7 +295,7 @@ def remove_repeats(
         is_key = np.array([s is not None for s in both.column("size").to_pylist()], bool)
         runs = _block_runs(rows, least)
         places = _repeated_runs(runs, both.filter(pa.array(is_key)), bits)
-        _, _, _, number, size = _stretches(runs, places, least)
+        _, _, _, number, size = _stretches(runs, places)
         known = both.filter(pa.array(~is_key)).sort_by("part").column("smallest").to_pylist()
         smallest = np.concatenate([np.frombuffer(zstandard.decompress(k), np.int64) for k in known]) if known else np.zeros(0, np.int64)
         if len(smallest) != int(size.sum()):

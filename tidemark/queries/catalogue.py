@@ -216,6 +216,38 @@ def inferred_records(spark, sf_dir):
     return landed.infer_records(parts.unionByName(suppliers))
 
 
+@query("SELECT p_partkey AS VOID_id, p_name AS AVOID, CAST(NULL AS VARCHAR) AS EMPTY, p_size % 2 = 0 AS OBJECT_flag FROM part")
+def inferred_names(spark, sf_dir):
+    """S3: fields named like type words keep their names; one that is always null is a string."""
+    doc = F.concat(
+        F.lit('{"VOID_id": '), F.col("p_partkey").cast("string"), F.lit(', "EMPTY": null, "OBJECT_flag": '),
+        (F.col("p_size") % 2 == 0).cast("string"), F.lit(', "AVOID": '), F.to_json(F.array("p_name")), F.lit("}"),
+    )
+    docs = table(spark, sf_dir, "part").select(F.replace(F.replace(doc, F.lit(': ["'), F.lit(': "')), F.lit('"]}'), F.lit('"}')).alias("value"))
+    return landed.infer_records(docs).select(F.col("VOID_id").cast("bigint").alias("VOID_id"), "AVOID", "EMPTY", "OBJECT_flag")
+
+
+@query(
+    """
+    SELECT c_mktsegment AS folder, count(*) AS customers, 'folder' AS origin FROM customer GROUP BY 1
+    UNION ALL SELECT 'BUILDING', count(*), 'fallback' FROM customer WHERE c_mktsegment = 'BUILDING'
+    """
+)
+def catalogued_files(spark, sf_dir):
+    """Files found by a prefix below a root with a blank in its name, and read as a fallback."""
+    root = scratch_path(spark, "landed files")
+    body = F.to_json(F.struct(F.col("c_custkey").alias("id"))).alias("value")
+    table(spark, sf_dir, "customer").select(body, F.concat(F.lit("by "), "c_mktsegment").alias("segment")).write.partitionBy("segment").text(root)
+    lines = F.size(F.split(F.rtrim(F.regexp_replace("value", "\n+$", "")), "\n"))
+    files = landed.file_catalogue(spark, root, "segment=by ").select(
+        F.regexp_replace(F.url_decode(F.regexp_extract("path", "segment=([^/]*)/", 1)), "by(?: |%20)", "").alias("folder"), lines.alias("n")
+    )
+    found = files.groupBy("folder").agg(F.sum("n").alias("customers")).withColumn("origin", F.lit("folder"))
+    fallback = landed.read_with_fallback(spark, f"{root}/nothing", f"{root}/segment=by BUILDING")
+    counted = fallback.agg(F.sum(lines).alias("customers")).select(F.lit("BUILDING").alias("folder"), "customers", F.lit("fallback").alias("origin"))
+    return found.unionByName(counted)
+
+
 def mixed_docs(spark, sf_dir):
     """Event documents whose fields vary with the event type."""
     inner = F.concat(F.lit('{"'), "event_type", F.lit('_id": 1, "props": '), "props", F.lit("}"))

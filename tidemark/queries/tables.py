@@ -10,8 +10,10 @@ from tidemark.functions import times
 from tidemark.operators.layout import cluster_table, file_layout
 from tidemark.operators.merge import MergeSpec
 from tidemark.operators.policies import PULLS, PULLS_IN_BLOCKS
+from tidemark.operators import profile as profiles
 from tidemark.operators.profile import column_profile, freshness
-from tidemark.operators.select import select_ordered
+from tidemark.operators.profile import table_profile as table_profile_row
+from tidemark.operators.select import select_ordered, select_prefix
 from tidemark.plans.derived import DerivedTable
 from tidemark.plans.pulls import in_blocks
 from tidemark.plans.workflow import Landing, run_all
@@ -47,6 +49,44 @@ def table_freshness(spark, sf_dir):
     return freshness(table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("dt")))
 
 
+@query(
+    """
+    SELECT 'columns' AS fact, 'o_orderkey,o_orderdate,o_custkey' AS value
+    UNION ALL SELECT 'types', 'bigint,timestamp_ntz,bigint'
+    UNION ALL SELECT 'schema', 'o_orderkey,o_orderdate,o_custkey'
+    UNION ALL SELECT 'rows', CAST(count(*) AS VARCHAR) FROM orders
+    UNION ALL SELECT 'distinct', CAST(count(DISTINCT o_custkey) AS VARCHAR) FROM orders
+    UNION ALL SELECT 'latest', strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S') FROM orders
+    UNION ALL SELECT 'ddl', 'true'
+    UNION ALL SELECT 'profile', 'true ' || CAST(count(*) AS VARCHAR) FROM orders
+    UNION ALL SELECT 'like', '0'
+    UNION ALL SELECT 'prefix', 'o_orderkey,o_orderdate'
+    UNION ALL SELECT 'dropped', 'true,false'
+    """
+)
+def table_facts(spark, sf_dir):
+    """What the catalog tells about a created table, until it is dropped."""
+    name = f"{scratch_database(spark)}.orders"
+    orders = catalog.create_as(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey"), name)
+    profile = table_profile_row(spark, name).first()
+    like = catalog.ensure_like(orders, f"{name}_like")
+    facts = [
+        ("columns", ",".join(profiles.columns(spark, name))),
+        ("types", ",".join(profiles.column_types(spark, name).values())),
+        ("schema", ",".join(profiles.schema(spark, name).names)),
+        ("rows", str(profiles.row_count(spark, name))),
+        ("distinct", str(profiles.distinct_count(spark, name, "o_custkey"))),
+        ("latest", profiles.extreme(spark, name, "o_orderdate", "max")),
+        ("ddl", str(catalog.ddl_text(spark, name).startswith("CREATE TABLE")).lower()),
+        ("profile", f"{str(profile['exists']).lower()} {profile['row_count']}"),
+        ("like", str(like.count())),
+        ("prefix", ",".join(select_prefix(orders, "o_order").columns)),
+    ]
+    dropped = catalog.drop_all(spark, [name, f"{name}_absent"]).orderBy("table_name").collect()
+    facts.append(("dropped", ",".join(str(r["dropped"]).lower() for r in dropped)))
+    return spark.createDataFrame(facts, "fact string, value string")
+
+
 SPANS = "WITH spans AS (SELECT user_id, min(ts) AS first, max(ts) AS last FROM events GROUP BY 1)"
 
 

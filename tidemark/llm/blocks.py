@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 BLOCK_BYTES = 8_000_000
 #: Bytes of a block that are worked on at a time.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 _BASE = 0x9E3779B97F4A7C15
 PACKED = pa.schema([("block", pa.int32()), *((k, pa.binary()) for k in ("ids", "nulls", "sizes", "data"))])
 DEALT = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -106,7 +106,7 @@ def _all_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    f, b = _all_powers(1 << max(21, (n - 1).bit_length()))
+    f, b = _all_powers(1 << max(20, (n - 1).bit_length()))
     return f[:n], b[:n]
 
 

@@ -80,15 +80,17 @@ class Hashes:
         self.run = np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * forward[:-1], dtype=np.uint64)]
 
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        h = (self.run[stop] - self.run[start]) * self.backward[start]
-        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        return h ^ (h >> np.uint64(32))
+        return scrambled((self.run[stop] - self.run[start]) * self.backward[start])
 
     def width(self, n: int) -> np.ndarray:
         """Of the n bytes from every place on."""
-        h = (self.run[n:] - self.run[:-n]) * self.backward[: len(self.run) - n]
-        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        return h ^ (h >> np.uint64(32))
+        return scrambled((self.run[n:] - self.run[:-n]) * self.backward[: len(self.run) - n])
+
+
+def scrambled(h: np.ndarray) -> np.ndarray:
+    """Numbers spread evenly over 64 bits, one to one."""
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
 
 
 @lru_cache(maxsize=1)

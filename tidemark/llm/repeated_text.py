@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.blocks import Hashes, blocks_for, chunks, dealt, distinct, keys_of, packed, part_of, read_counts, small_counts, small_keys, summed
+from tidemark.llm.blocks import Hashes, blocks_for, chunks, dealt, distinct, keys_of, packed, part_of, read_counts, scrambled, small_counts, small_keys, summed
 from tidemark.llm.common import query, stage, table
 
 MIN_BYTES = 50
@@ -84,7 +84,8 @@ class Runs:
         doc = np.searchsorted(ends, cut, "right")
         usable = inside[cut] & ~nulls[doc]
         self.start, self.stop, self.doc = cut[usable], stop[usable], doc[usable]
-        self.key = key[self.start]
+        # Least hashes are small numbers; spread, they deal the parts evenly.
+        self.key = scrambled(key[self.start])
         self.mark = hashes.of(self.start, self.stop + least - 1)
 
 

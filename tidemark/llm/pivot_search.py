@@ -7,7 +7,7 @@ distance d from a pivot is no nearer than ``|d - r|`` to any vector at distance
 the inner products within a ring.
 
 The search takes the rings of each query in order of that bound, twice: first as many as hold
-k candidates, which gives a score that the k-th best cannot fall below; then all further rings
+k candidates (and ``OPENING``), which gives a score that the k-th best cannot fall below; then all further rings
 whose bound reaches that score. Both are exact scans of the ring by matrix products.
 
 Pivots are a sample of bounded size (``PIVOTS`` vectors with the smallest hashed ids); all
@@ -39,6 +39,8 @@ CHUNK = 4096
 BLOCK = 512
 #: Room for rounding in distances, in units of the bound on an inner product.
 SLACK = 1e-6
+#: Candidates that the first scan of a query covers at least: more of them raise the score to beat.
+OPENING = 1024
 
 
 class Pivots:
@@ -121,6 +123,7 @@ def ring_bounds(q: np.ndarray, pivots: Pivots, rings: list) -> np.ndarray:
 def _visits(queries: DataFrame, pivots: Pivots, rings: list, k: int, first: bool) -> DataFrame:
     """Queries dealt to rings in blocks: those that hold the best k by bound, or all others in reach."""
     counts = np.array([r["n"] for r in rings])
+    opened = max(k, OPENING)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,7 +136,7 @@ def _visits(queries: DataFrame, pivots: Pivots, rings: list, k: int, first: bool
                 order = np.argsort(-bound, axis=1, kind="stable")
                 before = np.cumsum(counts[order], axis=1) - counts[order]
                 opening = np.zeros_like(bound, bool)
-                np.put_along_axis(opening, order, before <= k, axis=1)
+                np.put_along_axis(opening, order, before <= opened, axis=1)
                 wanted = opening if first else ~opening & (bound >= least[:, None])
                 out = {c: [] for c in ("pivot", "ring", "ids", "q", "least")}
                 for j in np.flatnonzero(wanted.any(axis=0)):

@@ -14,6 +14,7 @@ from tidemark.operators import profile as profiles
 from tidemark.operators.profile import column_profile, freshness
 from tidemark.operators.profile import table_profile as table_profile_row
 from tidemark.operators.select import select_ordered, select_prefix
+from tidemark.plans import pulls
 from tidemark.plans.derived import DerivedTable
 from tidemark.plans.pulls import in_blocks
 from tidemark.plans.workflow import Landing, run_all
@@ -350,9 +351,13 @@ def stream_intake(spark, sf_dir):
     return catalog.read(spark, name).select("repo_id", "pull_id", "time.updated")
 
 
-def landing_of(spark, sf_dir) -> Landing:
+def landing_of(spark, sf_dir, keep: str = "true", late: str = "false") -> Landing:
     """Landed texts of a whole run: regions are organizations, nations repositories,
-    orders pulls, events contributors' weeks, parts expectations."""
+    orders pulls, events contributors' weeks, parts expectations.
+
+    Only orders that ``keep`` holds for are landed; those ``late`` holds for were updated a
+    day after they were created.
+    """
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     named = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     member = F.struct((F.col("n_nationkey") + 1000).cast("bigint").alias("id"), F.concat(F.lit("owner-"), "n_name").alias("login"))
@@ -386,6 +391,7 @@ def landing_of(spark, sf_dir) -> Landing:
     customer = table(spark, sf_dir, "customer")
     orders = (
         table(spark, sf_dir, "orders")
+        .filter(keep)
         .join(customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
         .join(named, F.col("c_nationkey") == F.col("n_nationkey"))
     )
@@ -394,15 +400,16 @@ def landing_of(spark, sf_dir) -> Landing:
         key.alias("id"), key.cast("int").alias("number"), F.col("o_orderpriority").alias("title"),
         F.when(key % 9 != 0, F.struct("o_custkey").cast("struct<id:bigint>")).alias("user"),
         F.array(F.struct(F.col("o_orderstatus").alias("name"))).alias("labels"),
-        api_time(day).alias("created_at"), api_time(day).alias("updated_at"),
+        api_time(day).alias("created_at"),
+        api_time(F.when(F.expr(late), day + F.expr("interval 1 day")).otherwise(day)).alias("updated_at"),
     )
     number = key.cast("string").alias("pull_number")
-    pulls = orders.select(*ids, F.to_json(F.array(pull)).alias("page"))
+    pull_pages = orders.select(*ids, F.to_json(F.array(pull)).alias("page"))
     details = orders.select(*ids, number, F.to_json(F.struct((key % 5).alias("comments"))).alias("detail"))
     review = F.struct(key.alias("id"), F.struct(F.col("o_custkey").alias("id")).alias("user"),
                       F.lit("APPROVED").alias("state"), api_time(day).alias("submitted_at"))
     reviews = orders.filter(key % 2 == 0).select(*ids, number, F.to_json(F.array(review)).alias("reviews"))
-    return Landing(orgs, repos, contributors, pulls, details, reviews, schema_docs(spark, sf_dir).select("value"))
+    return Landing(orgs, repos, contributors, pull_pages, details, reviews, schema_docs(spark, sf_dir).select("value"))
 
 
 @query(
@@ -432,3 +439,32 @@ def run_everything(spark, sf_dir):
         names("nation", "n_name"),
         at=datetime(2024, 2, 1, 12, 0, 0),
     )
+
+
+@query(
+    """
+    WITH p AS (SELECT o_orderkey AS k, o_orderdate AS d, c_nationkey AS n
+               FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 9 <> 0),
+    f AS (SELECT * FROM p WHERE k % 3 < 2),
+    marks AS (SELECT n, max(d) AS mark FROM f GROUP BY 1),
+    late AS (SELECT k, n, d + CASE WHEN k % 6 = 0 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS d FROM p),
+    s AS (SELECT late.* FROM late LEFT JOIN marks ON late.n = marks.n
+          WHERE CAST(d AS DATE) >= CAST(coalesce(mark, TIMESTAMP '1970-01-01') AS DATE))
+    SELECT CAST(coalesce(f.k, s.k) AS VARCHAR) AS pull_id, coalesce(greatest(f.d, s.d), f.d, s.d) AS updated,
+           coalesce(f.k, s.k) // 10000000 AS pull_block,
+           CASE WHEN coalesce(f.k, s.k) % 2 = 0 THEN 1 ELSE 0 END AS reviews
+    FROM f FULL JOIN s ON f.k = s.k
+    """
+)
+def run_twice(spark, sf_dir):
+    """Two runs, the second with new and updated pulls, under a policy with blocks of ids; the merged pulls.
+
+    Organizations and repositories in scope are the regions and nations, as in ``run_everything``.
+    """
+    database, at = scratch_database(spark), datetime(2024, 2, 1, 12, 0, 0)
+    scope = [[r[0] for r in table(spark, sf_dir, t).select(c).collect()] for t, c in (("region", "r_name"), ("nation", "n_name"))]
+    specs = {pulls.TABLE: PULLS_IN_BLOCKS}
+    for landing in (landing_of(spark, sf_dir, "o_orderkey % 3 < 2"), landing_of(spark, sf_dir, late="o_orderkey % 6 = 0")):
+        run_all(spark, database, landing, *scope, at=at, specs=specs)
+    stored = catalog.read(spark, f"{database}.{pulls.TABLE}")
+    return stored.select("pull_id", "time.updated", "pull_block", F.coalesce(F.array_size("reviews"), F.lit(0)).alias("reviews"))

@@ -86,3 +86,20 @@ def test_fallback(spark, folder):
     assert read("good") == '{"x": 1}'
     assert read("bad") == '{"x": 2}'
     assert read("absent") == '{"x": 2}'
+
+
+def test_type_words_in_field_names(spark):
+    texts = spark.createDataFrame([('{"AVOID": 1, "VOID": null, "a": {"OBJECT": [null], "b: VOID": 2}}',)], "value string")
+    df = landed.infer_records(texts)
+    assert set(df.columns) == {"AVOID", "VOID", "a"}
+    row = df.first()
+    assert row["AVOID"] == 1 and row["VOID"] is None and row["a"]["b: VOID"] == 2
+
+
+def test_catalogue_below_a_root_with_a_blank(spark, tmp_path):
+    root = tmp_path / "landed files"
+    for place in ("core/a.json", "other/core/b.json", "core2/c.json"):
+        (root / place).parent.mkdir(parents=True, exist_ok=True)
+        (root / place).write_text("{}")
+    for prefix, n in (("core/", 1), ("core", 2), ("other/core/b", 1)):
+        assert landed.file_catalogue(spark, str(root), prefix).count() == n

@@ -1,3 +1,4 @@
+import dataclasses
 import json
 from datetime import date, datetime
 
@@ -6,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.operators.incremental import fresh_records, high_water_marks, load, with_epoch
+from tidemark.operators.policies import PULLS_IN_BLOCKS
 from tidemark.operators.scope import UnknownNames, require_known, scope_pairs
 from tidemark.plans import contributors, expectations, orgs, pulls, repos, users, workflow
 from tidemark.sources import catalog
@@ -303,3 +305,60 @@ def test_stream_takes_each_file_once(spark, database, tmp_path):
 def test_newest_per_key(spark):
     df = spark.createDataFrame([(1, "a", 1), (1, "b", 3), (1, "c", None), (2, "d", None)], "k int, v string, at int")
     assert rows(newest_per_key(df, ("k",), "at")) == [(1, "b", 3), (2, "d", None)]
+
+
+def test_newest_per_key_keeps_null_keys(spark):
+    df = spark.createDataFrame([(None, "a", 1), (None, "a", 1), (1, "b", 3), (1, "c", 2)], "k int, v string, at int")
+    assert rows(newest_per_key(df, ("k",), "at")) == [(None, "a", 1), (None, "a", 1), (1, "b", 3)]
+
+
+def test_reviews_in_several_pages(spark):
+    review = {"id": 9, "user": {"id": 4}, "state": "APPROVED", "submitted_at": "2024-01-02T00:00:00Z"}
+    pages, detail, reviews = pull_frames(spark, [pull(1), pull(2)], [], [(1, [review]), (1, [{**review, "id": 10}, {**review, "id": 11}]), (2, "busy"), (2, [review])])
+    detailed = pulls.with_details(
+        pulls.pull_rows(pulls.pull_records(pages), AT), pulls.pull_details(detail), pulls.pull_reviews(reviews)
+    )
+    good, rejects = pulls.pull_facts(detailed)
+    (one,) = good.collect()
+    assert one["pull_number"] == "1" and sorted(r["review_id"] for r in one["reviews"]) == ["10", "11", "9"]
+    assert rows(rejects, "pull_number", "reject_reason") == [("2", "unreadable reviews")]
+
+
+def test_unreadable_records_are_set_aside(spark):
+    broken = [pull(1, id="x1"), pull(2), pull(3), pull(4), {**pull(5), "number": None}]
+    pages, _, reviews = pull_frames(spark, broken)
+    detail = spark.createDataFrame(
+        [("5", "2", "not json"), ("5", "3", '{"commits": "many"}'), ("5", "4", '{"commits": "7"}')], "repo_id string, pull_number string, detail string"
+    )
+    detailed = pulls.with_details(
+        pulls.pull_rows(pulls.pull_records(pages), AT), pulls.pull_details(detail), pulls.pull_reviews(reviews)
+    )
+    good, rejects = pulls.pull_facts(detailed)
+    assert rows(good, "pull_id", "metrics.commit_count") == [("104", 7)]
+    assert rows(rejects, "pull_id", "reject_reason") == [
+        (None, "missing id"), ("102", "unreadable details"), ("103", "unreadable details"), ("105", "missing number"),
+    ]
+    page = contributor_page((1, "ann", [(1704067200, 1, 2, 3), (1704067200, "many", 2, 3)]), (2, "bob", [(1704067200, "4", 0, 0)]))
+    records = contributors.contributor_records(spark.createDataFrame([("7", "acme", "5", "abe", page)], IDS), AT)
+    judged = records.withColumn("reason", contributors.contributor_reject_reason())
+    assert rows(judged, "user_id", "reason") == [("1", "unreadable week"), ("2", None)]
+    texts = lambda v: spark.createDataFrame([("7", "acme", "abe", json.dumps({"id": 5, "forks_count": v}))], "org_id string, org_name string, repo_name string, repo string")
+    assert repos.repo_snapshot(texts("12"), DAY).first()["metrics"]["forks_count"] == 12
+    for bad in ("many", 3_000_000_000):
+        with pytest.raises(Exception, match="unreadable forks_count"):
+            repos.repo_snapshot(texts(bad), DAY).collect()
+
+
+def test_run_without_details_and_members(spark, database):
+    data = landing(spark, [pull(1), pull(2)], [])
+    data = dataclasses.replace(data, details=None, reviews=None, expectations=None, contributors=None)
+    blocks = {pulls.TABLE: PULLS_IN_BLOCKS}
+    counts = {r["table_name"]: r for r in workflow.run_all(spark, database, data, ["acme"], ["abe"], at=AT, specs=blocks).collect()}
+    assert counts["source_pulls"]["num_inserted_rows"] == 2 and counts["users"]["num_affected_rows"] == 0
+    assert rows(spark.table(f"{database}.source_pulls"), "pull_number", "pull_block") == [("1", 0), ("2", 0)]
+
+
+def test_sample_is_taken_per_repository(spark):
+    df = spark.createDataFrame([(r, i) for r in "ab" for i in range(5)], "repo string, n int")
+    picked = load(df, "sample", key="n", groups=("repo",), sample_size=2)
+    assert rows(picked.groupBy("repo").count()) == [("a", 2), ("b", 2)]

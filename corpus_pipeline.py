@@ -14,11 +14,13 @@ stage, which encodes them as empty; an empty table passes through.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, near_copies, personal_data, piece_encoding, quality
-from tidemark.llm.common import fresh, stage, table
+from tidemark.llm.common import fresh, ship_code, stage, table
 
 SIMILAR_PERCENT = 80
 
@@ -46,12 +48,23 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return piece_encoding.encode_documents(docs, piece_encoding.model_proto(), ("n_tokens", "ids", "decoded"))
 
 
+def shipped(step):
+    """A stage that first gives executors this code."""
+
+    @wraps(step)
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_code(spark)
+        return step(spark, docs, sf_dir)
+
+    return run_step
+
+
 STAGES = [
-    ("quality classifier", reject_low_quality),
-    ("MinHash near-dedup", drop_near_duplicates),
-    ("benchmark decontamination", decontaminate),
-    ("PII", redact),
-    ("SentencePiece encoding and decoding", encode),
+    ("quality classifier", shipped(reject_low_quality)),
+    ("MinHash near-dedup", shipped(drop_near_duplicates)),
+    ("benchmark decontamination", shipped(decontaminate)),
+    ("PII", shipped(redact)),
+    ("SentencePiece encoding and decoding", shipped(encode)),
 ]
 #: Models and graph components are beyond SQL; the tests compare with brute force.
 ORACLE_SQL = None

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import io
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from functools import wraps
+from hashlib import sha256
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,14 +28,37 @@ def query(name: str, sql: str | None = None):
     """Register a query of this subpackage, with its SQL where SQL can express it."""
 
     def register(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_code(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
-        return fn
+        return run
 
     return register
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Give executors this package, which need not be installed where they run."""
+    package = Path(__file__).resolve().parents[1]
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as archive:
+        for f in sorted(package.rglob("*.py")):
+            # A fixed date, so that the same code always is the same archive.
+            entry = zipfile.ZipInfo(f.relative_to(package.parent).as_posix(), (2000, 1, 1, 0, 0, 0))
+            archive.writestr(entry, f.read_bytes())
+    name = f"{package.name}-{sha256(data.getvalue()).hexdigest()[:16]}.zip"
+    context = spark.sparkContext
+    if any(f.endswith(name) for f in context.listFiles):
+        return
+    path = Path(tempfile.mkdtemp()) / name
+    path.write_bytes(data.getvalue())
+    context.addPyFile(str(path))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -59,3 +59,17 @@ def test_whole_test_table(spark, library):
     for r in encode_documents(docs, model_proto(), ("ids", "decoded")).collect():
         assert list(r.ids) == want[r.doc_id]
         assert r.decoded == library.decode(want[r.doc_id])
+
+
+def test_fixed_texts_as_documents(spark, library, monkeypatch):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(FIXED)], "doc_id bigint, text string")
+    for r in encode_documents(docs, model_proto(), ("ids", "decoded")).collect():
+        assert list(r.ids) == library.encode(FIXED[r.doc_id])
+        assert r.decoded == library.decode(list(r.ids))
+    # Whatever is forgotten on the way, the results are the same.
+    monkeypatch.setattr("tidemark.llm.piece_encoding.REMEMBERED", 8)
+    model = PieceModel(model_proto())
+    for t in [*FIXED, "the of and on a in the of x y z é ▁▁ w"]:
+        ids, decoded = model.encode_and_decode(t)
+        assert [int(i) for i in ids.split(",")[:-1]] == library.encode(t)
+        assert decoded == library.decode(library.encode(t))

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import query, table
+from tidemark.llm.common import query, stage, table
 from tidemark.operators.sizing import fits_broadcast
 
 WINDOW = 5
@@ -123,7 +123,7 @@ def find_leaks(
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with their columns."""
-    found = find_leaks(docs, benchmark, id_col, text_col).select("doc", "text_hash").distinct().alias("f")
+    found = stage(find_leaks(docs, benchmark, id_col, text_col).select("doc", "text_hash").distinct(), "leaks").alias("f")
     text_hash = F.xxhash64(F.coalesce(F.col(f"d.`{text_col}`").cast("string"), F.lit("")))
     same = F.col(f"d.`{id_col}`").eqNullSafe(F.col("f.doc")) & (text_hash == F.col("f.text_hash"))
     if fits_broadcast(found):

@@ -33,7 +33,7 @@ from tidemark.llm.common import per_batch, query, table
 
 BLANK = "▁"
 #: Stretches that a worker remembers at most; beyond, it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 OUTPUTS = {
     "n_tokens": pa.int64(),
     "ids": pa.list_(pa.int32()),
@@ -153,6 +153,24 @@ class PieceModel:
     def encode(self, text: str) -> list[int]:
         return [i for s in self.stretches(text) for i in self.encode_stretch(s)]
 
+    def encode_and_decode(self, text: str) -> tuple[str, str]:
+        """The ids as text with a comma behind each, and the text decoded from them.
+
+        A slice of the stretches at a time, so that what was remembered is not forgotten
+        before it is used.
+        """
+        stretches = self.stretches(text)
+        ids, decoded = [], []
+        for at in range(0, len(stretches), REMEMBERED // 4):
+            part = stretches[at : at + REMEMBERED // 4]
+            if len(self.known) + len(self.known.decoded) + len(part) > REMEMBERED:
+                self.known.clear()
+                self.known.decoded.clear()
+            ids += [self.known[s] for s in part]
+            decoded.append(self.known.text(part))
+        # The first stretch opens with the blank that encoding put there.
+        return "".join(ids), "".join(decoded).removeprefix(" ")
+
     def decode(self, ids: list[int]) -> str:
         """The text of ids: pieces joined, runs of bytes read as UTF-8, the first blank dropped."""
         out: list[str] = []
@@ -172,21 +190,33 @@ class PieceModel:
 
 
 class _Remembered(dict):
-    """Stretch -> its ids as text with a comma behind each, and its decoded text."""
+    """Stretch -> its ids as text with a comma behind each.
+
+    Its ids are decoded once. Where that gives anything but the stretch with its marks as
+    blanks, the decoded text is kept in ``decoded``.
+    """
 
     def __init__(self, model: PieceModel):
         super().__init__()
         self.model = model
+        self.decoded: dict[str, str] = {}
 
-    def __missing__(self, stretch: str) -> tuple[str, str]:
+    def __missing__(self, stretch: str) -> str:
         ids = self.model.encode_stretch(stretch)
-        value = "".join([f"{i}," for i in ids]), self.model.decode([self.model.id[BLANK], *ids])
+        text = self.model.decode([self.model.id[BLANK], *ids])
+        if text != stretch.replace(BLANK, " "):
+            self.decoded[stretch] = text
+        value = "".join([f"{i}," for i in ids])
         if len(stretch) <= 40:
-            if len(self) >= REMEMBERED:
-                self.clear()
             self[stretch] = value
         return value
 
+    def text(self, stretches: list[str]) -> str:
+        """The decoded text of stretches looked up just before."""
+        if not self.decoded:
+            return "".join(stretches).replace(BLANK, " ")
+        return "".join([self.decoded[s] if s in self.decoded else s.replace(BLANK, " ") for s in stretches])
+
 
 def _utf8(run: bytes) -> str:
     """Bytes as UTF-8; each byte that is not part of a character becomes U+FFFD."""
@@ -229,10 +259,7 @@ def encode_documents(
         model = _model(proto)
         made: dict[str, list] = {k: [] for k in outputs}
         for text in batch.column(1).to_pylist():
-            pairs = [model.known[s] for s in model.stretches(text or "")]
-            ids = "".join([p[0] for p in pairs])
-            # The first stretch opens with the blank that encoding put there.
-            decoded = "".join([p[1] for p in pairs]).removeprefix(" ")
+            ids, decoded = model.encode_and_decode(text or "")
             for k, column in made.items():
                 if k == "n_tokens":
                     column.append(ids.count(","))
@@ -249,7 +276,7 @@ def encode_documents(
 
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = f"id {picked.schema['id'].dataType.simpleString()}, " + ", ".join(f"{k} {SQL_TYPES[k]}" for k in outputs)
-    return picked.mapInArrow(per_batch(encode), schema).withColumnRenamed("id", id_col)
+    return picked.mapInArrow(per_batch(encode, 200), schema).withColumnRenamed("id", id_col)
 
 
 def model_proto(path: str | None = None) -> bytes:

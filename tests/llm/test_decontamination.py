@@ -82,3 +82,40 @@ def test_no_python_in_the_plan(spark, benchmark):
     docs = spark.createDataFrame([(1, ITEM)], "doc_id bigint, text string")
     plan = find_leaks(docs, benchmark)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+SHAPED = "Tom has 3 apples and Ann has 5 apples and Bob has 7 apples"
+
+
+def aligned(text, item):
+    """Whether some diagonal alone holds the item with consistent slots."""
+    a, b, t, p = template(item), plain(item), template(text), plain(text)
+    windows = [k for k in range(len(a) - 4) if sum(w not in "\x01\x02\x03" for w in a[k : k + 5]) >= 2]
+    for d in range(-len(a), len(t)):
+        hit = [k for k in windows if k + d >= 0 and t[k + d : k + d + 5] == a[k : k + 5]]
+        pairs = {(b[k + j], p[k + d + j]) for k in hit for j in range(5) if a[k + j] in "\x01\x02\x03"}
+        if len(hit) >= COVERAGE * len(windows) and (not pairs or len({x for x, _ in pairs}) / len(pairs) >= CONSISTENCY):
+            return True
+    return False
+
+
+def test_repeating_shapes_wherever_they_stand(spark):
+    renamed = "Tim has 4 apples and Eve has 6 apples and Joe has 8 apples"
+    mixed = "Tim has 4 apples and Eve has 6 apples and Tim has 4 apples"
+    rows = [(100 * n + k, "x " * k + "so " + t) for n, t in enumerate((SHAPED, renamed, SHAPED + " and Jim has 9 apples", mixed)) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, SHAPED)], "item_id bigint, text string")
+    got = find_leaks(docs, items).collect()
+    want = {i for i, t in rows if aligned(t, SHAPED)}
+    assert want >= set(range(20)) | {100 + k for k in range(20)} | {200 + k for k in range(20)}
+    assert {r.doc for r in got} == want
+    assert all(r.exact for r in got if r.doc < 20)
+
+
+def test_shape_with_a_word_put_in(spark):
+    gapped = SHAPED.replace("and Bob", "and then Bob")
+    items = spark.createDataFrame([(1, "One day long ago " + SHAPED + " so how many apples do they have in all when they meet again at home")], "item_id bigint, text string")
+    text = items.first().text.replace("and Bob", "and then Bob")
+    assert gapped in text
+    docs = spark.createDataFrame([(k, "x " * k + text) for k in range(20)], "doc_id bigint, text string")
+    assert {r.doc for r in find_leaks(docs, items).collect()} == set(range(20))

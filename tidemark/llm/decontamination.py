@@ -7,10 +7,15 @@ item's length, it has at least 0.8 of the item's windows. For these the slots ar
 item's value must stand for one value of the document throughout (the same value in a copy, any
 other in a re-parameterised question); the share of such values is the consistency, at least 0.9.
 
+Hits are judged by diagonal (place in the document minus place in the item). A diagonal that
+covers the item by itself is judged with its own words. For copies with words put in or left out,
+the diagonals of a stretch add up: each window is taken from the diagonal with most windows, then
+with most equal words, so that an item of a repeating shape is not compared one repeat off.
+
 Only DataFrame functions are used. Documents are not shuffled: their windows probe the item
 windows, which are broadcast if they are measured to fit and joined by hash otherwise; only hits
-are grouped, and a group (one document, one item, one stretch) has at most as many rows as the
-item has windows, after a first aggregate.
+are grouped, and a group (one document, one item, one diagonal or stretch) has at most as many
+rows as the item has windows, after a first aggregate.
 
 Defined results: NULL and empty texts hold nothing and are never found; items with fewer than
 five words, or whose windows all have fewer than two words besides placeholders, have no window
@@ -78,6 +83,19 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
     return cut.withColumn("n_windows", F.count("*").over(Window.partitionBy("item", "item_key")))
 
 
+def _judged(found: DataFrame) -> DataFrame:
+    """Coverage, consistency of the slots and exactness of windows ``w`` of an item."""
+    zipped = F.flatten(F.transform("w", lambda w: F.arrays_zip(w["item_words"].alias("a"), w["doc_words"].alias("b"), w["slots"].alias("s"))))
+    pairs = F.array_distinct(F.transform(F.filter(zipped, lambda x: x["s"]), lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"))))
+    values = F.array_distinct(F.transform("pairs", lambda p: p["a"]))
+    return found.withColumn("pairs", pairs).select(
+        "doc", "text_hash", "item",
+        (F.size("w") / F.col("n_windows")).alias("coverage"),
+        F.forall("w", lambda w: w["item_words"] == w["doc_words"]).alias("exact"),
+        F.when(F.size("pairs") > 0, F.size(values) / F.size("pairs")).otherwise(F.lit(1.0)).alias("consistency"),
+    )
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -94,29 +112,31 @@ def find_leaks(
     rows = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     keyed = rows.withColumn("text_hash", F.xxhash64("text"))
     hits = _windows(keyed, "doc", "text_hash").join(probe, "hash")
-    # Stretches of the item's length, each hit in the two that overlap it.
-    stretch = F.floor((F.col("at") - F.col("item_at")) / F.col("n_windows"))
-    hits = hits.select(
-        "doc", "text_hash", "item", "item_key", "item_at", "n_windows", "item_words", "slots",
-        _slice("plain").alias("doc_words"), F.explode(F.array(stretch, stretch + 1)).alias("stretch"),
-    )
-    group = ["doc", "text_hash", "item", "item_key", "stretch"]
-    once = hits.groupBy(*group, "item_at").agg(
-        F.min("n_windows").alias("n_windows"), F.min(F.struct("item_words", "slots", "doc_words")).alias("w")
-    )
-    pairs = F.filter(
-        F.arrays_zip(F.col("w.item_words").alias("a"), F.col("w.doc_words").alias("b"), F.col("w.slots").alias("s")), lambda x: x["s"]
+    found = ["doc", "text_hash", "item", "item_key"]
+    hits = hits.withColumn("diagonal", F.col("at") - F.col("item_at"))
+    # A window has one place on a diagonal; only repeated rows have it twice.
+    diagonals = hits.groupBy(*found, "diagonal").agg(
+        F.min("n_windows").alias("n_windows"),
+        F.collect_set(F.struct("item_at", "item_words", "slots", _slice("plain").alias("doc_words"))).alias("w"),
     )
-    grouped = once.groupBy(*group).agg(
-        (F.count("*") / F.min("n_windows")).alias("coverage"),
-        F.array_distinct(F.flatten(F.collect_list(F.transform(pairs, lambda x: F.struct(x["a"], x["b"]))))).alias("pairs"),
-        F.bool_and(F.col("w.item_words") == F.col("w.doc_words")).alias("exact"),
+    same = F.size(F.filter("w", lambda w: w["item_words"] == w["doc_words"]))
+    diagonals = diagonals.withColumn("support", F.struct(F.size("w").alias("n"), same.alias("same"), (-F.col("diagonal")).alias("first")))
+    straight = diagonals.where(F.col("support.n") >= coverage * F.col("n_windows")).select(*found, "n_windows", "w")
+    # Stretches of the item's length, each diagonal in the two that overlap it.
+    stretch = F.floor(F.col("diagonal") / F.col("n_windows"))
+    group = [*found, "stretch"]
+    spread = diagonals.select(*found, "n_windows", "support", "w", F.explode(F.array(stretch, stretch + 1)).alias("stretch"))
+    once = (
+        spread.select(*group, "n_windows", "support", F.explode("w").alias("w"))
+        .groupBy(*group, "w.item_at")
+        .agg(F.min("n_windows").alias("n_windows"), F.max("support")["first"].alias("diagonal"), F.max_by("w", "support").alias("w"))
     )
-    values = F.array_distinct(F.transform("pairs", lambda p: p["a"]))
-    judged = grouped.where(F.col("coverage") >= coverage).select(
-        "doc", "text_hash", "item", "coverage", "exact",
-        F.when(F.size("pairs") > 0, F.size(values) / F.size("pairs")).otherwise(F.lit(1.0)).alias("consistency"),
-    )
+    runs = once.groupBy(*group, "diagonal").agg(F.min("n_windows").alias("n_windows"), F.collect_list("w").alias("w"))
+    runs = runs.groupBy(*group).agg(F.min("n_windows").alias("n_windows"), F.collect_list("w").alias("runs"))
+    # A gap loses at most WINDOW windows, and what fills it from another diagonal may be another repeat: judged with and without.
+    ways = F.array(F.flatten("runs"), F.flatten(F.filter("runs", lambda r: F.size(r) > WINDOW)))
+    bent = runs.select(*found, "n_windows", F.explode(ways).alias("w")).where(F.size("w") >= coverage * F.col("n_windows"))
+    judged = _judged(straight.unionByName(bent))
     best = judged.where(F.col("consistency") >= consistency).groupBy("doc", "text_hash", "item")
     return best.agg(F.max("coverage").alias("coverage"), F.max("consistency").alias("consistency"), F.max("exact").alias("exact"))
 

@@ -119,3 +119,17 @@ def test_shape_with_a_word_put_in(spark):
     assert gapped in text
     docs = spark.createDataFrame([(k, "x " * k + text) for k in range(20)], "doc_id bigint, text string")
     assert {r.doc for r in find_leaks(docs, items).collect()} == set(range(20))
+
+
+def test_names_that_open_sentences_other_case_and_short_items(spark):
+    shop = "Anna buys 3 pens at the new shop. Anna gives 2 of them to a friend. How many pens does Anna have now?"
+    items = [(1, shop), (2, "Red Green"), (3, "Anna Bert Carl Dora Emil"), (4, "seven green bottles hanging"), (5, "Anna")]
+    renamed = shop.replace("Anna", "Bert").replace("3", "8")
+    rows = [
+        (1, renamed), (2, "x. " + renamed), (3, shop.upper()), (4, shop.lower()), (5, "so " + shop.lower().replace("3", "9")),
+        (6, "Bert buys 8 pens at the new shop. Carl gives 4 of them to a friend. How many pens does Dora have now?"),
+        (7, "all red green ones"), (8, "then Anna Bert Carl Dora Emil came"), (9, "SEVEN GREEN BOTTLES HANGING"), (10, "Anna buys pens"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = found(find_leaks(docs, spark.createDataFrame(items, "item_id bigint, text string")))
+    assert got == {(k, 1) for k in range(1, 6)} | {(7, 2), (8, 3), (9, 4)}

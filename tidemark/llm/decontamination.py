@@ -1,9 +1,12 @@
 """Benchmark passages in documents, found by their templates.
 
 Numbers, names and units become typed placeholders, so that a question with other numbers or
-names in it has the same template. Windows of five template words are hashed and joined with
-the windows of all benchmark items; a document holds an item if, within a stretch of about the
-item's length, it has at least 0.8 of the item's windows. For these the slots are compared: an
+names in it has the same template. A capitalised word that opens a sentence may be a name or not,
+and a text in one case shows no names; so every window has three forms: names inside sentences
+only, all capitalised words as names, and no names (upper and lower case alike). Windows of five
+template words are hashed in their different forms and joined with those of all benchmark items; a
+document holds an item if, within a stretch of about the item's length, it has at least 0.8 of the
+item's windows in one of the forms. For these the slots are compared: an
 item's value must stand for one value of the document throughout (the same value in a copy, any
 other in a re-parameterised question); the share of such values is the consistency, at least 0.9.
 
@@ -17,10 +20,12 @@ windows, which are broadcast if they are measured to fit and joined by hash othe
 are grouped, and a group (one document, one item, one diagonal or stretch) has at most as many
 rows as the item has windows, after a first aggregate.
 
-Defined results: NULL and empty texts hold nothing and are never found; items with fewer than
-five words, or whose windows all have fewer than two words besides placeholders, have no window
-and are not searched for; documents without id are told apart by their texts; repeated rows give
-one row; items that repeat an id are different items of one id; extra columns are not looked at.
+Defined results: NULL and empty texts hold nothing and are never found; items with two to four
+words are searched for as one window of that length; windows with fewer than two words besides
+placeholders are not used, but for items that have no other, where names count as words; items of
+which no window has two words besides numbers and units are not searched for; documents without
+id are told apart by their texts; repeated rows give one row; items that repeat an id are
+different items of one id; extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -43,9 +48,13 @@ UNITS = (
 )
 
 
-def placeholders(text: Column) -> Column:
-    """Names inside a sentence, numbers, and units behind numbers as placeholders; words stay words."""
-    named = F.regexp_replace(text, r"\p{Lu}(?<=[^.!?\s]\s.)[\p{L}\p{M}'-]*+", NAME)
+#: What stands for a name: inside a sentence only, or any capitalised word, or nothing.
+NAMES = (r"\p{Lu}(?<=[^.!?\s]\s.)[\p{L}\p{M}'-]*+", r"\p{Lu}(?<![\p{L}\p{M}\p{N}'-].)[\p{L}\p{M}'-]*+", None)
+
+
+def placeholders(text: Column, names: str | None = NAMES[0]) -> Column:
+    """Names, numbers, and units behind numbers as placeholders; words stay words."""
+    named = F.regexp_replace(text, names, NAME) if names else text
     unit = rf"(?i:{UNITS})(?![\p{{L}}\p{{N}}])"
     numbered = F.regexp_replace(named, rf"[0-9](?<![\p{{L}}\p{{N}}].)[0-9.,:/]*+(?:%|{unit})?", NUMBER)
     return F.when(F.contains(numbered, F.lit(NUMBER)), F.regexp_replace(numbered, rf"(?<={NUMBER}\s){unit}", UNIT)).otherwise(numbered)
@@ -57,38 +66,67 @@ def words(text: Column) -> Column:
     return F.split(F.trim(F.regexp_replace(plain, r"[\x00\s]++", " ")), " ")
 
 
-def _windows(rows: DataFrame, *keep: str) -> DataFrame:
-    """One row per window of five template words: its hash and place, and both kinds of words."""
-    worded = rows.select(*keep, words(placeholders(F.col("text"))).alias("template"), words(F.col("text")).alias("plain"))
-    placed = worded.select(*keep, "template", "plain", F.posexplode("template").alias("at", "word"))
-    parts = [F.get("template", F.col("at") + k) for k in range(WINDOW)]
-    return placed.where(F.col("at") <= F.size("template") - WINDOW).withColumn("hash", F.xxhash64(*parts))
+def _forms(rows: DataFrame, *keep: str) -> DataFrame:
+    """One row per place of a text, with its words and their forms."""
+    forms = [words(placeholders(F.col("text"), names)).alias(f"form{i}") for i, names in enumerate(NAMES)]
+    worded = rows.select(*keep, words(F.col("text")).alias("plain"), *forms)
+    return worded.select("*", F.posexplode("plain").alias("at", "word"))
+
+
+def _windows(rows: DataFrame, *keep: str, lengths: tuple[int, ...] = ()) -> DataFrame:
+    """One row per place and different form of a window of five words, or of the ``lengths`` too: its hash, place and words."""
+    made = []
+    for length in (WINDOW, *lengths):
+        for i in range(len(NAMES)):
+            parts = [F.get(f"form{i}", F.col("at") + k) for k in range(length)]
+            made.append(F.when(F.col("at") <= F.size("plain") - length, F.struct(F.xxhash64(*parts).alias("hash"), F.lit(length).alias("length"))))
+    cut = _forms(rows, *keep).withColumn("made", F.explode(F.array_distinct(F.array_compact(F.array(*made)))))
+    return cut.select("*", "made.hash", "made.length")
 
 
 def _slice(column: str) -> Column:
-    return F.slice(F.col(column), F.col("at") + 1, WINDOW)
+    return F.slice(F.col(column), F.col("at") + 1, F.col("length"))
 
 
 def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(hash, item, item_key, item_at, item_words, slots, n_windows) of all items."""
+    """(hash, length, item, item_key, item_at, item_words, slots, n_windows) of all items."""
     items = benchmark.select(F.col(id_col).alias("item"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).distinct()
     keyed = items.withColumn("item_key", F.xxhash64("text"))
     marks = F.array(*[F.lit(m) for m in (NAME, NUMBER, UNIT)])
-    cut = _windows(keyed, "item", "item_key").select(
-        "hash", "item", "item_key", F.col("at").alias("item_at"), _slice("plain").alias("item_words"), _slice("template").alias("t")
-    )
-    slots = F.transform("t", lambda x: F.array_contains(marks, x)).alias("slots")
-    cut = cut.select("hash", "item", "item_key", "item_at", "item_words", slots)
-    cut = cut.where(F.size(F.filter("slots", lambda x: ~x)) >= LITERALS)
-    return cut.withColumn("n_windows", F.count("*").over(Window.partitionBy("item", "item_key")))
+    is_mark = lambda x: F.array_contains(marks, x)
+    forms = [f"form{i}" for i in range(len(NAMES))]
+    cut = _forms(keyed, "item", "item_key").withColumn("length", F.least(F.lit(WINDOW), F.size("plain")))
+    cut = cut.where(F.col("at") <= F.size("plain") - F.col("length"))
+    usable = [F.size(F.filter(_slice(f), lambda x: ~is_mark(x))) >= LITERALS for f in forms]
+    hashes = []
+    for f, use in zip(forms, usable, strict=True):
+        by_length = [F.xxhash64(*[F.get(f, F.col("at") + k) for k in range(n)]) for n in range(1, WINDOW + 1)]
+        hashes.append(F.when(use, F.element_at(F.array(*by_length), F.col("length"))))
+    # Slots: 2 where a placeholder is sure, 1 where a word that opens a sentence may be a name.
+    slots = F.zip_with(_slice(forms[0]), _slice(forms[1]), lambda x, y: F.when(is_mark(x), 2).when(is_mark(y), 1).otherwise(0))
+    cut = cut.select(
+        "item", "item_key", "length", F.col("at").alias("item_at"), _slice("plain").alias("item_words"), slots.alias("slots"),
+        usable[0].alias("template"), F.array_distinct(F.array_compact(F.array(*hashes))).alias("hashes"),
+    )
+    # Items without a usable template are searched for by their words.
+    own = Window.partitionBy("item", "item_key")
+    cut = cut.withColumn("any", F.max("template").over(own)).where((F.col("template") | ~F.col("any")) & (F.size("hashes") > 0))
+    cut = cut.withColumn("n_windows", F.count("*").over(own))
+    return cut.select(F.explode("hashes").alias("hash"), "length", "item", "item_key", "item_at", "item_words", "slots", "n_windows")
 
 
 def _judged(found: DataFrame) -> DataFrame:
     """Coverage, consistency of the slots and exactness of windows ``w`` of an item."""
     zipped = F.flatten(F.transform("w", lambda w: F.arrays_zip(w["item_words"].alias("a"), w["doc_words"].alias("b"), w["slots"].alias("s"))))
-    pairs = F.array_distinct(F.transform(F.filter(zipped, lambda x: x["s"]), lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"))))
+
+    def of(slot):
+        return F.array_distinct(F.transform(F.filter(zipped, lambda x: x["s"] == slot), lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"))))
+
+    # An opening word that stays the same throughout is no evidence for names.
+    other = F.filter("loose", lambda p: (p["a"] != p["b"]) | F.exists(F.array_union("sure", "loose"), lambda q: (q["a"] == p["a"]) & (q["b"] != p["b"])))
+    found = found.withColumn("sure", of(2)).withColumn("loose", of(1)).withColumn("pairs", F.array_union("sure", other))
     values = F.array_distinct(F.transform("pairs", lambda p: p["a"]))
-    return found.withColumn("pairs", pairs).select(
+    return found.select(
         "doc", "text_hash", "item",
         (F.size("w") / F.col("n_windows")).alias("coverage"),
         F.forall("w", lambda w: w["item_words"] == w["doc_words"]).alias("exact"),
@@ -111,7 +149,9 @@ def find_leaks(
     probe = F.broadcast(items) if fits_broadcast(items) else items
     rows = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     keyed = rows.withColumn("text_hash", F.xxhash64("text"))
-    hits = _windows(keyed, "doc", "text_hash").join(probe, "hash")
+    # At most WINDOW - 2 lengths of short items.
+    short = tuple(sorted(r[0] for r in items.where(F.col("length") < WINDOW).select("length").distinct().collect()))
+    hits = _windows(keyed, "doc", "text_hash", lengths=short).join(probe, ["hash", "length"])
     found = ["doc", "text_hash", "item", "item_key"]
     hits = hits.withColumn("diagonal", F.col("at") - F.col("item_at"))
     # A window has one place on a diagonal; only repeated rows have it twice.

@@ -76,3 +76,20 @@ def test_whole_test_table_against_brute_force(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     assert {r.page_id: r.text for r in extract_pages(pages).collect()} == want
     assert all(want.values())
+
+
+def test_unmarked_template_on_few_pages_of_a_host(spark):
+    top = "<div><p>Acme Daily</p><p>All the news</p></div>"
+    foot = "<div>Imprint of Acme</div>"
+    share = "<div>Send to a friend</div><div>Print this page</div>"
+    rows = []
+    for k in range(40):
+        lead = "<h2>Weather report</h2>" if k % 5 == 0 else f"<h2>Report {k}</h2>"
+        body = f"<div>{lead}<p>story number {k} begins</p><p>and {k} ends here</p>{share if k % 4 == 0 else ''}</div>"
+        html = f"<body>{top if k % 5 == 1 else ''}{body}{foot if k % 6 == 2 else ''}</body>"
+        rows.append((k, f"https://a.example/{k}", html))
+    rows.append((50, "https://a.example/50", f"<body>{top}{foot}</body>"))
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = {r.page_id: r.text for r in extract_pages(pages).collect()}
+    want = {k: f"{'Weather report' if k % 5 == 0 else f'Report {k}'}\nstory number {k} begins\nand {k} ends here" for k in range(40)}
+    assert found == want | {50: "Acme Daily\nAll the news\nImprint of Acme"}

@@ -2,12 +2,19 @@
 
 A page is read into an element tree once per pass. First pass: every element subtree is
 hashed, and Spark counts per host on how many different pages a subtree occurs; identical
-pages of a host count once. Subtrees on at least ``min_pages`` pages and ``min_share`` of the
-host's pages are its template. A host cannot have more of them than its mean number of
-elements divided by the share, so that a host's list is bounded by its pages' size and not by
-their number. Second pass: the lists are joined to the pages by host (a hot host is a skewed
-join side that Spark splits), template subtrees are deleted, and what the page itself marks
-as menu, header, footer, sidebar, notice, advert, form, comment or code is left out.
+pages of a host count once. Subtrees on at least ``min_pages`` pages and ``COMMON_SHARE`` of the
+host's pages recur. A host cannot have more of them than its mean number of elements divided by
+the share, so that a host's list is bounded by its pages' size and not by their number. Second
+pass: the lists are joined to the pages by host (a hot host is a skewed join side that Spark
+splits), template subtrees are deleted, and what the page itself marks as menu, header, footer,
+sidebar, notice, advert, form, comment or code is left out.
+
+Of the subtrees that recur, those on ``min_share`` of the host's pages are template wherever they
+stand. The others may be article text (a headline, a sentence), so their place decides, on pages
+that do not mark their main part: the main part is then the innermost block that holds other
+blocks and more than half of the text that does not recur. Recurring blocks outside of it are
+template, and inside of it those that stand side by side or hold several blocks with text; a
+single one stays. Pages without any text of their own keep what they have.
 
 Defined results: NULL html gives an empty text; NULL urls have no host and no template; broken
 markup is read leniently (missing end tags, stray end tags, unclosed comments); repeated rows
@@ -48,6 +55,8 @@ NOISE = frozenset(
     "respond share sharing social related recommended widget toolbar pagination pager".split()
 )
 MAIN = ("article", "main")
+#: Least share of a host's pages for subtrees that are template by their place.
+COMMON_SHARE = 0.01
 #: An element that opens inside one of the second kind closes it first, up to the third kind.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -174,10 +183,74 @@ def subtree_hashes(root: Element) -> set[int]:
     return found
 
 
-def main_text(root: Element, template: frozenset[int] = frozenset()) -> str:
+def _recurring(root: Element, template: frozenset[int], common: frozenset[int]) -> set[Element]:
+    """Of the blocks in ``common``, those that are template by their place on a page without marked main part."""
+    visited, recur, todo = [], set(), [root]
+    while todo:
+        e = todo.pop()
+        visited.append(e)
+        for x in e.inside:
+            if isinstance(x, Element) and not _dropped(x, template) and not _is_link_list(x):
+                if x.hash in common and x.tag in BLOCKS and x.tag not in ("html", "body", *MAIN):
+                    recur.add(x)
+                else:
+                    todo.append(x)
+    own: dict[Element, int] = {}
+    for e in reversed(visited):
+        own[e] = sum(len("".join(x.split())) if isinstance(x, str) else own.get(x, 0) for x in e.inside)
+    if not recur or not own[root]:
+        return set()
+    main = part = root
+    while part is not None:
+        children = [x for x in part.inside if isinstance(x, Element) and own.get(x)]
+        if part.tag in BLOCKS and any(x.tag in BLOCKS for x in children):
+            main = part
+        part = next((x for x in children if 2 * own[x] > own[root]), None)
+    found = set(recur)
+    todo = [main]
+    while todo:
+        e = todo.pop()
+        run: list[Element] = []
+        for x in [*e.inside, None]:
+            if isinstance(x, Element):
+                if x in recur:
+                    run.append(x)
+                    continue
+                if x in own:
+                    todo.append(x)
+                if not own.get(x):
+                    continue
+            elif x is not None and not x.strip():
+                continue
+            if len(run) == 1 and _text_blocks(run[0]) < 2:
+                found.discard(run[0])
+            run = []
+    return found
+
+
+def _text_blocks(e: Element) -> int:
+    """The number of blocks that hold text and no smaller block with text."""
+    order, todo = [], [e]
+    while todo:
+        x = todo.pop()
+        order.append(x)
+        todo += [y for y in x.inside if isinstance(y, Element) and not y.noise]
+    count: dict[Element, int] = {}
+    text: dict[Element, bool] = {}
+    for x in reversed(order):
+        below = [y for y in x.inside if isinstance(y, Element) and y in count]
+        count[x] = sum(count[y] for y in below)
+        text[x] = any(text[y] for y in below) or any(isinstance(y, str) and y.strip() for y in x.inside)
+        if x.tag in BLOCKS and text[x]:
+            count[x] = max(1, count[x])
+    return count[e]
+
+
+def main_text(root: Element, template: frozenset[int] = frozenset(), common: frozenset[int] = frozenset()) -> str:
     """The page's blocks, one a line, without template subtrees and marked noise."""
     roots = _main_parts(root, template)
     whole = not roots
+    placed = _recurring(root, template, common) if whole and common else set()
     blocks: list[str] = []
     buffer: list[str] = []
 
@@ -195,7 +268,7 @@ def main_text(root: Element, template: frozenset[int] = frozenset()) -> str:
                 flush()
             elif isinstance(x, str):
                 buffer.append(x)
-            elif x is not part and (_dropped(x, template) or whole and _is_link_list(x)):
+            elif x is not part and (x in placed or _dropped(x, template) or whole and _is_link_list(x)):
                 if x.tag in BLOCKS:
                     flush()
             elif x.tag == "br":
@@ -266,7 +339,7 @@ def _signed(h: int) -> int:
 
 
 def host_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = 5, min_share: float = 0.5) -> DataFrame:
-    """(host, subtrees): hashes of the subtrees that recur across a host's different pages."""
+    """(host, subtrees, common): hashes of the subtrees that recur across a host's different pages, on ``min_share`` of them and on fewer."""
 
     def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
         whole, parts = [], []
@@ -291,13 +364,14 @@ def host_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html
         .agg(F.count("*").alias("n"))
         .where(F.col("n") >= min_pages)
     )
+    frequent = F.col("n") >= min_share * F.col("pages")
     totals = counts.where("subtree is null").select("host", F.col("n").alias("pages"))
     return (
         counts.where("subtree is not null")
         .join(totals, "host")
-        .where(F.col("n") >= min_share * F.col("pages"))
+        .where(F.col("n") >= min(COMMON_SHARE, min_share) * F.col("pages"))
         .groupBy("host")
-        .agg(F.collect_list("subtree").alias("subtrees"))
+        .agg(F.collect_list(F.when(frequent, F.col("subtree"))).alias("subtrees"), F.collect_list(F.when(~frequent, F.col("subtree"))).alias("common"))
     )
 
 
@@ -320,14 +394,14 @@ def extract_pages(
         templates = F.broadcast(templates)
     kept = [F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]
     rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html"), *kept)
-    joined = rows.join(templates, "host", "left").select("html", "subtrees", *[f"k{i}" for i in range(len(keep))])
+    joined = rows.join(templates, "host", "left").select("html", "subtrees", "common", *[f"k{i}" for i in range(len(keep))])
 
     def texts(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
-        for html, subtrees in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            template = frozenset(h % (1 << 64) for h in subtrees or ())
-            out.append(main_text(parse(html or ""), template).encode("utf-8", "replace").decode())
-        return pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(out, pa.string())], names=[*names, "text"])
+        for html, subtrees, others in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            template, common = (frozenset(h % (1 << 64) for h in hashes or ()) for hashes in (subtrees, others))
+            out.append(main_text(parse(html or ""), template, common).encode("utf-8", "replace").decode())
+        return pa.RecordBatch.from_arrays([*batch.columns[3:], pa.array(out, pa.string())], names=[*names, "text"])
 
     names = [f"k{i}" for i in range(len(keep))]
     types = ", ".join(f"{n} {joined.schema[n].dataType.simpleString()}" for n in names)

@@ -168,3 +168,54 @@ def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     every, numbers = every[order], numbers[order]
     first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]]) if len(every) else np.zeros(0, np.int64)
     return every[first], np.add.reduceat(numbers, first) if len(every) else numbers
+
+
+class Wide:
+    """Keys of up to 128 bits in sorted order: a first word that deals them, and the rest."""
+
+    def __init__(self, high: np.ndarray, low: np.ndarray):
+        self.high, self.low = high, low
+
+    def order(self) -> np.ndarray:
+        """Of any keys. Few keys share their first word, so only those are sorted by both."""
+        order = np.argsort(self.high, kind="stable")
+        high = self.high[order]
+        same = np.r_[False, high[1:] == high[:-1]][: len(high)]
+        tied = np.flatnonzero(same | np.r_[same[1:], False][: len(high)])
+        if len(tied):
+            own = order[tied]
+            order[tied] = own[np.lexsort((self.low[own], self.high[own]))]
+        return order
+
+    def take(self, at: np.ndarray) -> Wide:
+        return Wide(self.high[at], self.low[at])
+
+    def first(self) -> np.ndarray:
+        """Places of the distinct ones of sorted keys."""
+        if not len(self.high):
+            return np.zeros(0, np.int64)
+        return np.flatnonzero(np.r_[True, (self.high[1:] != self.high[:-1]) | (self.low[1:] != self.low[:-1])])
+
+    def distinct(self) -> tuple[Wide, np.ndarray]:
+        """The distinct keys, sorted, and for each key its place among them."""
+        order = self.order()
+        every = self.take(order)
+        first = every.first()
+        place = np.empty(len(order), np.int64)
+        place[order] = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(order)]))
+        return every.take(first), place
+
+    def packed(self, width: int) -> bytes:
+        """The second words of some keys in their lowest ``width`` bytes."""
+        return np.ascontiguousarray(self.low.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+    @staticmethod
+    def unpacked(keys: bytes, low: bytes, width: int) -> Wide:
+        high = keys_of(keys)
+        planes = np.zeros((len(high), 8), np.uint8)
+        planes[:, :width] = np.frombuffer(low, np.uint8).reshape(width, len(high)).T
+        return Wide(high, planes.view(np.uint64).ravel())
+
+    @staticmethod
+    def joined(keys: list[Wide]) -> Wide:
+        return Wide(np.concatenate([k.high for k in keys]), np.concatenate([k.low for k in keys]))

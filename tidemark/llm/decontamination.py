@@ -75,13 +75,12 @@ def _forms(rows: DataFrame, *keep: str) -> DataFrame:
 
 def _windows(rows: DataFrame, *keep: str, lengths: tuple[int, ...] = ()) -> DataFrame:
     """One row per place and different form of a window of five words, or of the ``lengths`` too: its hash, place and words."""
+    # No lambdas here: they would break the generated code and copy the text's arrays for every place.
     made = []
     for length in (WINDOW, *lengths):
-        for i in range(len(NAMES)):
-            parts = [F.get(f"form{i}", F.col("at") + k) for k in range(length)]
-            made.append(F.when(F.col("at") <= F.size("plain") - length, F.struct(F.xxhash64(*parts).alias("hash"), F.lit(length).alias("length"))))
-    cut = _forms(rows, *keep).withColumn("made", F.explode(F.array_distinct(F.array_compact(F.array(*made)))))
-    return cut.select("*", "made.hash", "made.length")
+        hashes = [F.xxhash64(*[F.get(f"form{i}", F.col("at") + k) for k in range(length)]) for i in range(len(NAMES))]
+        made.append(F.when(F.col("at") <= F.size("plain") - length, F.array(*hashes)).otherwise(F.array().cast("array<bigint>")))
+    return _forms(rows, *keep).select(*keep, "plain", "at", F.explode(F.array_distinct(F.concat(*made))).alias("hash"))
 
 
 def _slice(column: str) -> Column:
@@ -151,14 +150,13 @@ def find_leaks(
     keyed = rows.withColumn("text_hash", F.xxhash64("text"))
     # At most WINDOW - 2 lengths of short items.
     short = tuple(sorted(r[0] for r in items.where(F.col("length") < WINDOW).select("length").distinct().collect()))
-    hits = _windows(keyed, "doc", "text_hash", lengths=short).join(probe, ["hash", "length"])
+    hits = _windows(keyed, "doc", "text_hash", lengths=short).join(probe, "hash")
     found = ["doc", "text_hash", "item", "item_key"]
-    hits = hits.withColumn("diagonal", F.col("at") - F.col("item_at"))
-    # A window has one place on a diagonal; only repeated rows have it twice.
-    diagonals = hits.groupBy(*found, "diagonal").agg(
-        F.min("n_windows").alias("n_windows"),
-        F.collect_set(F.struct("item_at", "item_words", "slots", _slice("plain").alias("doc_words"))).alias("w"),
-    )
+    # Exploded, so that hits and not their texts' arrays reach the aggregate.
+    hit = F.struct("item_at", "item_words", "slots", _slice("plain").alias("doc_words"))
+    hits = hits.select(*found, "n_windows", (F.col("at") - F.col("item_at")).alias("diagonal"), F.explode(F.array(hit)).alias("w"))
+    # A window has one place on a diagonal; repeated rows and several equal forms give it again.
+    diagonals = hits.groupBy(*found, "diagonal").agg(F.min("n_windows").alias("n_windows"), F.collect_set("w").alias("w"))
     same = F.size(F.filter("w", lambda w: w["item_words"] == w["doc_words"]))
     diagonals = diagonals.withColumn("support", F.struct(F.size("w").alias("n"), same.alias("same"), (-F.col("diagonal")).alias("first")))
     straight = diagonals.where(F.col("support.n") >= coverage * F.col("n_windows")).select(*found, "n_windows", "w")

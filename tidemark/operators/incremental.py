@@ -24,8 +24,10 @@ def with_epoch(known: DataFrame, marks: DataFrame, groups: tuple[str, ...]) -> D
     return joined.withColumn("mark", F.coalesce("mark", F.lit(EPOCH).cast("timestamp_ntz")))
 
 
-def fresh_records(records: DataFrame, marks: DataFrame, groups: tuple[str, ...], updated: Column) -> DataFrame:
-    """Records updated on or after the day of their group's mark.
+def fresh_records(
+    records: DataFrame, marks: DataFrame, groups: tuple[str, ...], updated: Column, also: Column | None = None
+) -> DataFrame:
+    """Records updated on or after the day of their group's mark, and those ``also`` holds for.
 
     The day counts as a whole; the merge's own condition settles repeats. Records of
     unknown groups pass, and so do those without a readable time, so that they reach
@@ -34,7 +36,8 @@ def fresh_records(records: DataFrame, marks: DataFrame, groups: tuple[str, ...],
     """
     joined = records.withColumn("_day", to_day(updated)).join(marks, list(groups), "left")
     since = F.to_date(F.coalesce("mark", F.lit(EPOCH).cast("timestamp_ntz")))
-    return joined.filter(F.col("_day").isNull() | (F.col("_day") >= since)).drop("_day", "mark")
+    passes = F.col("_day").isNull() | (F.col("_day") >= since)
+    return joined.filter(passes if also is None else passes | also).drop("_day", "mark")
 
 
 def load(
@@ -44,10 +47,12 @@ def load(
     marks: DataFrame | None = None,
     groups: tuple[str, ...] = (),
     updated: Column | None = None,
+    also: Column | None = None,
     key: str | None = None,
     sample_size: int = 3,
 ) -> DataFrame:
-    """Records to take in: those new since the marks, all of them, or a small sample of each group."""
+    """Records to take in: those new since the marks (and those ``also`` holds for), all of them,
+    or a small sample of each group."""
     if mode == "all":
         return records
     if mode == "sample":
@@ -56,7 +61,7 @@ def load(
         return sample_rows(records, key, sample_size, groups=groups)
     if marks is None or updated is None:
         raise ValueError("new records need marks and the time they were updated")
-    return fresh_records(records, marks, groups, updated)
+    return fresh_records(records, marks, groups, updated, also)
 
 
 def reject_reason(required: dict[str, Column], times: dict[str, Column]) -> Column:

@@ -14,6 +14,9 @@ from tidemark.sources import landed
 
 TABLE = "source_contributors"
 IDS = ("org_id", "org_name", "repo_id", "repo_name")
+# How a contributor that was set aside is known again, and what is kept of it.
+IDENTITIES = (("repo_id", "user_id"),)
+HELD = (*IDS, "user_id", "user_name", "activity")
 
 
 def contributor_records(pages: DataFrame, at: datetime | None = None) -> DataFrame:

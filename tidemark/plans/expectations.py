@@ -23,8 +23,11 @@ LEGACY = "map<string, struct<execution_engines: map<string, boolean>>>"
 
 
 def core_expectations(docs: DataFrame, column: str = "value") -> DataFrame:
-    """One row per schema document: name normalized, lists lower case and sorted."""
-    picked = docs.select(column, *landed.pick_fields(F.col(column), FIELDS))
+    """One row per schema document: name normalized, lists lower case and sorted.
+
+    A list that is not one of texts is an error; one that is missing is NULL.
+    """
+    picked = docs.select(column, *landed.picked_or_error(F.col(column), FIELDS, "unreadable"))
     return picked.select(
         underscored(landed.required(F.col("title"), F.col(column), "no title in document")).alias("expectation_name"),
         sorted_lower(F.col("data_sources")).alias("data_sources"),
@@ -34,8 +37,12 @@ def core_expectations(docs: DataFrame, column: str = "value") -> DataFrame:
 
 
 def legacy_expectations(docs: DataFrame, column: str = "value") -> DataFrame:
-    """One row per name in the legacy documents, with the classes of its engines."""
-    named = docs.select(F.explode(F.from_json(column, LEGACY)).alias("expectation_name", "entry"))
+    """One row per name in the legacy documents, with the classes of its engines.
+
+    A document that cannot be read is an error.
+    """
+    entries = landed.readable(F.from_json(column, LEGACY), F.col(column), "unreadable legacy document")
+    named = docs.select(F.explode(entries).alias("expectation_name", "entry"))
     return named.select(
         "expectation_name",
         engine_classes(true_keys(F.col("entry.execution_engines"))).alias("data_sources"),

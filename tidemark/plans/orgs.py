@@ -41,13 +41,21 @@ def repo_list(repos: Column) -> Column:
 def org_snapshot(landed_orgs: DataFrame, dt: date | Column) -> DataFrame:
     """Typed snapshot rows from landed texts (org_name, org, members, repos).
 
-    Lists stay nested as they were landed, so no row is moved or grouped.
+    Lists stay nested as they were landed, so no row is moved or grouped. A list that was
+    landed but cannot be read, or not the id of one of its elements, is an error: members or
+    repositories would vanish.
     """
+
+    def listed(column: str, ddl: str) -> Column:
+        whole = F.from_json(column, ddl)
+        whole = F.when(~F.exists(whole, lambda e: e.isNull() | e["id"].isNull()), whole)
+        return landed.readable(whole, F.col(column), f"unreadable {column}").alias(column)
+
     parsed = landed_orgs.select(
         "org_name",
         landed.parse_record(F.col("org"), landed.ORG).alias("org"),
-        F.from_json("members", landed.MEMBERS).alias("members"),
-        F.from_json("repos", landed.REPOS).alias("repos"),
+        listed("members", landed.MEMBERS),
+        listed("repos", landed.REPOS),
     )
     return parsed.select(
         landed.required(F.col("org.id"), F.col("org_name"), "no id for organization").cast("string").alias("org_id"),

@@ -18,6 +18,9 @@ TABLE = "source_pulls"
 IDS = ("org_id", "org_name", "repo_id", "repo_name")
 PULL = ("repo_id", "pull_number")
 TIMES = ["created", "updated", "closed", "merged"]
+# How a pull that was set aside is known again, and what is kept of it.
+IDENTITIES = (("repo_id", "pull_number"), ("repo_id", "pull_id"))
+HELD = (*IDS, "pull_id", "pull_number", "title", "user_id", "labels", "is_draft", "time")
 
 
 def pull_records(pages: DataFrame) -> DataFrame:
@@ -122,6 +125,11 @@ def pull_rows(records: DataFrame, at: datetime | None = None) -> DataFrame:
     )
 
 
+def of_run(rows: DataFrame, at: datetime | None = None) -> DataFrame:
+    """Rows kept by an earlier run (columns ``HELD``) as rows of this one."""
+    return rows.select(run_time(at).alias("api_request_time"), *HELD)
+
+
 def pull_reject_reason() -> Column:
     """Why a detailed pull row cannot be stored: a part of its identity or its author is
     missing or unreadable, a time, its details or a review is bad."""

@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import policies
-from tidemark.operators.incremental import Mode, high_water_marks, load, split_rejects
+from tidemark.operators.incremental import Mode, load, split_rejects
 from tidemark.operators.merge import METRICS, MergeSpec
 from tidemark.operators.scope import require_known, scope_pairs
 from tidemark.operators.sizing import fits_broadcast
 from tidemark.plans import contributors, expectations, orgs, pulls, repos, users
-from tidemark.sources import catalog
+from tidemark.sources import catalog, marks, quarantine
 from tidemark.sources.staging import staged
 
 # Landed kinds and the columns of their JSON lines; bodies are JSON texts as received.
@@ -37,6 +37,10 @@ SPECS = {
     expectations.TABLE: policies.EXPECTATIONS,
 }
 TABLES = (orgs.TABLE, repos.TABLE, contributors.TABLE, pulls.TABLE, expectations.TABLE, "users")
+# Beside them: marks of pulls, and records set aside.
+MARKS, MARK_GROUPS, MARK_FIELD = "pull_marks", ("org_id", "repo_id"), "time.updated"
+PULL_REJECTS, CONTRIBUTOR_REJECTS = "pull_rejects", "contributor_rejects"
+SIDE_TABLES = (MARKS, PULL_REJECTS, CONTRIBUTOR_REJECTS)
 
 
 @dataclass(frozen=True)
@@ -116,36 +120,56 @@ def _merge_repos(spark, database, landing, scope, at, mode, spec) -> list[DataFr
             good, rejects = split_rejects(records, contributors.contributor_reject_reason())
             rows = contributors.contributor_rollup(good)
             counts = _merged(spark, database, contributors.TABLE, rows, spec[contributors.TABLE], frozen=True)
+            held = quarantine.held_rows(rejects, contributors.IDENTITIES, contributors.HELD, at)
+            quarantine.settle(spark, f"{database}.{CONTRIBUTOR_REJECTS}", held, good, contributors.IDENTITIES)
             report.append(counts.withColumn("num_rejected_rows", F.lit(rejects.count()).cast("bigint")))
     if landing.pulls is not None:
         # Fresh pulls first: only their details and reviews are parsed. All is frozen before it
         # is split, so that both halves see the same rows.
         with staged(_fresh_pulls(spark, database, landing, in_scope, at, mode), "fresh") as fresh:
-            with staged(_detailed_pulls(landing, in_scope, fresh), "pulls") as rows:
+            taken = _with_waiting(spark, database, landing, in_scope, fresh, at, mode)
+            with staged(_detailed_pulls(landing, in_scope, taken), "pulls") as rows:
                 facts, rejects = pulls.pull_facts(rows)
                 if "pull_block" in spec[pulls.TABLE].partition_by:
                     facts = pulls.in_blocks(facts)
                 counts = _merged(spark, database, pulls.TABLE, facts, spec[pulls.TABLE], frozen=True)
+                marks.advance_marks(facts, f"{database}.{MARKS}", MARK_GROUPS, MARK_FIELD)
+                held = quarantine.held_rows(rejects, pulls.IDENTITIES, pulls.HELD, at)
+                quarantine.settle(spark, f"{database}.{PULL_REJECTS}", held, facts, pulls.IDENTITIES)
                 report.append(counts.withColumn("num_rejected_rows", F.lit(rejects.count()).cast("bigint")))
     return report
 
 
 def delete_all(spark: SparkSession, database: str) -> DataFrame:
-    """Drop every table of a run and report which ones existed."""
+    """Drop every table of a run and report which ones existed; marks and rejects go with them."""
+    for name in SIDE_TABLES:
+        catalog.drop(spark, f"{database}.{name}")
     return catalog.drop_all(spark, [f"{database}.{t}" for t in TABLES])
 
 
 def _fresh_pulls(spark, database, landing, in_scope, at, mode) -> DataFrame:
-    records = pulls.pull_records(in_scope(landing.pulls))
-    stored = catalog.read(spark, f"{database}.{pulls.TABLE}")
-    groups = ("org_id", "repo_id")
-    if mode == "new" and stored is not None:
-        marks = high_water_marks(stored, groups, "time.updated")
-        records = load(records, "new", marks=marks, groups=groups, updated=F.col("record.updated_at"))
-    elif mode == "sample":
-        keyed = records.withColumn("_key", F.concat_ws("/", "repo_id", F.col("record.id").cast("string")))
-        records = load(keyed, "sample", key="_key", groups=groups).drop("_key")
-    return pulls.pull_rows(records, at)
+    """Pulls to take in: new ones, and those that an earlier run had to set aside."""
+    rows = pulls.pull_rows(pulls.pull_records(in_scope(landing.pulls)), at)
+    if mode == "sample":
+        keyed = rows.withColumn("_key", F.concat_ws("/", "repo_id", "pull_id"))
+        return load(keyed, "sample", key="_key", groups=MARK_GROUPS).drop("_key")
+    held = quarantine.read_held(spark, f"{database}.{PULL_REJECTS}")
+    known = marks.read_marks(spark, f"{database}.{MARKS}", f"{database}.{pulls.TABLE}", MARK_GROUPS, MARK_FIELD)
+    if mode == "new" and known is not None:
+        rows = quarantine.is_held(rows, held, pulls.IDENTITIES, "_held")
+        return load(rows, "new", marks=known, groups=MARK_GROUPS, updated=F.col(MARK_FIELD), also=F.col("_held")).drop("_held")
+    return rows
+
+
+def _with_waiting(spark, database, landing, in_scope, fresh: DataFrame, at, mode) -> DataFrame:
+    """Fresh pulls, and those set aside that were not landed again, but details or reviews of them."""
+    held = quarantine.read_held(spark, f"{database}.{PULL_REJECTS}")
+    bodies = [in_scope(b).select(*pulls.PULL) for b in (landing.details, landing.reviews) if b is not None]
+    if mode == "sample" or held is None or not bodies:
+        return fresh
+    ddl = fresh.select(*pulls.HELD).schema.simpleString()
+    waiting = quarantine.waiting_rows(held, reduce(DataFrame.unionByName, bodies), fresh, pulls.PULL, ddl)
+    return fresh.unionByName(pulls.of_run(waiting, at))
 
 
 def _detailed_pulls(landing, in_scope, fresh: DataFrame) -> DataFrame:

@@ -17,12 +17,12 @@ from tidemark.operators.select import select_ordered, select_prefix
 from tidemark.plans import pulls
 from tidemark.plans.derived import DerivedTable
 from tidemark.plans.pulls import in_blocks
-from tidemark.plans.workflow import Landing, run_all
+from tidemark.plans.workflow import PULL_REJECTS, Landing, run_all
 from tidemark.queries.activity import api_time
 from tidemark.queries.catalogue import schema_docs
 from tidemark.queries.registry import query, scratch_database, table
 from tidemark.session import scratch_path
-from tidemark.sources import catalog
+from tidemark.sources import catalog, marks, quarantine
 from tidemark.sources.staging import sql_over
 from tidemark.streaming.intake import merge_stream
 
@@ -351,12 +351,12 @@ def stream_intake(spark, sf_dir):
     return catalog.read(spark, name).select("repo_id", "pull_id", "time.updated")
 
 
-def landing_of(spark, sf_dir, keep: str = "true", late: str = "false") -> Landing:
+def landing_of(spark, sf_dir, keep: str = "true", late: str = "false", authors: str = "o_orderkey % 9 <> 0") -> Landing:
     """Landed texts of a whole run: regions are organizations, nations repositories,
     orders pulls, events contributors' weeks, parts expectations.
 
     Only orders that ``keep`` holds for are landed; those ``late`` holds for were updated a
-    day after they were created.
+    day after they were created; ``authors`` tells which name one.
     """
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     named = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -398,7 +398,7 @@ def landing_of(spark, sf_dir, keep: str = "true", late: str = "false") -> Landin
     key, day = F.col("o_orderkey"), F.col("o_orderdate")
     pull = F.struct(
         key.alias("id"), key.cast("int").alias("number"), F.col("o_orderpriority").alias("title"),
-        F.when(key % 9 != 0, F.struct("o_custkey").cast("struct<id:bigint>")).alias("user"),
+        F.when(F.expr(authors), F.struct("o_custkey").cast("struct<id:bigint>")).alias("user"),
         F.array(F.struct(F.col("o_orderstatus").alias("name"))).alias("labels"),
         api_time(day).alias("created_at"),
         api_time(F.when(F.expr(late), day + F.expr("interval 1 day")).otherwise(day)).alias("updated_at"),
@@ -468,3 +468,89 @@ def run_twice(spark, sf_dir):
         run_all(spark, database, landing, *scope, at=at, specs=specs)
     stored = catalog.read(spark, f"{database}.{pulls.TABLE}")
     return stored.select("pull_id", "time.updated", "pull_block", F.coalesce(F.array_size("reviews"), F.lit(0)).alias("reviews"))
+
+
+def spoiled(texts, body: str, when: str):
+    """Landed texts of which those that ``when`` holds for cannot be read; it sees the number as ``k``."""
+    k = F.expr(when.replace("k", "cast(pull_number as bigint)"))
+    return texts.withColumn(body, F.when(k, F.lit("not json")).otherwise(F.col(body)))
+
+
+@query(
+    """
+    WITH p AS (SELECT o_orderkey AS k FROM orders JOIN customer ON o_custkey = c_custkey),
+    judged AS (
+        SELECT k, CASE WHEN k % 9 = 0 AND k % 18 <> 0 THEN 'missing author' WHEN k % 28 = 0 THEN 'unreadable reviews'
+                       WHEN k % 20 = 13 THEN 'unreadable details' END AS reason
+        FROM p)
+    SELECT CAST(k AS VARCHAR) AS pull_number, reason AS reject_reason,
+           CASE WHEN reason IS NULL THEN CAST(k % 5 AS INTEGER) END AS comments,
+           CASE WHEN reason IS NOT NULL THEN TIMESTAMP '2024-02-01 12:00:00' END AS held_since,
+           CAST(0 AS BIGINT) AS changes_of_third_run
+    FROM judged
+    """
+)
+def quarantine_replay(spark, sf_dir):
+    """three runs over bad details, reviews and authors; where every pull is after the last.
+
+    The second run brings some of what was unreadable in a form that can be read, for pulls whose
+    marks have long passed and, for every third, that are not even listed again. Those are stored
+    and no longer held; what stays bad is held with its reason since the first run. The
+    third run lands the same again and changes nothing.
+    """
+    database = scratch_database(spark)
+    scope = [[r[0] for r in table(spark, sf_dir, t).select(c).collect()] for t, c in (("region", "r_name"), ("nation", "n_name"))]
+
+    def landed(listed, authors, bad_details, bad_reviews):
+        every = landing_of(spark, sf_dir, authors=authors)
+        return Landing(
+            orgs=every.orgs,
+            pulls=landing_of(spark, sf_dir, keep=listed, authors=authors).pulls,
+            details=spoiled(every.details, "detail", bad_details),
+            reviews=spoiled(every.reviews, "reviews", bad_reviews),
+        )
+
+    first = landed("true", "o_orderkey % 9 <> 0", "k % 10 = 3", "k % 14 = 0")
+    later = landed("o_orderkey % 3 <> 0 or o_orderkey % 18 = 0", "o_orderkey % 9 <> 0 or o_orderkey % 18 = 0", "k % 20 = 13", "k % 28 = 0")
+    for day, landing in enumerate((first, later, later), 1):
+        counts = run_all(spark, database, landing, *scope, at=datetime(2024, 2, day, 12, 0, 0))
+    changes = counts.filter(F.col("table_name") == pulls.TABLE).first()["num_affected_rows"]
+    stored = catalog.read(spark, f"{database}.{pulls.TABLE}")
+    held = quarantine.read_held(spark, f"{database}.{PULL_REJECTS}")
+    return (
+        stored.select("pull_number", F.lit(None).cast("string").alias("reject_reason"), F.col("metrics.comment_count").alias("comments"), F.lit(None).cast("timestamp_ntz").alias("held_since"))
+        .unionByName(held.select("pull_number", "reject_reason", F.lit(None).cast("int").alias("comments"), "held_since"))
+        .withColumn("changes_of_third_run", F.lit(changes).cast("bigint"))
+    )
+
+
+@query(
+    """
+    SELECT CAST(o_custkey % 20 AS VARCHAR) AS repo_id, max(o_orderdate + CASE WHEN o_orderkey % 7 = 0 THEN INTERVAL 3 DAY ELSE INTERVAL 0 DAY END) AS mark
+    FROM orders WHERE o_custkey IS NOT NULL GROUP BY 1
+    """
+)
+def maintained_marks(spark, sf_dir):
+    """A4: marks kept in a table and moved on by each merge, not computed from what is stored.
+
+    A first merge, new pulls, updates, and a batch of versions older than those stored.
+    """
+    orders = table(spark, sf_dir, "orders")
+    database = scratch_database(spark)
+    name, kept = f"{database}.pulls", f"{database}.marks"
+
+    def merge(keep, days):
+        updated = F.col("o_orderdate") + F.expr(f"interval {days} day")
+        rows = orders.filter(keep).select(
+            (F.col("o_custkey") % 20).cast("string").alias("repo_id"),
+            F.col("o_orderkey").cast("string").alias("pull_id"),
+            F.struct(updated.alias("updated")).alias("time"),
+        )
+        catalog.merge_into(rows, name, PULLS)
+        marks.advance_marks(rows, kept, ("repo_id",), "time.updated")
+
+    merge("o_orderkey % 3 = 1", 0)
+    merge("o_orderkey % 3 <> 1", 0)
+    merge("o_orderkey % 7 = 0", 3)
+    merge("o_orderkey % 7 = 0", 1)
+    return marks.read_marks(spark, kept, name, ("repo_id",), "time.updated")

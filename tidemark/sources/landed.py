@@ -61,6 +61,12 @@ def required(value: Column, text: Column, message: str) -> Column:
     return F.coalesce(value, wrong)  # which, unlike a CASE, parses the text once
 
 
+def readable(value: Column, text: Column, message: str) -> Column:
+    """``value``, NULL where nothing was landed, or an error where a text did not yield one."""
+    nothing = text.isNull() | (F.trim(text) == "null")
+    return F.when(~nothing, required(value, text, message))
+
+
 def parse_record(text: Column, ddl: str) -> Column:
     """One record parsed against its declared fields."""
     return F.from_json(text, ddl)
@@ -85,6 +91,19 @@ def pick_fields(text: Column, fields: Mapping[str, tuple[str, str]]) -> list[Col
     return [F.try_variant_get(doc, path, kind).alias(name) for name, (path, kind) in fields.items()]
 
 
+def picked_or_error(text: Column, fields: Mapping[str, tuple[str, str]], message: str) -> list[Column]:
+    """As ``pick_fields``, but a field that is there with another type is an error."""
+    doc = F.try_parse_json(text)
+
+    def picked(name: str, path: str, kind: str) -> Column:
+        value, found = F.try_variant_get(doc, path, kind), F.try_variant_get(doc, path, "variant")
+        wrong = found.isNotNull() & ~F.is_variant_null(found) & value.isNull()
+        error = F.raise_error(F.concat(F.lit(f"{message} {name}: "), F.left(found.cast("string"), F.lit(200))))
+        return F.when(wrong, error.cast(kind)).otherwise(value).alias(name)
+
+    return [picked(name, path, kind) for name, (path, kind) in fields.items()]
+
+
 def infer_schema(texts: DataFrame, column: str = "value") -> str:
     """DDL of the struct that holds every field of the JSON objects in ``column``.
 

@@ -7,8 +7,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.operators.incremental import fresh_records, high_water_marks
-from tidemark.operators.merge import MergeSpec, merge_actions, merge_plan
-from tidemark.operators.policies import PULLS
+from tidemark.operators.merge import MergeSpec, merge_actions, merge_decisions, merge_plan
+from tidemark.operators.policies import CONTRIBUTORS, EXPECTATIONS, PULLS, USERS
 from tidemark.plans.users import current_users
 from tidemark.sources import catalog
 
@@ -60,18 +60,42 @@ def test_a_broadcast_source_leaves_the_target_unshuffled(spark, pulls):
     assert "BroadcastHashJoin" in executed(merged)
 
 
+def exchanges(df) -> list[str]:
+    """Hash exchanges of the plan as it ran; one that is used again counts once."""
+    df.collect()
+    final = executed(df).split("== Initial Plan ==")[0]
+    return re.findall(r"(?<!Reused)Exchange hashpartitioning\([^)]*\)", final)
+
+
 def test_a_shuffled_source_is_shuffled_once(spark, pulls, monkeypatch):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         merged = merge_plan(pulls, pulls.filter("pull_id < '2'"), MergeSpec(PULLS.keys, PULLS.update_when))
-        merged.collect()
-        assert "ReusedExchange" in executed(merged)
+        # One exchange of either side: the target's keys do not move a second time.
+        assert len(exchanges(merged)) == 2
         assert "SortMergeJoin" in executed(merged) or "ShuffledHashJoin" in executed(merged)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+@pytest.mark.parametrize("spec", [PULLS, USERS, EXPECTATIONS, CONTRIBUTORS], ids=["M4", "M6", "M5", "M3"])
+def test_decisions_take_one_shuffle(spark, tmp_path, spec):
+    """Both sides' keys and condition columns in one exchange, nothing else of the rows."""
+    df = spark.range(200).select(
+        *[F.col("id").cast("string").alias(k) for k in dict.fromkeys((*spec.keys, "user_name"))],
+        F.struct(F.col("id").alias("updated"), F.lit("x").alias("created")).alias("time"),
+        F.array(F.lit("a")).alias("data_sources"), F.array(F.lit("b")).alias("data_quality_issues"),
+        F.lit(False).alias("deprecated"), F.current_date().alias("last_week"), F.lit("long text").alias("title"),
+    ).repartition(3)
+    df.write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    decided = merge_decisions(df, df.filter("time.updated % 2 = 0"), spec)
+    assert rows(decided.groupBy("_action").count()) == ([("keep", 100), ("soft_delete", 100)] if spec is EXPECTATIONS else [("keep", 200)])
+    assert len(exchanges(decided)) == 1 and "Join" not in executed(decided)
+    assert "title" not in executed(decided) and "created" not in executed(decided)
+
+
 def test_a_hot_group_is_split_among_tasks(spark, tmp_path):
     """A third of the records in one repository: AQE splits that partition of the join."""
     conf = {

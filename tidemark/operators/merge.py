@@ -3,15 +3,16 @@
 ``merge_plan`` is the lazy form: two DataFrames in, the merged rows and the action
 taken on each out. ``sources.catalog.merge_into`` applies it to a catalog table.
 
-Shape of the plan, chosen for a large target and a source of any size:
-
-* target LEFT JOIN source gives updates, keeps and soft deletes. Spark may broadcast
-  the source, and AQE may split a skewed target partition, neither of which a full
-  outer join allows.
-* source LEFT ANTI target keys gives inserts. Only key columns of the target take
-  part, pre-aggregated before their shuffle; the source's shuffle is shared.
-* With a broadcast source the anti join runs against the keys that matched, so the
-  target is never shuffled at all.
+Shape of the plans, chosen for a large target and a source of any size:
+
+* ``merge_decisions``, which table merges use, is a tagged union: keys and condition columns of
+  both sides go through one shuffle, and one aggregate per key gives the action and tells
+  whether a key is repeated on either side. Keys are unique, so there is nothing to combine
+  before the shuffle and no hot key behind it.
+* The lazy plan is a full outer join, which moves each side once.
+* With a source small enough to broadcast, target LEFT JOIN source gives updates, keeps and
+  soft deletes, and an anti join against the keys that matched the inserts, so that the target
+  is never shuffled at all.
 * Rows with a NULL key never match, so they go around the shuffles instead of meeting
   in one hash partition.
 """
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.sizing import any_null
 
-ACTION = "_action"
+ACTION, TARGETS, SOURCES = "_action", "_targets", "_sources"
 ACTIONS = INSERT, UPDATE, KEEP, SOFT_DELETE = "insert", "update", "keep", "soft_delete"
 METRICS = (
     "num_affected_rows bigint, num_updated_rows bigint, num_deleted_rows bigint, num_inserted_rows bigint"
@@ -45,7 +46,9 @@ class MergeSpec:
     without a source row get the values of ``by_source_set`` where
     ``by_source_when(target)`` holds.
     ``partition_by`` names key columns the target is partitioned by, so that a merge
-    rewrites only the partitions it changes.
+    rewrites only the partitions it changes. Where no key column suits, ``buckets`` deals the
+    table's rows to that many hidden partitions by a hash of their keys, with the same effect;
+    0 makes as many as the first rows' size asks for.
     """
 
     keys: tuple[str, ...]
@@ -53,6 +56,7 @@ class MergeSpec:
     by_source_when: Callable[[Side], Column] | None = None
     by_source_set: Mapping[str, object] = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
+    buckets: int | None = None
 
     def __post_init__(self):
         if not self.keys:
@@ -62,6 +66,8 @@ class MergeSpec:
             raise ValueError(f"partition columns must be keys; {sorted(stray)} are not")
         if bool(self.by_source_set) != (self.by_source_when is not None):
             raise ValueError("by_source_when and by_source_set go together")
+        if self.buckets is not None and (self.partition_by or self.buckets < 0):
+            raise ValueError("buckets are a number, for tables without partition columns")
 
 
 class DuplicateKeys(ValueError):
@@ -108,14 +114,11 @@ def merge_plan(
 
     t = target.filter(~any_null(keys))
     s = source.filter(~any_null(keys))
-    parts = [
-        _matched(target if broadcast_source else t, s, spec, out, broadcast_source),
-        _with_action(_unmatched_source(t, s, keys, broadcast_source), INSERT, out),
-        _with_action(source.filter(any_null(keys)), INSERT, out),
-    ]
-    if not broadcast_source:
-        parts.append(_by_source(target.filter(any_null(keys)), spec, out))
-    return reduce(DataFrame.unionByName, parts)
+    fresh = _with_action(source.filter(any_null(keys)), INSERT, out)
+    if broadcast_source:
+        rows = _matched(target, s, spec, out).unionByName(_with_action(_unmatched_source(t, s, keys), INSERT, out))
+        return rows.unionByName(fresh)
+    return _outer(t, s, spec, out).unionByName(fresh).unionByName(_by_source(target.filter(any_null(keys)), spec, out))
 
 
 def merge_actions(
@@ -125,18 +128,88 @@ def merge_actions(
     return merge_plan(target, source, spec, broadcast_source, columns=list(spec.keys))
 
 
+def merge_decisions(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
+    """Keys, action, and how many rows of either side have the key (``_targets``, ``_sources``).
+
+    One row per whole key, and one for every row without one. Where a target key is repeated, its
+    one action stands for rows that may differ; ``merge_actions`` decides such rows one by one.
+    """
+    check_columns(target, source, spec)
+    keys, paths = spec.keys, condition_paths(spec)
+    name = {(side, path): f"_{side}_{k}" for k, (side, path) in enumerate(paths)}
+
+    def tagged(df: DataFrame, side: str) -> DataFrame:
+        seen = [F.col(p).alias(name[s, p]) for s, p in paths if s == side]
+        tags = [F.lit(int(side == x)).alias(tag) for x, tag in (("t", TARGETS), ("s", SOURCES))]
+        return df.filter(~any_null(keys)).select(*keys, *tags, *seen)
+
+    union = tagged(target, "t").unionByName(tagged(source, "s"), allowMissingColumns=True)
+    # Each side has one row per key, so any value that is not NULL is that row's.
+    values = [F.any_value(c, F.lit(True)).alias(c) for c in name.values()]
+    counts = [F.sum(c).cast("bigint").alias(c) for c in (TARGETS, SOURCES)]
+    # The shuffle first: both halves of the aggregate then run behind it, sorting once at most.
+    met = union.repartition(*keys).groupBy(*keys).agg(*counts, *values)
+    both, gone = (F.col(TARGETS) > 0) & (F.col(SOURCES) > 0), F.col(SOURCES) == 0
+    seen = {side: (lambda path, side=side: F.col(name[side, path])) for side in "ts"}
+    action = F.when(F.col(TARGETS) == 0, INSERT)
+    action = action.when(both & (_holds(spec.update_when(seen["t"], seen["s"])) if spec.update_when else F.lit(True)), UPDATE)
+    if spec.by_source_when:
+        action = action.when(gone & _holds(spec.by_source_when(seen["t"])), SOFT_DELETE)
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    decided = met.select(action.otherwise(KEEP).alias(ACTION), *keys, TARGETS, SOURCES)
+    loose = _with_action(source.filter(any_null(keys)), INSERT, list(keys)).withColumns({TARGETS: none, SOURCES: one})
+    out = decided.unionByName(loose)
+    if spec.by_source_when:
+        left = _by_source(target.filter(any_null(keys)), spec, list(keys)).withColumns({TARGETS: one, SOURCES: none})
+        out = out.unionByName(left)
+    return out
+
+
+def condition_paths(spec: MergeSpec) -> list[tuple[str, str]]:
+    """(side, column path) of everything that the policy's conditions look at."""
+    seen: dict[tuple[str, str], None] = {}
+
+    def side(which: str) -> Side:
+        return lambda path: seen.setdefault((which, path)) or F.col(path)
+
+    if spec.update_when:
+        spec.update_when(side("t"), side("s"))
+    if spec.by_source_when:
+        spec.by_source_when(side("t"))
+    return list(seen)
+
+
 def merge_decided(
-    target: DataFrame, source: DataFrame, spec: MergeSpec, changed: DataFrame, broadcast_updates: bool = False
+    target: DataFrame, source: DataFrame, spec: MergeSpec, changed: DataFrame, broadcast_changes: bool = False
 ) -> DataFrame:
-    """The merged rows, given the changed keys that ``merge_actions`` found.
+    """The merged rows, given the changed keys that were decided.
 
-    For policies without a by-source clause. Only source rows that update something
-    meet the target; they are often few where the source is large, and may then be
-    broadcast. Inserts are known and need no second look at the target.
+    Only what changes something meets the target: source rows of updates, and the bare keys of
+    soft deletes. They are often few where the source is large, and may then be broadcast.
+    Inserts are known and need no second look at the target.
     """
-    updates = decided_rows(source, spec.keys, changed, UPDATE)
-    rows = _matched(target, updates, spec, target.columns, broadcast_updates)
-    return rows.drop(ACTION).unionByName(inserted_rows(source.select(*target.columns), spec.keys, changed))
+    keys = spec.keys
+    moves = decided_moves(source, spec, changed)
+    moves = F.broadcast(moves) if broadcast_changes else moves
+    joined = target.alias("t").join(moves.alias("s"), _key_match(keys), "left")
+    t, s = _side("t"), _side("s")
+    update = _holds(spec.update_when(t, s)) if spec.update_when else F.lit(True)
+    action = F.when((s(ACTION) == UPDATE) & update, UPDATE)
+    if spec.by_source_when:
+        gone = (s(ACTION) == SOFT_DELETE) | reduce(lambda a, b: a | b, [t(k).isNull() for k in keys])
+        action = action.when(gone & _holds(spec.by_source_when(t)), SOFT_DELETE)
+    decided = joined.withColumn("_decided", action.otherwise(KEEP))
+    rows = decided.select(*[t(c).alias(c) if c in keys else _value("_decided", c, spec).alias(c) for c in target.columns])
+    return rows.unionByName(inserted_rows(source.select(*target.columns), keys, changed))
+
+
+def decided_moves(source: DataFrame, spec: MergeSpec, changed: DataFrame) -> DataFrame:
+    """Source rows that update something, and the keys of target rows to delete softly, by action."""
+    moves = decided_rows(source, spec.keys, changed, UPDATE).withColumn(ACTION, F.lit(UPDATE))
+    if not spec.by_source_when:
+        return moves
+    gone = changed.filter((F.col(ACTION) == SOFT_DELETE) & ~any_null(spec.keys)).select(*spec.keys).distinct()
+    return moves.unionByName(gone.withColumn(ACTION, F.lit(SOFT_DELETE)), allowMissingColumns=True)
 
 
 def decided_rows(source: DataFrame, keys: tuple[str, ...], changed: DataFrame, action: str) -> DataFrame:
@@ -181,10 +254,8 @@ def _key_match(keys: tuple[str, ...]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
 
 
-def _matched(t: DataFrame, s: DataFrame, spec: MergeSpec, out: list[str], broadcast_source: bool) -> DataFrame:
-    joined = t.alias("t").join(
-        (F.broadcast(s) if broadcast_source else s).alias("s"), _key_match(spec.keys), "left"
-    )
+def _matched(t: DataFrame, s: DataFrame, spec: MergeSpec, out: list[str]) -> DataFrame:
+    joined = t.alias("t").join(F.broadcast(s).alias("s"), _key_match(spec.keys), "left")
     target, source = _side("t"), _side("s")
     found = source(spec.keys[0]).isNotNull()
     update = _holds(spec.update_when(target, source)) if spec.update_when else F.lit(True)
@@ -192,21 +263,40 @@ def _matched(t: DataFrame, s: DataFrame, spec: MergeSpec, out: list[str], broadc
     if spec.by_source_when:
         action = action.when(~found & _holds(spec.by_source_when(target)), SOFT_DELETE)
     decided = joined.withColumn(ACTION, action.otherwise(KEEP))
+    # A key has the same value on both sides of an update.
+    return decided.select(ACTION, *[target(c).alias(c) if c in spec.keys else _value(ACTION, c, spec).alias(c) for c in out])
+
+
+def _value(action: str, name: str, spec: MergeSpec) -> Column:
+    """A column of the merged row, of sides ``t`` and ``s``, by the action decided."""
+    value = F.when(F.col(action) == UPDATE, F.col(f"s.{name}"))
+    if name in spec.by_source_set:
+        value = value.when(F.col(action) == SOFT_DELETE, F.lit(spec.by_source_set[name]))
+    return value.otherwise(F.col(f"t.{name}"))
+
+
+def _outer(t: DataFrame, s: DataFrame, spec: MergeSpec, out: list[str]) -> DataFrame:
+    """Merged rows of whole keys by one full outer join."""
+    joined = t.alias("t").join(s.alias("s"), _key_match(spec.keys), "full_outer")
+    target, source = _side("t"), _side("s")
+    in_t, in_s = target(spec.keys[0]).isNotNull(), source(spec.keys[0]).isNotNull()
+    update = _holds(spec.update_when(target, source)) if spec.update_when else F.lit(True)
+    action = F.when(~in_t, INSERT).when(in_s & update, UPDATE)
+    if spec.by_source_when:
+        action = action.when(~in_s & _holds(spec.by_source_when(target)), SOFT_DELETE)
+    decided = joined.withColumn(ACTION, action.otherwise(KEEP))
 
     def merged(name: str) -> Column:
-        value = F.when(F.col(ACTION) == UPDATE, source(name))
-        if name in spec.by_source_set:
-            value = value.when(F.col(ACTION) == SOFT_DELETE, F.lit(spec.by_source_set[name]))
-        return value.otherwise(target(name)).alias(name)
+        if name in spec.keys:
+            return F.coalesce(target(name), source(name))
+        return F.when(F.col(ACTION) == INSERT, source(name)).otherwise(_value(ACTION, name, spec))
 
-    # A key has the same value on both sides of an update.
-    return decided.select(ACTION, *[target(c).alias(c) if c in spec.keys else merged(c) for c in out])
+    return decided.select(ACTION, *[merged(c).alias(c) for c in out])
 
 
-def _unmatched_source(t: DataFrame, s: DataFrame, keys: tuple[str, ...], broadcast_source: bool) -> DataFrame:
-    present = t.select(*keys)
-    if broadcast_source:
-        present = present.join(F.broadcast(s.select(*keys)), list(keys), "left_semi")
+def _unmatched_source(t: DataFrame, s: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Rows of a broadcast source that the target lacks, against the keys that met it."""
+    present = t.select(*keys).join(F.broadcast(s.select(*keys)), list(keys), "left_semi")
     return s.alias("s").join(present.alias("t"), _key_match(keys), "left_anti")
 
 

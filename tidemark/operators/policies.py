@@ -1,7 +1,8 @@
 """The merge policies of the engine's tables.
 
 ``partition_by`` suits tables of up to some thousands of repositories; with more, use
-``dataclasses.replace(PULLS, partition_by=())``.
+``dataclasses.replace(PULLS, partition_by=(), buckets=0)``. Tables without a suitable column are
+written in hidden buckets of their keys as soon as their size asks for more than one.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ EXPECTATIONS = MergeSpec(
     | (t("data_quality_issues") != s("data_quality_issues")),
     by_source_when=lambda t: ~t("deprecated"),
     by_source_set={"deprecated": True},
+    buckets=0,
 )
 
 # M6: a renamed user is overwritten.
-USERS = MergeSpec(keys=("user_id",), update_when=lambda t, s: t("user_name") != s("user_name"))
+USERS = MergeSpec(keys=("user_id",), update_when=lambda t, s: t("user_name") != s("user_name"), buckets=0)

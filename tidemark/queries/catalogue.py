@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from tidemark.functions.nested import pack
@@ -10,9 +12,9 @@ from tidemark.operators.merge import ACTION, merge_plan
 from tidemark.operators.policies import EXPECTATIONS
 from tidemark.operators.select import pad_union
 from tidemark.plans.expectations import core_expectations, legacy_expectations, with_legacy
-from tidemark.queries.registry import query, table
+from tidemark.queries.registry import query, scratch_database, table
 from tidemark.session import scratch_path
-from tidemark.sources import landed
+from tidemark.sources import catalog, landed
 from tidemark.sources.staging import stage
 
 SOURCES = ["Snowflake", "pandas", "BigQuery", "Spark"]
@@ -305,3 +307,42 @@ def url_parts(spark, sf_dir):
         pick_url(F.col("urls"), "pulls", with_params=True).alias("pulls_template"),
         pick_url(F.col("urls")).alias("page_url"),
     )
+
+
+def _merged_sql(t: str, s: str) -> str:
+    """Policy M5 over two relations of flat expectations, without the actions."""
+    return f"""
+        SELECT coalesce(t.expectation_name, s.expectation_name) AS expectation_name,
+               CASE WHEN new OR changed THEN s.data_sources ELSE t.data_sources END AS data_sources,
+               CASE WHEN new OR changed THEN s.data_quality_issues ELSE t.data_quality_issues END AS data_quality_issues,
+               CASE WHEN new OR changed THEN s.deprecated WHEN s.expectation_name IS NULL THEN true ELSE t.deprecated END AS deprecated
+        FROM (SELECT t, s, t.expectation_name IS NULL AS new,
+                     coalesce(t.data_sources <> s.data_sources OR t.data_quality_issues <> s.data_quality_issues, false) AS changed
+              FROM {t} AS t FULL OUTER JOIN {s} AS s ON t.expectation_name = s.expectation_name)"""
+
+
+ROUNDS = (
+    ("p_size", "p_partkey % 8 <> 0"),
+    ("p_size + CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE 0 END", "p_partkey % 9 <> 0"),
+    ("p_size + CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE 0 END + CASE WHEN p_partkey % 18 = 0 THEN 1 ELSE 0 END", "p_partkey % 7 <> 0"),
+)
+
+
+@query(
+    "WITH "
+    + ", ".join(f"s{k} AS ({CORE.format(size=size, where=where)})" for k, (size, where) in enumerate(ROUNDS))
+    + f", m1 AS ({_merged_sql('s0', 's1')}), m2 AS ({_merged_sql('m1', 's2')})"
+    + " SELECT *, CAST(0 AS BIGINT) AS files_replaced_by_rerun FROM m2"
+)
+def expectations_kept(spark, sf_dir):
+    """M5 on a table in buckets: changes, deletions, returns with and without a change; then the same again.
+
+    Only buckets with a decided change are written; a source that changes nothing writes nothing.
+    """
+    name, spec = f"{scratch_database(spark)}.expectations", replace(EXPECTATIONS, buckets=8)
+    for size, where in ROUNDS:
+        catalog.merge_into(core_expectations(schema_docs(spark, sf_dir, where, F.expr(size))), name, spec)
+    before = set(catalog.read(spark, name).inputFiles())
+    catalog.merge_into(core_expectations(schema_docs(spark, sf_dir, where, F.expr(size))), name, spec)
+    stored = catalog.read(spark, name)
+    return flat(stored).withColumn("files_replaced_by_rerun", F.lit(len(before ^ set(stored.inputFiles()))).cast("bigint"))

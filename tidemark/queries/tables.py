@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -9,13 +10,13 @@ from pyspark.sql import functions as F
 from tidemark.functions import times
 from tidemark.operators.layout import cluster_table, file_layout
 from tidemark.operators.merge import MergeSpec
-from tidemark.operators.policies import PULLS, PULLS_IN_BLOCKS
+from tidemark.operators.policies import ORG_SNAPSHOT, PULLS, PULLS_IN_BLOCKS, USERS
 from tidemark.operators import profile as profiles
 from tidemark.operators.profile import column_profile, freshness
 from tidemark.operators.profile import table_profile as table_profile_row
 from tidemark.operators.select import select_ordered, select_prefix
 from tidemark.plans import pulls
-from tidemark.plans.derived import DerivedTable
+from tidemark.plans.derived import DerivedTable, GroupedTable
 from tidemark.plans.pulls import in_blocks
 from tidemark.plans.workflow import PULL_REJECTS, Landing, run_all
 from tidemark.queries.activity import api_time
@@ -23,7 +24,7 @@ from tidemark.queries.catalogue import schema_docs
 from tidemark.queries.registry import query, scratch_database, table
 from tidemark.session import scratch_path
 from tidemark.sources import catalog, marks, quarantine
-from tidemark.sources.staging import sql_over
+from tidemark.sources.staging import sql_over, stage
 from tidemark.streaming.intake import merge_stream
 
 
@@ -554,3 +555,115 @@ def maintained_marks(spark, sf_dir):
     merge("o_orderkey % 7 = 0", 3)
     merge("o_orderkey % 7 = 0", 1)
     return marks.read_marks(spark, kept, name, ("repo_id",), "time.updated")
+
+
+@query(
+    """
+    WITH users AS (
+        SELECT CAST(c_custkey AS VARCHAR) AS user_id, c_name AS name, c_custkey AS k,
+               CAST(CAST('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 8) AS UBIGINT) % 128 AS INTEGER) AS bucket
+        FROM customer WHERE c_custkey IS NOT NULL),
+    moved AS (SELECT *, k BETWEEN 100 AND 120 AND k % 10 < 9 AS renamed, k BETWEEN 200 AND 260 AND k % 10 = 9 AS new FROM users)
+    SELECT user_id, CASE WHEN renamed THEN upper(name) || '!' ELSE name END AS user_name, bucket,
+           bool_or(renamed OR new) OVER (PARTITION BY bucket) AS replaced
+    FROM moved WHERE k % 10 < 9 OR new
+    """
+)
+def bucketed_renames(spark, sf_dir):
+    """M6: a table in hidden buckets of its keys' hash; which files some renames and new users replace."""
+    users = table(spark, sf_dir, "customer").filter("c_custkey is not null")
+    key, name = F.col("c_custkey"), f"{scratch_database(spark)}.users"
+    spec = replace(USERS, buckets=128)
+
+    def rows(df, title):
+        return df.select(key.cast("string").alias("user_id"), title.alias("user_name"))
+
+    catalog.merge_into(rows(users.filter(key % 10 < 9), F.col("c_name")), name, spec)
+    files = F.col("_metadata.file_path").alias("file")
+    before = stage(catalog.read_raw(spark, name).select(files).distinct(), "files")
+    renamed = rows(users.filter((key % 10 < 9) & key.between(100, 120)), F.concat(F.upper("c_name"), F.lit("!")))
+    new = rows(users.filter((key % 10 == 9) & key.between(200, 260)), F.col("c_name"))
+    catalog.merge_into(renamed.unionByName(new), name, spec)
+    stored = catalog.read_raw(spark, name)
+    bucket = F.col(catalog.bucket_column(stored.columns)).alias("bucket")
+    kept = before.withColumn("kept", F.lit(True))
+    return stored.select("user_id", "user_name", bucket, files).join(kept, "file", "left").select(
+        "user_id", "user_name", "bucket", F.col("kept").isNull().alias("replaced")
+    )
+
+
+@query(
+    """
+    WITH monthly AS (
+        SELECT CAST(l_suppkey AS VARCHAR) AS org_id, CAST(date_trunc('month', l_shipdate) AS DATE) AS dt,
+               count(*) AS lines, count(*) FILTER (l_returnflag = 'A') AS seen
+        FROM lineitem GROUP BY 1, 2)
+    SELECT org_id, dt, CASE WHEN dt >= DATE '1998-07-01' THEN lines ELSE seen END AS repo_count,
+           dt >= DATE '1998-07-01' AND dt < DATE '1999-01-01' AS replaced
+    FROM monthly
+    """
+)
+def snapshot_days(spark, sf_dir):
+    """M1: snapshots merged into a table partitioned by their day; which days' files were replaced.
+
+    The days both merges bring are written anew, later ones are added, earlier ones stay.
+    """
+    name = f"{scratch_database(spark)}.orgs"
+    monthly = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy(F.col("l_suppkey").cast("string").alias("org_id"), F.trunc("l_shipdate", "month").alias("dt"))
+        .agg(F.count("*").alias("lines"), F.count_if(F.col("l_returnflag") == "A").alias("seen"))
+    )
+    monthly = stage(monthly, "monthly-orgs")
+    catalog.merge_into(monthly.filter("dt < DATE '1999-01-01'").select("org_id", F.col("seen").alias("repo_count"), "dt"), name, ORG_SNAPSHOT)
+    files = F.col("_metadata.file_path").alias("file")
+    before = stage(catalog.read(spark, name).select("dt", files).distinct(), "files")
+    catalog.merge_into(monthly.filter("dt >= DATE '1998-07-01'").select("org_id", F.col("lines").alias("repo_count"), "dt"), name, ORG_SNAPSHOT)
+    now = catalog.read(spark, name).select("org_id", "dt", "repo_count", files)
+    gone = before.join(now.select("file").distinct(), "file", "left_anti").select("dt").distinct().withColumn("gone", F.lit(True))
+    return now.join(gone, "dt", "left").select("org_id", "dt", "repo_count", F.col("gone").isNotNull().alias("replaced"))
+
+
+@query(
+    """
+    WITH now AS (
+        SELECT o_custkey % 40 AS repo, o_totalprice,
+               o_orderdate + CASE WHEN o_custkey % 40 < 6 AND o_orderkey % 3 = 0 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS updated
+        FROM orders WHERE o_custkey IS NOT NULL AND (o_orderkey % 8 < 7 OR o_custkey % 40 = 39))
+    SELECT CAST(repo AS VARCHAR) AS repo_id, count(*) AS pulls, max(updated) AS newest,
+           CAST(count(*) FILTER (updated >= TIMESTAMP '1998-01-01') AS BIGINT) AS recent,
+           CAST(7 AS BIGINT) AS groups_folded_again
+    FROM now GROUP BY repo
+    """
+)
+def derived_from_changes(spark, sf_dir):
+    """D3: a table of groups, brought up to date from the keys that a merge changed.
+
+    Updates in six repositories and new pulls in a seventh: only these are folded again.
+    """
+    database = scratch_database(spark)
+    orders = table(spark, sf_dir, "orders").filter("o_custkey is not null")
+    repo = F.col("o_custkey") % 40
+
+    def rows(df, days):
+        updated = F.col("o_orderdate") + F.expr(f"interval {days} day")
+        return df.select(
+            repo.cast("string").alias("repo_id"),
+            F.col("o_orderkey").cast("string").alias("pull_id"),
+            F.struct(updated.alias("updated")).alias("time"),
+        )
+
+    def fold(pulls):
+        recent = F.count_if(F.col("time.updated") >= F.lit("1998-01-01").cast("timestamp_ntz"))
+        return pulls.groupBy("repo_id").agg(F.count("*").alias("pulls"), F.max("time.updated").alias("newest"), recent.alias("recent"))
+
+    base = f"{database}.pulls"
+    derived = GroupedTable(f"{database}.repo_pulls", base, ("repo_id",), fold)
+    catalog.merge_into(rows(orders.filter("o_orderkey % 8 < 7"), 0), base, PULLS)
+    derived.refresh(spark)
+    changed = rows(orders.filter((repo < 6) & F.expr("o_orderkey % 3 = 0 and o_orderkey % 8 < 7")), 1)
+    new = rows(orders.filter((repo == 39) & (F.expr("o_orderkey % 8 = 7"))), 0)
+    with catalog.merging(changed.unionByName(new), base, PULLS) as merged:
+        groups = derived.fold(derived.touched(merged.changes)).count()
+        derived.refresh(spark, merged.changes)
+    return catalog.read(spark, derived.name).withColumn("groups_folded_again", F.lit(groups).cast("bigint"))

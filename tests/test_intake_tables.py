@@ -165,3 +165,46 @@ def test_unreadable_expectations_are_errors(spark):
     with pytest.raises(Exception, match="unreadable data_sources"):
         expectations.core_expectations(texts(doc("Expect A", {"x": 1}, []))).collect()
     assert rows(expectations.core_expectations(texts(doc("Expect A", None, ["B", "a"])))) == [("expect_a", None, ["a", "b"], False)]
+
+
+def state(spark, database):
+    return {t.name: catalog._location(spark, f"{database}.{t.name}") for t in spark.catalog.listTables(database)}
+
+
+def test_all_tables_or_none(spark, database):
+    run(spark, database, landing(spark, [pull(1)], [(1, "ann")], docs=[doc("Expect A", ["x"], [])]))
+    before = state(spark, database)
+    contents = {t: rows(catalog.read(spark, f"{database}.{t}")) for t in before}
+    good = landing(spark, [pull(1, updated="2024-02-01T00:00:00Z"), pull(2)], [(2, "bob")], docs=[doc("Expect A", ["y"], [])])
+    make = lambda kind, *v: spark.createDataFrame(list(v), workflow.KINDS[kind])
+    spoilt = {
+        "expectations": ("no title", make("expectations", ("busy",))),
+        "repos": ("unreadable forks_count", make("repos", ("acme", "abe", '{"id": 5, "forks_count": "many"}'))),
+        "pulls": ("unreadable page", make("pulls", ("acme", "abe", "busy"))),
+        "contributors": ("not unique", make("contributors", *[("acme", "abe", contributor_page((1, "ann", [])))] * 2)),
+    }
+    for kind, (message, texts) in spoilt.items():
+        with pytest.raises(Exception, match=message):
+            run(spark, database, dataclasses.replace(good, **{kind: texts}), 2)
+        assert state(spark, database) == before
+    assert {t: rows(catalog.read(spark, f"{database}.{t}")) for t in before} == contents
+    assert run(spark, database, good, 2)["source_pulls"]["num_affected_rows"] == 2
+
+
+def test_repeated_landings_give_the_newest(spark, database):
+    """Also within one run; names of the scope may come as a frame."""
+    twice = [pull(1, title="old"), pull(1, updated="2024-01-09T00:00:00Z", title="new"), pull(2), pull(2)]
+    names = [spark.createDataFrame([(n,)], "whatever string") for n in ("acme", "abe")]
+    workflow.run_all(spark, database, landing(spark, twice, []), *names, at=AT)
+    assert rows(spark.table(f"{database}.source_pulls"), "pull_number", "title") == [("1", "new"), ("2", "t2")]
+
+
+def test_pages_of_an_organization(spark):
+    one = landed_orgs(spark, ("acme", 7, [(1, "ann")], [(9, "zed")]), ("acme", 7, [(2, "bob"), (3, "cy")], []), ("beta", 8, [], []))
+    bare = spark.createDataFrame([("acme", None, None, None), ("gamma", '{"id": 4}', None, "null")], workflow.KINDS["orgs"])
+    made = orgs.org_snapshot(orgs.whole_orgs(one.unionByName(bare)), DAY)
+    got = {r["org_name"]: (sorted(m["id"] for m in r["members"] or []), len(r["repos"] or []), r["metrics"]["member_count"]) for r in made.collect()}
+    assert got == {"acme": (["1", "2", "3"], 1, 3), "beta": ([], 0, 0), "gamma": ([], 0, None)}
+    broken = one.unionByName(spark.createDataFrame([("acme", None, "busy", None)], workflow.KINDS["orgs"]))
+    with pytest.raises(Exception, match="unreadable members: busy"):
+        orgs.org_snapshot(orgs.whole_orgs(broken), DAY).collect()

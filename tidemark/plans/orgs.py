@@ -71,6 +71,25 @@ def org_snapshot(landed_orgs: DataFrame, dt: date | Column) -> DataFrame:
     )
 
 
+def whole_orgs(pages: DataFrame) -> DataFrame:
+    """One row per organization from landed pages of its lists (columns as landed).
+
+    Pages are concatenated in an order of their own hashes, so that a repeat gives the same list.
+    The lists end in one row anyway, so that no group is larger than what it becomes. A page
+    that is no list is left for ``org_snapshot`` to refuse.
+    """
+
+    def joined(column: str, ddl: str) -> Column:
+        text = F.col(column)
+        page = F.when(text.isNotNull(), F.struct(F.xxhash64(text).alias("at"), F.from_json(text, ddl).alias("part"), text.alias("text")))
+        pages = F.array_sort(F.collect_list(page))
+        unreadable = F.filter(pages, lambda p: p["part"].isNull() & (F.trim(p["text"]) != "null"))
+        whole = F.to_json(F.flatten(F.transform(F.filter(pages, lambda p: p["part"].isNotNull()), lambda p: p["part"])))
+        return F.when(F.size(unreadable) > 0, unreadable[0]["text"]).when(F.size(pages) > 0, whole).alias(column)
+
+    return pages.groupBy("org_name").agg(F.max("org").alias("org"), joined("members", landed.MEMBERS), joined("repos", landed.REPOS))
+
+
 def repo_names(orgs: DataFrame) -> DataFrame:
     """Each organization's repository names, sorted."""
     names = F.array_sort(F.transform("repos", lambda r: r["name"]))

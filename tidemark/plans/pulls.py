@@ -52,12 +52,12 @@ def pull_details(texts: DataFrame) -> DataFrame:
 def pull_reviews(texts: DataFrame) -> DataFrame:
     """Reviews of each pull from landed texts (repo_id, pull_number, reviews), one row a page.
 
-    Pages of one pull are concatenated, in the order of their texts; the list is bounded by
+    Pages of one pull are concatenated, in an order of their own hashes; the list is bounded by
     the pull. The join that follows has the same keys, so that this moves nothing twice.
     """
-    parsed = texts.select(*PULL, F.col("reviews").alias("page"), F.from_json("reviews", landed.REVIEWS).alias("reviews"))
+    parsed = texts.select(*PULL, F.xxhash64("reviews").alias("at"), F.from_json("reviews", landed.REVIEWS).alias("reviews"))
     pages = parsed.groupBy(*PULL).agg(
-        F.array_sort(F.collect_list(F.struct("page", "reviews"))).alias("pages"), F.bool_or(F.col("reviews").isNull()).alias("unreadable")
+        F.array_sort(F.collect_list(F.struct("at", "reviews"))).alias("pages"), F.bool_or(F.col("reviews").isNull()).alias("unreadable")
     )
     reviews = F.flatten(F.transform("pages", lambda p: p["reviews"]))
     return pages.select(*PULL, review_list(reviews).alias("reviews"), F.col("unreadable").alias("reviews_unreadable"))

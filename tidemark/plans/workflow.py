@@ -1,7 +1,9 @@
-"""One run over everything in scope: one merge per table, not one per repository."""
+"""One run over everything in scope: one merge per table, not one per repository; all tables or none."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from contextlib import ExitStack
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
@@ -11,12 +13,13 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import policies
 from tidemark.operators.incremental import Mode, load, split_rejects
-from tidemark.operators.merge import METRICS, MergeSpec
+from tidemark.operators.merge import METRICS, MergeSpec, check_columns, check_unique
 from tidemark.operators.scope import require_known, scope_pairs
-from tidemark.operators.sizing import fits_broadcast
+from tidemark.operators.sizing import any_null, fits_broadcast
 from tidemark.plans import contributors, expectations, orgs, pulls, repos, users
 from tidemark.sources import catalog, marks, quarantine
 from tidemark.sources.staging import staged
+from tidemark.streaming.intake import newest_per_key
 
 # Landed kinds and the columns of their JSON lines; bodies are JSON texts as received.
 KINDS = {
@@ -61,83 +64,124 @@ def read_landing(spark: SparkSession, root: str, kinds: list[str] | None = None)
     return Landing(**{k: spark.read.schema(KINDS[k]).json(f"{root}/{k}") for k in kinds or KINDS})
 
 
+@dataclass(frozen=True)
+class Ready:
+    """Rows of one table, staged before any table is touched, and what follows their merge."""
+
+    table: str
+    rows: DataFrame
+    rejects: DataFrame | None = None
+    then: Callable[[], object] = lambda: None
+
+
 def run_all(
     spark: SparkSession,
     database: str,
     landing: Landing,
-    org_names: list[str],
-    repo_names: list[str],
+    org_names: list[str] | DataFrame,
+    repo_names: list[str] | DataFrame,
     at: datetime | None = None,
     mode: Mode = "new",
     specs: dict[str, MergeSpec] | None = None,
 ) -> DataFrame:
-    """Upsert every table for the configured organizations and repositories.
+    """Upsert every table for the configured organizations and repositories, or none.
 
-    ``specs`` replaces the merge policies of tables named in it; a policy for pulls that is
-    partitioned by ``pull_block`` gets pulls divided into blocks. Returns the merge counts of
-    each table and how many records were set aside.
+    The rows of all tables are staged and checked first; a landing that cannot be read, or
+    that brings a key twice, fails before any table changes. ``org_names`` and ``repo_names`` are
+    lists or frames with that one column. ``specs`` replaces the merge policies of tables named in
+    it; a policy for pulls that is partitioned by ``pull_block`` gets pulls divided into blocks.
+    Returns the merge counts of each table and how many records were set aside.
     """
     spec = {**SPECS, **(specs or {})}
     at = at or datetime.now(timezone.utc)
-    day = at.date()
-    configured = spark.createDataFrame([(n,) for n in org_names], "org_name string")
+    configured, wanted = _names(spark, org_names, "org_name"), _names(spark, repo_names, "repo_name")
     require_known(configured, landing.orgs, ["org_name"])
+    with ExitStack() as files:
+
+        def keep(df: DataFrame, label: str) -> DataFrame:
+            return files.enter_context(staged(df, label))
 
-    landed_orgs = landing.orgs.join(configured, "org_name", "left_semi")
-    with staged(orgs.org_snapshot(landed_orgs, day), "orgs") as snapshot:
-        report = [_merged(spark, database, orgs.TABLE, snapshot, spec[orgs.TABLE], frozen=True)]
+        landed_orgs = landing.orgs.join(configured, "org_name", "left_semi")
+        snapshot = keep(orgs.org_snapshot(orgs.whole_orgs(landed_orgs), at.date()), "orgs")
         listed = orgs.listed_repos(snapshot)
-        wanted = spark.createDataFrame([(n,) for n in repo_names], "repo_name string")
         pairs = scope_pairs(listed, configured, wanted)
-        with staged(listed.join(pairs, ["org_name", "repo_name"], "left_semi"), "scope") as scope:
-            report += _merge_repos(spark, database, landing, scope, at, mode, spec)
-    if landing.expectations is not None:
-        rows = expectations.core_expectations(landing.expectations)
-        report.append(_merged(spark, database, expectations.TABLE, rows, spec[expectations.TABLE]))
-
-    table = users.users_table(f"{database}.users", f"{database}.{orgs.TABLE}")
-    if table.build(spark).isEmpty():  # nobody is listed on the latest day: nothing to merge
-        counts = spark.createDataFrame([(0, 0, 0, 0)], METRICS)
-    else:
-        counts = table.refresh(spark)
-    report.append(counts.withColumn("table_name", F.lit("users")))
+        scope = keep(listed.join(pairs, ["org_name", "repo_name"], "left_semi"), "scope")
+        ready = [Ready(orgs.TABLE, snapshot), *_ready_repos(spark, database, landing, scope, at, mode, spec, keep)]
+        if landing.expectations is not None:
+            ready.append(Ready(expectations.TABLE, keep(expectations.core_expectations(landing.expectations), "expectations")))
+        for r in ready:
+            _check(spark, database, r, spec[r.table])
+        report = [_merged(spark, database, r, spec[r.table]) for r in ready]
+
+        table = users.users_table(f"{database}.users", f"{database}.{orgs.TABLE}")
+        if table.build(spark).isEmpty():  # nobody is listed on the latest day: nothing to merge
+            counts = spark.createDataFrame([(0, 0, 0, 0)], METRICS)
+        else:
+            counts = table.refresh(spark)
+        report.append(counts.withColumn("table_name", F.lit("users")))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), report)
 
 
-def _merge_repos(spark, database, landing, scope, at, mode, spec) -> list[DataFrame]:
-    """The merges of everything below a repository, each over all repositories at once."""
-    report = []
+def _names(spark: SparkSession, names: list[str] | DataFrame, column: str) -> DataFrame:
+    if isinstance(names, DataFrame):
+        return names.select(F.col(names.columns[0]).cast("string").alias(column))
+    return spark.createDataFrame([(n,) for n in names], f"{column} string")
+
+
+def _ready_repos(spark, database, landing, scope, at, mode, spec, keep) -> list[Ready]:
+    """The rows of everything below a repository, each over all repositories at once."""
+    ready = []
 
     def in_scope(texts: DataFrame) -> DataFrame:
         return texts.join(scope, ["org_name", "repo_name"])
 
     if landing.repos is not None:
-        rows = repos.repo_snapshot(in_scope(landing.repos), at.date())
-        report.append(_merged(spark, database, repos.TABLE, rows, spec[repos.TABLE]))
+        ready.append(Ready(repos.TABLE, keep(repos.repo_snapshot(in_scope(landing.repos), at.date()), "repos")))
     if landing.contributors is not None:
-        records = contributors.contributor_records(in_scope(landing.contributors), at)
-        with staged(records, "contributors") as records:
-            good, rejects = split_rejects(records, contributors.contributor_reject_reason())
-            rows = contributors.contributor_rollup(good)
-            counts = _merged(spark, database, contributors.TABLE, rows, spec[contributors.TABLE], frozen=True)
+        records = keep(contributors.contributor_records(in_scope(landing.contributors), at), "contributors")
+        good, rejects = split_rejects(records, contributors.contributor_reject_reason())
+
+        def hold_contributors():
             held = quarantine.held_rows(rejects, contributors.IDENTITIES, contributors.HELD, at)
             quarantine.settle(spark, f"{database}.{CONTRIBUTOR_REJECTS}", held, good, contributors.IDENTITIES)
-            report.append(counts.withColumn("num_rejected_rows", F.lit(rejects.count()).cast("bigint")))
+
+        ready.append(Ready(contributors.TABLE, contributors.contributor_rollup(good), rejects, hold_contributors))
     if landing.pulls is not None:
         # Fresh pulls first: only their details and reviews are parsed. All is frozen before it
         # is split, so that both halves see the same rows.
-        with staged(_fresh_pulls(spark, database, landing, in_scope, at, mode), "fresh") as fresh:
-            taken = _with_waiting(spark, database, landing, in_scope, fresh, at, mode)
-            with staged(_detailed_pulls(landing, in_scope, taken), "pulls") as rows:
-                facts, rejects = pulls.pull_facts(rows)
-                if "pull_block" in spec[pulls.TABLE].partition_by:
-                    facts = pulls.in_blocks(facts)
-                counts = _merged(spark, database, pulls.TABLE, facts, spec[pulls.TABLE], frozen=True)
-                marks.advance_marks(facts, f"{database}.{MARKS}", MARK_GROUPS, MARK_FIELD)
-                held = quarantine.held_rows(rejects, pulls.IDENTITIES, pulls.HELD, at)
-                quarantine.settle(spark, f"{database}.{PULL_REJECTS}", held, facts, pulls.IDENTITIES)
-                report.append(counts.withColumn("num_rejected_rows", F.lit(rejects.count()).cast("bigint")))
-    return report
+        fresh = keep(_fresh_pulls(spark, database, landing, in_scope, at, mode), "fresh")
+        taken = _with_waiting(spark, database, landing, in_scope, fresh, at, mode)
+        facts, bad = pulls.pull_facts(keep(_detailed_pulls(landing, in_scope, taken), "pulls"))
+        facts = _newest_landing(facts, keep)
+        if "pull_block" in spec[pulls.TABLE].partition_by:
+            facts = pulls.in_blocks(facts)
+
+        def hold_pulls():
+            marks.advance_marks(facts, f"{database}.{MARKS}", MARK_GROUPS, MARK_FIELD)
+            held = quarantine.held_rows(bad, pulls.IDENTITIES, pulls.HELD, at)
+            quarantine.settle(spark, f"{database}.{PULL_REJECTS}", held, facts, pulls.IDENTITIES)
+
+        ready.append(Ready(pulls.TABLE, facts, bad, hold_pulls))
+    return ready
+
+
+def _newest_landing(facts: DataFrame, keep) -> DataFrame:
+    """Pulls landed several times in one run, as their newest version.
+
+    Whole rows are grouped only if a narrow look at the keys finds one twice.
+    """
+    keys = SPECS[pulls.TABLE].keys
+    twice = facts.filter(~any_null(keys)).groupBy(*keys).count().filter("count > 1")
+    return facts if twice.isEmpty() else keep(newest_per_key(facts, keys, MARK_FIELD), "newest")
+
+
+def _check(spark, database, ready: Ready, spec: MergeSpec) -> None:
+    """Whether the rows can be merged into their table."""
+    stored = catalog.read(spark, f"{database}.{ready.table}")
+    if stored is not None:
+        check_columns(stored, ready.rows, spec)
+    if ready.table != pulls.TABLE:  # whose keys have been looked at
+        check_unique(ready.rows, spec.keys)
 
 
 def delete_all(spark: SparkSession, database: str) -> DataFrame:
@@ -187,6 +231,9 @@ def _detailed_pulls(landing, in_scope, fresh: DataFrame) -> DataFrame:
     return pulls.with_details(fresh, pulls.pull_details(wanted("details", "detail")), pulls.pull_reviews(wanted("reviews", "reviews")))
 
 
-def _merged(spark, database, table, rows, spec, frozen=False) -> DataFrame:
-    counts = catalog.merge_into(rows, f"{database}.{table}", spec, frozen=frozen)
-    return counts.withColumn("table_name", F.lit(table))
+def _merged(spark, database, ready: Ready, spec: MergeSpec) -> DataFrame:
+    counts = catalog.merge_into(ready.rows, f"{database}.{ready.table}", spec, frozen=True)
+    ready.then()
+    if ready.rejects is not None:
+        counts = counts.withColumn("num_rejected_rows", F.lit(ready.rejects.count()).cast("bigint"))
+    return counts.withColumn("table_name", F.lit(ready.table))

@@ -14,7 +14,7 @@ from tidemark.operators.merge import ACTION, merge_plan
 from tidemark.operators.policies import ORG_SNAPSHOT, REPO_SNAPSHOT, USERS
 from tidemark.operators.scope import scope_pairs, unknown_names
 from tidemark.operators.select import select_ordered
-from tidemark.plans.orgs import listed_repos, org_snapshot, repo_names
+from tidemark.plans.orgs import listed_repos, org_snapshot, repo_names, whole_orgs
 from tidemark.plans.repos import repo_snapshot
 from tidemark.plans.users import current_users
 from tidemark.queries.registry import query, table
@@ -327,3 +327,38 @@ def listed_repositories(spark, sf_dir):
     """One row per repository of a snapshot."""
     orgs = org_snapshot(landed_orgs(spark, sf_dir), DAY)
     return select_ordered(listed_repos(orgs), ["repo_id", "repo_name", "org_name"])[0]
+
+
+@query(
+    """
+    SELECT CAST(c_custkey // 200 AS VARCHAR) AS org_id, CAST(count(*) AS INTEGER) AS member_count,
+           CAST(sum(c_custkey) AS BIGINT) AS member_ids, min(c_name) AS first_member,
+           CAST(count(DISTINCT c_custkey % 5) FILTER (c_custkey % 5 < 3) AS INTEGER) AS repo_count,
+           string_agg(DISTINCT 'repo-' || CAST(c_custkey % 5 AS VARCHAR), ',' ORDER BY 'repo-' || CAST(c_custkey % 5 AS VARCHAR))
+               FILTER (c_custkey % 5 < 3) AS repo_names
+    FROM customer WHERE c_custkey IS NOT NULL GROUP BY 1
+    """
+)
+def paged_orgs(spark, sf_dir):
+    """Members and repositories of an organization landed in several pages, some without one of the lists."""
+    customer = table(spark, sf_dir, "customer").filter("c_custkey is not null")
+    block, page = F.floor(F.col("c_custkey") / 200).cast("bigint"), F.col("c_custkey") % 5
+    member = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("login"))
+    pages = customer.groupBy(block.alias("block"), page.alias("page")).agg(F.collect_list(member).alias("members"))
+    repo = F.struct((F.col("block") * 10 + F.col("page")).alias("id"), F.concat(F.lit("repo-"), F.col("page").cast("string")).alias("name"))
+    landed_pages = pages.select(
+        F.concat(F.lit("org-"), F.col("block").cast("string")).alias("org_name"),
+        F.to_json(F.struct(F.col("block").alias("id"), F.lit(3).alias("public_repos"))).alias("org"),
+        F.to_json("members").alias("members"),
+        F.when(F.col("page") < 3, F.to_json(F.array(repo))).alias("repos"),
+    )
+    orgs = org_snapshot(whole_orgs(landed_pages), DAY)
+    ids = F.aggregate("members", F.lit(0).cast("bigint"), lambda s, m: s + m["id"].cast("bigint"))
+    return orgs.select(
+        "org_id",
+        "metrics.member_count",
+        ids.alias("member_ids"),
+        F.array_min(F.transform("members", lambda m: m["name"])).alias("first_member"),
+        F.size("repos").alias("repo_count"),
+        F.array_join(F.array_sort(F.transform("repos", lambda r: r["name"])), ",").alias("repo_names"),
+    )

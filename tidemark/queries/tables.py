@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -667,3 +668,39 @@ def derived_from_changes(spark, sf_dir):
         groups = derived.fold(derived.touched(merged.changes)).count()
         derived.refresh(spark, merged.changes)
     return catalog.read(spark, derived.name).withColumn("groups_folded_again", F.lit(groups).cast("bigint"))
+
+
+@query(
+    """
+    WITH p AS (SELECT o_orderkey AS k FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 9 <> 0 AND o_orderkey % 3 < 2)
+    SELECT t AS table_name, CAST(n AS BIGINT) AS row_count, CAST(0 AS BIGINT) AS files_changed, true AS failed
+    FROM (SELECT 'source_orgs' AS t, count(*) AS n FROM region UNION ALL SELECT 'users', count(*) FROM nation
+          UNION ALL SELECT 'source_pulls', count(*) FROM p UNION ALL SELECT 'expectations', count(*) FROM part)
+    """
+)
+def run_all_or_none(spark, sf_dir):
+    """A run whose landing holds one bad expectation document leaves every table as it was."""
+    database = scratch_database(spark)
+    scope = [table(spark, sf_dir, t).select(c) for t, c in (("region", "r_name"), ("nation", "n_name"))]
+
+    def landed(bad: str, **how):
+        docs = schema_docs(spark, sf_dir)
+        spoilt = F.when((F.col("p_partkey") == 3) & F.expr(bad), F.lit('{"title": null}')).otherwise(F.col("value"))
+        return replace(landing_of(spark, sf_dir, **how), repos=None, contributors=None, expectations=docs.select(spoilt.alias("value")))
+
+    def files():
+        return {t: set(catalog.read(spark, f"{database}.{t}").inputFiles()) for t in ("source_orgs", "source_pulls", "expectations", "users")}
+
+    run_all(spark, database, landed("false", keep="o_orderkey % 3 < 2"), *scope, at=datetime(2024, 2, 1, 12, 0, 0))
+    before, failed = files(), False
+    try:
+        run_all(spark, database, landed("true", late="o_orderkey % 6 = 0"), *scope, at=datetime(2024, 2, 2, 12, 0, 0))
+    except Exception as error:  # Spark's, from the document
+        failed = "no title in document" in str(error)
+    changed = {t: len(before[t] ^ now) for t, now in files().items()}
+    rows = [
+        catalog.read(spark, f"{database}.{t}").agg(F.count("*").alias("row_count")).select(
+            F.lit(t).alias("table_name"), "row_count", F.lit(n).cast("bigint").alias("files_changed"), F.lit(failed).alias("failed"))
+        for t, n in changed.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), rows)

@@ -704,3 +704,61 @@ def run_all_or_none(spark, sf_dir):
         for t, n in changed.items()
     ]
     return reduce(lambda a, b: a.unionByName(b), rows)
+
+
+@query(
+    """
+    SELECT count(*) AS row_count,
+           CAST(min(l_orderkey) AS VARCHAR) AS min_l_orderkey, CAST(max(l_orderkey) AS VARCHAR) AS max_l_orderkey,
+           CAST(min(l_linenumber) AS VARCHAR) AS min_l_linenumber, CAST(max(l_linenumber) AS VARCHAR) AS max_l_linenumber,
+           CAST(min(CAST(l_shipdate AS DATE)) AS VARCHAR) AS min_day, CAST(max(CAST(l_shipdate AS DATE)) AS VARCHAR) AS max_day,
+           min(l_returnflag) AS min_l_returnflag, max(l_returnflag) AS max_l_returnflag,
+           CAST(date_trunc('year', min(l_shipdate)) AS DATE)::VARCHAR AS min_year, CAST(date_trunc('year', max(l_shipdate)) AS DATE)::VARCHAR AS max_year
+    FROM lineitem
+    """
+)
+def profile_from_footers(spark, sf_dir):
+    """Count and extremes of a table from file footers and its list of partitions; text is scanned."""
+    name = f"{scratch_database(spark)}.lines"
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("day"), "l_returnflag", F.trunc("l_shipdate", "year").alias("year"))
+    catalog.create_as(lines, name, ("year",))
+    return profiles.footer_profile(spark, name, ["l_orderkey", "l_linenumber", "day", "l_returnflag", "year"])
+
+
+@query(
+    """
+    SELECT * FROM (
+        SELECT 'l_orderkey' AS "column", count(DISTINCT l_orderkey) AS distinct_count FROM lineitem
+        UNION ALL SELECT 'l_partkey', count(DISTINCT l_partkey) FROM lineitem
+        UNION ALL SELECT 'l_suppkey', count(DISTINCT l_suppkey) FROM lineitem
+        UNION ALL SELECT 'day', count(DISTINCT CAST(l_shipdate AS DATE)) FROM lineitem
+        UNION ALL SELECT 'wide', count(DISTINCT l_orderkey % 1000) FROM lineitem)
+    """
+)
+def distinct_by_bitmaps(spark, sf_dir):
+    """Exact distinct counts of several integer columns in one pass; one of them is spread too wide for bitmaps."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", F.to_date("l_shipdate").alias("day"), (F.col("l_orderkey") % 1000 * 10**15).alias("wide"))
+    return profiles.distinct_counts(lines, ["l_orderkey", "l_partkey", "l_suppkey", "day", "wide"])
+
+
+@query(
+    """
+    WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events),
+    seen AS (SELECT DISTINCT CAST(ts AS DATE) AS day, user_id FROM events)
+    SELECT d.day AS day, count(DISTINCT s.user_id) FILTER (s.day = d.day) AS users_of_day, count(DISTINCT s.user_id) AS users_so_far
+    FROM days AS d JOIN seen AS s ON s.day <= d.day AND date_trunc('month', s.day) = date_trunc('month', d.day)
+    GROUP BY d.day
+    """
+)
+def distinct_over_days(spark, sf_dir):
+    """A2: distinct users of each day and of its month so far, from bitmaps that were built once per day."""
+    days = table(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), "user_id")
+    bitmaps = stage(profiles.column_bitmaps(days, ["user_id"], by=("day",)), "bitmaps")
+    # A bitmap goes to each later day of its month: at most 31 rows of it.
+    later = F.explode(F.sequence(F.col("day"), F.last_day("day"))).alias("until")
+    so_far = bitmaps.select(later, "column", "bucket", "bitmap")
+    of_month = profiles.distinct_of_bitmaps(so_far, ("until",)).select(F.col("until").alias("day"), F.col("distinct_count").alias("users_so_far"))
+    of_day = profiles.distinct_of_bitmaps(bitmaps, ("day",)).select("day", F.col("distinct_count").alias("users_of_day"))
+    return of_day.join(of_month, "day")

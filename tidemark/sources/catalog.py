@@ -437,6 +437,11 @@ def _partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
+def location(spark: SparkSession, name: str) -> str:
+    """The folder of the table's current version."""
+    return _location(spark, name)
+
+
 def _location(spark: SparkSession, name: str) -> str:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
     # The table's own columns are described first, and one may have that name.

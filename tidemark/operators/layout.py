@@ -1,103 +1,30 @@
-"""Clustered layout: rows ordered along a Z-curve over several columns."""
+"""Clustered layout: rows written in order of several columns."""
 
 from __future__ import annotations
 
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    BooleanType,
-    DataType,
-    DateType,
-    NumericType,
-    StringType,
-    TimestampNTZType,
-    TimestampType,
-)
 
 from tidemark.sources import catalog
 
 TARGET_FILE_BYTES = 256 << 20
-# Rows of the sample that text columns are cut by.
-SAMPLE_ROWS = 10_000
-_Z, _TIE = "_z", "_tie"
-
-
-def rank_number(column: Column, kind: DataType) -> Column:
-    """A number that orders as the column does."""
-    if isinstance(kind, (NumericType, BooleanType)):
-        return column.cast("double")
-    if isinstance(kind, DateType):
-        return F.unix_date(column).cast("double")
-    if isinstance(kind, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(column.cast("timestamp")).cast("double")
-    raise TypeError(f"cannot cluster by a column of type {kind.simpleString()}")
-
-
-def text_cuts(df: DataFrame, column: str, steps: int) -> list[str]:
-    """Cuts of a text column at equal shares of a sample of ``SAMPLE_ROWS`` rows (all, if fewer)."""
-    known = df.select(column).filter(F.col(column).isNotNull())
-    order = F.xxhash64(column, F.monotonically_increasing_id())
-    values = sorted(r[0] for r in known.orderBy(order).limit(SAMPLE_ROWS).collect())
-    return sorted({values[len(values) * i // steps] for i in range(1, steps)}) if values else []
-
-
-def bucket_of(value: Column, cuts: list) -> Column:
-    """The number of cuts that are not above the value, by halving; NULLs come last."""
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value < F.lit(cuts[middle]), search(low, middle)).otherwise(search(middle + 1, high))
-
-    return F.when(value.isNull(), F.lit(len(cuts))).otherwise(search(0, len(cuts)))
-
-
-def with_z_value(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``df`` with the Z-value of its columns' quantile buckets in ``_z``.
-
-    Buckets come from approximate quantiles of the whole values, so each holds a like share
-    of the rows whatever the values' distribution. NULLs share the last bucket. Up to 62
-    columns; each gets the bits that fit, eight at most.
-    """
-    if len(columns) > 62:
-        raise ValueError(f"cannot cluster by {len(columns)} columns; 62 at most")
-    bits = min(8, 62 // len(columns))
-    steps = 2**bits - 1
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    numeric = [c for c in columns if not isinstance(kinds[c], StringType)]
-    value = {c: F.col(c) if c not in numeric else rank_number(F.col(c), kinds[c]) for c in columns}
-    cuts = {c: text_cuts(df, c, steps + 1) for c in columns if c not in numeric}
-    if numeric:
-        ranked = df.select(*[value[c].alias(f"_rank_{i}") for i, c in enumerate(numeric)])
-        found = ranked.approxQuantile(ranked.columns, [i / steps for i in range(1, steps)], 1 / (4 * steps))
-        cuts |= {c: sorted(set(f)) for c, f in zip(numeric, found)}
-    z = F.lit(0).cast("bigint")
-    buckets = {f"_bucket_{i}": bucket_of(value[c], cuts[c]).cast("bigint") for i, c in enumerate(columns)}
-    for b in range(bits):
-        for i, bucket in enumerate(buckets):
-            bit = F.shiftright(F.col(bucket), b).bitwiseAND(F.lit(1).cast("bigint"))
-            z = z.bitwiseOR(F.shiftleft(bit, b * len(columns) + i))
-    return df.withColumns(buckets).withColumn(_Z, z).drop(*buckets)
+_TIE = "_tie"
 
 
 def clustered(df: DataFrame, columns: list[str], files: int, leading: tuple[str, ...] = ()) -> DataFrame:
-    """``df`` range-partitioned and sorted by Z-value into ``files`` parts.
+    """``df`` range-partitioned by the columns into ``files`` parts, each sorted by them.
 
-    Equal Z-values may go to several files: a tie column spreads them, so that a value
-    held by a large share of the rows does not end up in one task.
+    Spark cuts the ranges at quantiles of a sample that it takes for itself. Equal values may go to
+    several files: a tie column spreads them, so that a value held by a large share of the
+    rows does not end up in one task. Files can be pruned by the first column, and by the next
+    ones where those before them are equal.
     """
     if _TIE not in df.columns:
         hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
         df = df.withColumn(_TIE, F.xxhash64(*hashable))
-    ordered = with_z_value(df, columns)
-    return (
-        ordered.repartitionByRange(files, *leading, _Z, _TIE)
-        .sortWithinPartitions(*leading, _Z)
-        .drop(_Z, _TIE)
-    )
+    return df.repartitionByRange(files, *leading, *columns, _TIE).sortWithinPartitions(*leading, *columns).drop(_TIE)
 
 
 def cluster_table(

@@ -15,7 +15,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 8_000_000
@@ -58,18 +59,71 @@ def packed(docs: DataFrame, blocks: int, encode: Callable[[bytes], bytes], id_co
     return picked.mapInArrow(pack, "block int, ids binary, nulls binary, sizes binary, data binary")
 
 
+def task_blocks(batches: Iterator[pa.RecordBatch], encode: Callable[[bytes], bytes]) -> Iterator[tuple]:
+    """(block, ids, nulls, sizes, data) of a task's rows (id, text) as they come, some megabytes a block.
+
+    Blocks are numbered by task and place, so that a task that is run again, or another job that
+    reads the same files, makes the same blocks: nothing need be shuffled to make them.
+    """
+    task = TaskContext.get().partitionId() << 32
+    made, ids, data, size = 0, [], [], 0
+
+    def block() -> tuple:
+        own = np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], np.bool_)
+        return (task + made, *own, np.array([len(d) for d in data], np.int64), b"".join(data))
+
+    for batch in batches:
+        texts = batch.column(1)
+        for at, i in enumerate(batch.column(0).to_pylist()):
+            ids.append(i)
+            data.append(encode(texts[at].as_py() or b""))
+            size += len(data[-1])
+            if size >= BLOCK_BYTES:
+                yield block()
+                made, ids, data, size = made + 1, [], [], 0
+    if ids:
+        yield block()
+
+
+def steady_splits(spark: SparkSession) -> None:
+    """Keep this session's scans from cutting files anew when executors come or go.
+
+    Spark cuts small inputs by the number of cores it has at that moment; blocks that are made
+    twice must be cut alike, also if an executor is lost in between.
+    """
+    key = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+
+
+def task_packs(docs: DataFrame, encode: Callable[[bytes], bytes]) -> DataFrame:
+    """The ``task_blocks`` of (id, text) rows, packed and compressed, one row each."""
+
+    def pack(batches):
+        press = zstandard.ZstdCompressor(level=3)
+        for block, ids, nulls, sizes, data in task_blocks(batches, encode):
+            row = {"block": [block], "ids": [ids.tobytes()], "nulls": [nulls.tobytes()], "sizes": [sizes.tobytes()], "data": [press.compress(data)]}
+            yield pa.RecordBatch.from_pydict(row, PACKED.set(0, pa.field("block", pa.int64())))
+
+    return docs.mapInArrow(pack, "block bigint, ids binary, nulls binary, sizes binary, data binary")
+
+
 def chunks(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bytes]]:
     """(ids, nulls, sizes, data) of a block's documents, some megabytes at a time."""
     press = zstandard.ZstdDecompressor()
     for row in rows.select(["ids", "nulls", "sizes", "data"]).to_pylist():
         data = press.decompress(row["data"]) if row["data"] else b""
-        ids, nulls, sizes = (np.frombuffer(row[k], t) for k, t in (("ids", np.int64), ("nulls", np.bool_), ("sizes", np.int64)))
-        start = byte = 0
-        while start < len(ids):
-            stop = start + 1 + int(np.searchsorted(np.cumsum(sizes[start + 1 :]), CHUNK_BYTES - sizes[start], "right"))
-            length = int(sizes[start:stop].sum())
-            yield ids[start:stop], nulls[start:stop], sizes[start:stop], data[byte : byte + length]
-            start, byte = stop, byte + length
+        yield from cut(*(np.frombuffer(row[k], t) for k, t in (("ids", np.int64), ("nulls", np.bool_), ("sizes", np.int64))), data)
+
+
+def cut(ids: np.ndarray, nulls: np.ndarray, sizes: np.ndarray, data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bytes]]:
+    """Documents, some megabytes at a time."""
+    start = byte = 0
+    while start < len(ids):
+        stop = start + 1 + int(np.searchsorted(np.cumsum(sizes[start + 1 :]), CHUNK_BYTES - sizes[start], "right"))
+        length = int(sizes[start:stop].sum())
+        yield ids[start:stop], nulls[start:stop], sizes[start:stop], data[byte : byte + length]
+        start, byte = stop, byte + length
 
 
 class Hashes:
@@ -140,7 +194,7 @@ def keys_of(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def dealt(block: int, keys: np.ndarray, counts: np.ndarray, parts: int) -> pa.RecordBatch:
+def dealt(block: int, keys: np.ndarray, counts: np.ndarray, parts: int, schema: pa.Schema = DEALT) -> pa.RecordBatch:
     """Sorted distinct keys of a block with their counts, one row per part that gets some."""
     part = part_of(keys, parts)
     out: dict[str, list] = {k: [] for k in DEALT.names}
@@ -150,7 +204,7 @@ def dealt(block: int, keys: np.ndarray, counts: np.ndarray, parts: int) -> pa.Re
         out["block"].append(block)
         out["keys"].append(small_keys(keys[lo:hi]))
         out["counts"].append(small_counts(counts[lo:hi]))
-    return pa.RecordBatch.from_pydict(out, DEALT)
+    return pa.RecordBatch.from_pydict(out, schema)
 
 
 def distinct(values: np.ndarray) -> np.ndarray:

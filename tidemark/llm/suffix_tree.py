@@ -18,7 +18,8 @@ in bytes (a word with a blank behind it, the end as a line feed). The tree has t
   context's distribution is smoothed by that mixture (Witten-Bell).
 
 Counts of words and word contexts grow with the corpus, and are neither collected nor
-broadcast: blocks of documents exchange packed counts with parts of the key space. Word contexts,
+broadcast: blocks of documents (what a task reads, some megabytes at a time) exchange packed counts
+with parts of the key space. Word contexts,
 and the next tokens within them, are known by hashes of some bits more than the logarithm of the
 number of bytes, so that hardly any two of the corpus share one.
 
@@ -39,7 +40,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.blocks import Hashes, Wide, blocks_for, chunks, dealt, keys_of, read_counts, packed, part_of, small_counts, summed
+from tidemark.llm.blocks import DEALT, Hashes, Wide, blocks_for, chunks, cut, dealt, keys_of, part_of, read_counts, small_counts, steady_splits, summed, task_blocks, task_packs
 from tidemark.llm.common import LOWER_BYTES, query, stage, table
 
 #: Longest context in bytes.
@@ -121,20 +122,24 @@ def _rest_bytes(bits: int) -> int:
 
 
 WORD, STRING, PAIR = 0, 1, 2
+_DEALT = DEALT.set(1, pa.field("block", pa.int64()))
 
 
-def block_counts(packs: DataFrame, parts: int, bits: int, held_out_mod: int) -> DataFrame:
+def block_counts(docs: DataFrame, parts: int, bits: int, held_out_mod: int) -> DataFrame:
     """(kind, part, block, keys, counts): packed counts of training tokens, byte strings and context pairs by block.
 
     Words and pairs of held-out documents are dealt with a count of 0, so that they are answered too.
     """
 
-    def count(rows: pa.Table) -> pa.Table:
-        block = rows.column("block")[0].as_py()
+    def count(batches):
+        for block, *texts in task_blocks(batches, spelled_bytes):
+            yield from of_block(block, texts).to_batches()
+
+    def of_block(block: int, texts: list) -> pa.Table:
         found = {kind: ([], []) for kind in (WORD, STRING)}
         pairs: list[Wide] = []
         pair_counts: list[np.ndarray] = []
-        for c in held_chunks(rows, held_out_mod, bits):
+        for c in (Chunk(*part, held_out_mod, bits) for part in cut(*texts)):
             trained = np.repeat(c.train, c.tokens)
             k, n = np.unique(c.keys, return_inverse=True)
             found[WORD][0].append(k)
@@ -154,17 +159,16 @@ def block_counts(packs: DataFrame, parts: int, bits: int, held_out_mod: int) ->
             found[STRING][1].append(n[order].astype(np.int64))
         tables = []
         for kind, (keys, counts) in found.items():
-            made = dealt(block, *summed(keys, counts), parts)
+            made = dealt(block, *summed(keys, counts), parts, _DEALT)
             tables.append(_of_kind(made, kind, [None] * made.num_rows))
         every, place = Wide.joined(pairs).distinct()
         sums = np.bincount(place, weights=np.concatenate(pair_counts), minlength=len(every.high)).astype(np.int64)
-        cut = np.r_[0, np.flatnonzero(np.diff(part_of(every.high, parts))) + 1, len(every.high)]
-        rests = [every.take(slice(lo, hi)).packed(_rest_bytes(bits)) for lo, hi in zip(cut[:-1], cut[1:], strict=True)]
-        tables.append(_of_kind(dealt(block, every.high, sums, parts), PAIR, rests))
+        ends = np.r_[0, np.flatnonzero(np.diff(part_of(every.high, parts))) + 1, len(every.high)]
+        rests = [every.take(slice(lo, hi)).packed(_rest_bytes(bits)) for lo, hi in zip(ends[:-1], ends[1:], strict=True)]
+        tables.append(_of_kind(dealt(block, every.high, sums, parts, _DEALT), PAIR, rests))
         return pa.concat_tables(tables)
 
-    schema = "part int, block int, keys binary, counts binary, kind int, rests binary"
-    return packs.groupBy("block").applyInArrow(count, schema)
+    return docs.mapInArrow(count, "part int, block bigint, keys binary, counts binary, kind int, rests binary")
 
 
 def _of_kind(made: pa.RecordBatch, kind: int, rests: list[bytes | None]) -> pa.Table:
@@ -216,11 +220,11 @@ def answers(counts: DataFrame, bits: int) -> DataFrame:
                 out["gains"].append(zstandard.compress(np.where(live, entropy[at], 0).astype(np.float32).tobytes(), 1))
         n = len(out["block"])
         extra = {name: pa.array([f] + [0] * (n - 1), pa.float64() if name == "clogc" else pa.int64()) for name, f in zip(("n", "v", "once", "clogc"), facts, strict=True)}
-        made = {"kind": pa.array([kind] * n, pa.int32()), "part": pa.array([rows.column("part")[0].as_py()] * n, pa.int32()), "block": pa.array(out["block"], pa.int32())}
+        made = {"kind": pa.array([kind] * n, pa.int32()), "part": pa.array([rows.column("part")[0].as_py()] * n, pa.int32()), "block": pa.array(out["block"], pa.int64())}
         made |= {c: pa.array(out[c], pa.binary()) for c in ("totals", "contexts", "others", "gains")} | extra
         return pa.table(made)
 
-    schema = "kind int, part int, block int, totals binary, contexts binary, others binary, gains binary, n bigint, v bigint, once bigint, clogc double"
+    schema = "kind int, part int, block bigint, totals binary, contexts binary, others binary, gains binary, n bigint, v bigint, once bigint, clogc double"
     return counts.groupBy("kind", "part").applyInArrow(answer, schema)
 
 
@@ -337,12 +341,14 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score and, without word contexts, alone_score and spelled_score (log10).
 
     Documents whose crc32(id as text) modulo ``held_out_mod`` is 0 are held out of all counts.
+    ``docs`` is read twice and must give each task the same rows both times, as files do: blocks
+    are what a task reads, so that texts are shuffled once, for the second pass only.
     """
-    size, blocks = blocks_for(docs, text_col)
+    steady_splits(docs.sparkSession)
+    size, parts_wanted = blocks_for(docs, text_col)
     bits = min(63, SPARE_BITS + max(22, size.bit_length()))
-    # Packs are made again for the second pass: cheaper than to store them.
-    packs = packed(docs, blocks, spelled_bytes, id_col, text_col)
-    answered = stage(answers(block_counts(packs, blocks, bits, held_out_mod), bits), "tree-answers")
+    rows = docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string").cast("binary"))
+    answered = stage(answers(block_counts(rows, parts_wanted, bits, held_out_mod), bits), "tree-answers")
     sums = answered.agg(*[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in ("n", "v", "once", "clogc")]).first()
     n, v = sums["n"], sums["v"]
     # Entropy of a token without context.
@@ -384,7 +390,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     schema = "id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, alone_score double, spelled_score double"
     to_blocks = answered.where(F.col("kind") != STRING).select("block", "kind", "part", "totals", "contexts", "others", "gains")
-    made = packs.groupBy("block").cogroup(to_blocks.groupBy("block")).applyInArrow(score, schema)
+    made = task_packs(rows, spelled_bytes).groupBy("block").cogroup(to_blocks.groupBy("block")).applyInArrow(score, schema)
     return made.withColumnRenamed("id", id_col)
 
 
@@ -404,7 +410,7 @@ def _told(rows: list[dict], kind: int, keys: list[np.ndarray] | list[Wide], *col
         values = [np.frombuffer(zstandard.decompress(r[c]), np.float32) if c == "gains" else read_counts(r[c]) for r in rows if r["kind"] == kind]
         out.append(np.concatenate(values).astype(np.float64))
         if len(out[-1]) != len(every):
-            raise ValueError("a block's keys and the answers do not match")
+            raise ValueError("the documents were not read twice alike: a block's keys and the answers do not match")
     return out
 
 

@@ -103,3 +103,30 @@ def test_catalogue_below_a_root_with_a_blank(spark, tmp_path):
         (root / place).write_text("{}")
     for prefix, n in (("core/", 1), ("core", 2), ("other/core/b", 1)):
         assert landed.file_catalogue(spark, str(root), prefix).count() == n
+
+
+def test_documents_are_read_by_path(spark, database):
+    """Kept as variant, a document is not parsed again: the scan's schema holds the paths alone."""
+    from tidemark.plans.expectations import core_expectations, core_of_documents, stored_documents
+    from tidemark.sources import catalog
+    from test_plans import doc
+
+    texts = spark.createDataFrame([(doc(f"Expect {i}", ["Spark", f"s{i}"], None), "x" * 50) for i in range(30)], "value string, path string")
+    catalog.create_as(stored_documents(texts), f"{database}.d")
+    made = core_of_documents(catalog.read(spark, f"{database}.d"))
+    assert rows(made) == rows(core_expectations(texts))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    (schema,) = [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema" in line]
+    assert schema == "struct<doc:struct<0:string,1:array<string>,2:array<string>>>" and "parse_json" not in plan
+    for bad, message in (("busy", "no title"), ('{"title": null}', "no title"), (doc("Expect A", "text", []), "unreadable data_sources")):
+        with pytest.raises(Exception, match=message):
+            stored_documents(spark.createDataFrame([(bad,)], "value string")).collect()
+
+
+def test_documents_of_any_shape(spark):
+    texts = spark.createDataFrame([('{"a": 1, "p": {"x": 1}}',), ('{"b": {"c": 2}, "p": [1]}',), ("[1, 2]",), ("busy",), ("null",), (None,), ('{"p": {}}',)], "value string")
+    docs = landed.as_documents(texts)
+    assert docs.columns == ["doc", "unreadable"]
+    assert rows(docs.filter("unreadable is not null"), "unreadable") == [("busy",)]
+    assert rows(landed.document_keys(docs)) == rows(landed.top_level_keys(texts, "value")) == [("a",), ("b",), ("p",)]
+    assert rows(landed.document_keys(docs, "$.p")) == [("x",)]

@@ -27,9 +27,30 @@ def core_expectations(docs: DataFrame, column: str = "value") -> DataFrame:
 
     A list that is not one of texts is an error; one that is missing is NULL.
     """
-    picked = docs.select(column, *landed.picked_or_error(F.col(column), FIELDS, "unreadable"))
+    doc = F.try_parse_json(column)
+    return _core(docs.select(F.col(column).alias("text"), *landed.picked_or_error(doc, FIELDS, "unreadable")))
+
+
+def stored_documents(docs: DataFrame, column: str = "value") -> DataFrame:
+    """Schema documents as variants, for a table that is read by path; checked once, as it is made."""
+    whole = landed.as_documents(docs, column)
+    title, *lists = landed.picked_or_error(F.col("doc"), FIELDS, "unreadable")
+    text = F.coalesce(F.to_json("doc"), "unreadable")
+    # Conditions that always hold, where nothing raises.
+    fine = F.char_length(landed.required(title, text, "no title in document")) >= 0
+    for c in lists:
+        fine = fine & (F.coalesce(F.array_size(c), F.lit(0)) >= 0)
+    return whole.withColumn("doc", F.when(fine, F.col("doc"))).drop("unreadable")
+
+
+def core_of_documents(docs: DataFrame, column: str = "doc") -> DataFrame:
+    """``core_expectations`` of documents kept as variant; only the paths it needs are read."""
+    return _core(docs.select(F.lit("stored").alias("text"), *landed.document_fields(F.col(column), FIELDS)))
+
+
+def _core(picked: DataFrame) -> DataFrame:
     return picked.select(
-        underscored(landed.required(F.col("title"), F.col(column), "no title in document")).alias("expectation_name"),
+        underscored(landed.required(F.col("title"), F.col("text"), "no title in document")).alias("expectation_name"),
         sorted_lower(F.col("data_sources")).alias("data_sources"),
         sorted_lower(F.col("data_quality_issues")).alias("data_quality_issues"),
         F.lit(False).alias("deprecated"),

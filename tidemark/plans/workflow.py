@@ -108,7 +108,9 @@ def run_all(
         scope = keep(listed.join(pairs, ["org_name", "repo_name"], "left_semi"), "scope")
         ready = [Ready(orgs.TABLE, snapshot), *_ready_repos(spark, database, landing, scope, at, mode, spec, keep)]
         if landing.expectations is not None:
-            ready.append(Ready(expectations.TABLE, keep(expectations.core_expectations(landing.expectations), "expectations")))
+            docs = landing.expectations  # texts, or documents kept as variant
+            core = expectations.core_of_documents(docs) if "doc" in docs.columns else expectations.core_expectations(docs)
+            ready.append(Ready(expectations.TABLE, keep(core, "expectations")))
         for r in ready:
             _check(spark, database, r, spec[r.table])
         report = [_merged(spark, database, r, spec[r.table]) for r in ready]

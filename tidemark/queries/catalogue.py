@@ -11,7 +11,7 @@ from tidemark.functions.text import pick_url, schema_name, url_map
 from tidemark.operators.merge import ACTION, merge_plan
 from tidemark.operators.policies import EXPECTATIONS
 from tidemark.operators.select import pad_union
-from tidemark.plans.expectations import core_expectations, legacy_expectations, with_legacy
+from tidemark.plans.expectations import core_expectations, core_of_documents, legacy_expectations, stored_documents, with_legacy
 from tidemark.queries.registry import query, scratch_database, table
 from tidemark.session import scratch_path
 from tidemark.sources import catalog, landed
@@ -346,3 +346,22 @@ def expectations_kept(spark, sf_dir):
     catalog.merge_into(core_expectations(schema_docs(spark, sf_dir, where, F.expr(size))), name, spec)
     stored = catalog.read(spark, name)
     return flat(stored).withColumn("files_replaced_by_rerun", F.lit(len(before ^ set(stored.inputFiles()))).cast("bigint"))
+
+
+@query(CORE.format(size="p_size", where="p_partkey % 6 <> 0"))
+def expectations_stored(spark, sf_dir):
+    """S3, F16: core documents from a table that keeps them as variants; the scan reads the paths they need."""
+    name = f"{scratch_database(spark)}.documents"
+    catalog.create_as(stored_documents(schema_docs(spark, sf_dir)), name)
+    docs = catalog.read(spark, name).filter(F.startswith("path", F.lit("core/schemas/Expect")))
+    return flat(core_of_documents(docs))
+
+
+@query("SELECT DISTINCT event_type AS key, 'top' AS level FROM events UNION SELECT 'properties', 'top' UNION "
+       "SELECT DISTINCT event_type || '_id', 'inner' FROM events UNION SELECT 'props', 'inner'")
+def stored_keys(spark, sf_dir):
+    """Distinct field names of documents kept as variants, at the top and inside one object."""
+    name = f"{scratch_database(spark)}.documents"
+    docs = catalog.create_as(landed.as_documents(mixed_docs(spark, sf_dir)), name)
+    top = landed.document_keys(docs).withColumn("level", F.lit("top"))
+    return top.unionByName(landed.document_keys(docs, "$.properties").withColumn("level", F.lit("inner")))

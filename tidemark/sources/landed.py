@@ -87,13 +87,34 @@ def pick_fields(text: Column, fields: Mapping[str, tuple[str, str]]) -> list[Col
 
     A field that is missing, or of another type, is NULL.
     """
-    doc = F.try_parse_json(text)
+    return document_fields(F.try_parse_json(text), fields)
+
+
+def document_fields(doc: Column, fields: Mapping[str, tuple[str, str]]) -> list[Column]:
+    """Fields of a document kept as variant. From a stored table Spark reads only these paths."""
     return [F.try_variant_get(doc, path, kind).alias(name) for name, (path, kind) in fields.items()]
 
 
-def picked_or_error(text: Column, fields: Mapping[str, tuple[str, str]], message: str) -> list[Column]:
-    """As ``pick_fields``, but a field that is there with another type is an error."""
-    doc = F.try_parse_json(text)
+def as_documents(texts: DataFrame, column: str = "value") -> DataFrame:
+    """The rows with their text as ``doc``, a variant that is parsed once and stored shredded.
+
+    A text that is no JSON stays under ``unreadable``; ``doc`` is NULL there.
+    """
+    doc = F.try_parse_json(column)
+    others = [c for c in texts.columns if c != column]
+    return texts.select(*others, doc.alias("doc"), F.when(doc.isNull(), F.col(column)).alias("unreadable"))
+
+
+def document_keys(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """Distinct field names of documents kept as variant, at the top or of the object at ``path``."""
+    whole = F.col("doc") if path is None else F.try_variant_get("doc", path, "variant")
+    objects = docs.select(whole.alias("object")).filter(F.startswith(F.schema_of_variant("object"), F.lit("OBJECT<")))
+    entries = docs.sparkSession.tvf.variant_explode(F.col("object").outer())
+    return objects.lateralJoin(entries).select("key").distinct()
+
+
+def picked_or_error(doc: Column, fields: Mapping[str, tuple[str, str]], message: str) -> list[Column]:
+    """As ``document_fields``, but a field that is there with another type is an error."""
 
     def picked(name: str, path: str, kind: str) -> Column:
         value, found = F.try_variant_get(doc, path, kind), F.try_variant_get(doc, path, "variant")

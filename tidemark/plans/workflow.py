@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import ExitStack
 from dataclasses import dataclass
 from datetime import datetime, timezone
-from functools import reduce
+from functools import partial, reduce
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +24,8 @@ from tidemark.sources import catalog, marks, quarantine
 from tidemark.sources.staging import staged
 from tidemark.streaming.intake import newest_per_key
 
+T = TypeVar("T")
+
 # Landed kinds and the columns of their JSON lines; bodies are JSON texts as received.
 KINDS = {
     "orgs": "org_name string, org string, members string, repos string",
@@ -106,14 +111,14 @@ def run_all(
         listed = orgs.listed_repos(snapshot)
         pairs = scope_pairs(listed, configured, wanted)
         scope = keep(listed.join(pairs, ["org_name", "repo_name"], "left_semi"), "scope")
-        ready = [Ready(orgs.TABLE, snapshot), *_ready_repos(spark, database, landing, scope, at, mode, spec, keep)]
+        steps = [lambda: Ready(orgs.TABLE, snapshot), *_repo_steps(spark, database, landing, scope, at, mode, spec, keep)]
         if landing.expectations is not None:
             docs = landing.expectations  # texts, or documents kept as variant
             core = expectations.core_of_documents(docs) if "doc" in docs.columns else expectations.core_expectations(docs)
-            ready.append(Ready(expectations.TABLE, keep(core, "expectations")))
-        for r in ready:
-            _check(spark, database, r, spec[r.table])
-        report = [_merged(spark, database, r, spec[r.table]) for r in ready]
+            steps.append(lambda: Ready(expectations.TABLE, keep(core, "expectations")))
+        # Tables have nothing to do with each other, so their many small jobs need not wait in line.
+        ready = at_once([partial(_checked, spark, database, step, spec) for step in steps])
+        report = at_once([partial(_merged, spark, database, r, spec[r.table]) for r in ready])
 
         table = users.users_table(f"{database}.users", f"{database}.{orgs.TABLE}")
         if table.build(spark).isEmpty():  # nobody is listed on the latest day: nothing to merge
@@ -130,25 +135,33 @@ def _names(spark: SparkSession, names: list[str] | DataFrame, column: str) -> Da
     return spark.createDataFrame([(n,) for n in names], f"{column} string")
 
 
-def _ready_repos(spark, database, landing, scope, at, mode, spec, keep) -> list[Ready]:
-    """The rows of everything below a repository, each over all repositories at once."""
-    ready = []
+def at_once(steps: list[Callable[[], T]]) -> list[T]:
+    """The results of all steps, run side by side; all are over before an error is raised."""
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(step)) for step in steps]
+    return [r.result() for r in running]
+
+
+def _repo_steps(spark, database, landing, scope, at, mode, spec, keep) -> list[Callable[[], Ready]]:
+    """What makes the rows of everything below a repository, each over all repositories at once."""
 
     def in_scope(texts: DataFrame) -> DataFrame:
         return texts.join(scope, ["org_name", "repo_name"])
 
-    if landing.repos is not None:
-        ready.append(Ready(repos.TABLE, keep(repos.repo_snapshot(in_scope(landing.repos), at.date()), "repos")))
-    if landing.contributors is not None:
+    def ready_repos() -> Ready:
+        return Ready(repos.TABLE, keep(repos.repo_snapshot(in_scope(landing.repos), at.date()), "repos"))
+
+    def ready_contributors() -> Ready:
         records = keep(contributors.contributor_records(in_scope(landing.contributors), at), "contributors")
         good, rejects = split_rejects(records, contributors.contributor_reject_reason())
 
-        def hold_contributors():
+        def hold():
             held = quarantine.held_rows(rejects, contributors.IDENTITIES, contributors.HELD, at)
             quarantine.settle(spark, f"{database}.{CONTRIBUTOR_REJECTS}", held, good, contributors.IDENTITIES)
 
-        ready.append(Ready(contributors.TABLE, contributors.contributor_rollup(good), rejects, hold_contributors))
-    if landing.pulls is not None:
+        return Ready(contributors.TABLE, contributors.contributor_rollup(good), rejects, hold)
+
+    def ready_pulls() -> Ready:
         # Fresh pulls first: only their details and reviews are parsed. All is frozen before it
         # is split, so that both halves see the same rows.
         fresh = keep(_fresh_pulls(spark, database, landing, in_scope, at, mode), "fresh")
@@ -158,13 +171,15 @@ def _ready_repos(spark, database, landing, scope, at, mode, spec, keep) -> list[
         if "pull_block" in spec[pulls.TABLE].partition_by:
             facts = pulls.in_blocks(facts)
 
-        def hold_pulls():
+        def hold():
             marks.advance_marks(facts, f"{database}.{MARKS}", MARK_GROUPS, MARK_FIELD)
             held = quarantine.held_rows(bad, pulls.IDENTITIES, pulls.HELD, at)
             quarantine.settle(spark, f"{database}.{PULL_REJECTS}", held, facts, pulls.IDENTITIES)
 
-        ready.append(Ready(pulls.TABLE, facts, bad, hold_pulls))
-    return ready
+        return Ready(pulls.TABLE, facts, bad, hold)
+
+    steps = {ready_repos: landing.repos, ready_contributors: landing.contributors, ready_pulls: landing.pulls}
+    return [step for step, texts in steps.items() if texts is not None]
 
 
 def _newest_landing(facts: DataFrame, keep) -> DataFrame:
@@ -177,13 +192,16 @@ def _newest_landing(facts: DataFrame, keep) -> DataFrame:
     return facts if twice.isEmpty() else keep(newest_per_key(facts, keys, MARK_FIELD), "newest")
 
 
-def _check(spark, database, ready: Ready, spec: MergeSpec) -> None:
-    """Whether the rows can be merged into their table."""
+def _checked(spark, database, step: Callable[[], Ready], specs: dict[str, MergeSpec]) -> Ready:
+    """Rows that can be merged into their table."""
+    ready = step()
+    spec = specs[ready.table]
     stored = catalog.read(spark, f"{database}.{ready.table}")
     if stored is not None:
         check_columns(stored, ready.rows, spec)
     if ready.table != pulls.TABLE:  # whose keys have been looked at
         check_unique(ready.rows, spec.keys)
+    return ready
 
 
 def delete_all(spark: SparkSession, database: str) -> DataFrame:

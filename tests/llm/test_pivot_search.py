@@ -9,22 +9,19 @@ from tidemark.llm.pivot_search import top_products
 
 
 def brute(rows, is_query, k=5, scale=256):
-    kept = {}
-    for i, v in rows:
-        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        w = [math.floor(scale * x) for x in v]
-        kept[i] = min(w, kept.get(i, w))
-    out = set()
-    for i, q in kept.items():
+    """Every row against every other row; rows that repeat an id are rows of their own."""
+    whole = [(i, v) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    kept = [(i, [math.floor(scale * x) for x in v]) for i, v in whole]
+    out = []
+    for at, (i, q) in enumerate(kept):
         if is_query(i):
-            scored = sorted((-sum(a * b for a, b in zip(q, v, strict=False)), j) for j, v in kept.items() if j != i)
-            out |= {(i, n + 1, j, -s) for n, (s, j) in enumerate(scored[:k])}
-    return out
+            scored = sorted((-sum(a * b for a, b in zip(q, v, strict=False)), j) for n, (j, v) in enumerate(kept) if n != at)
+            out += [(i, n + 1, j, -s) for n, (s, j) in enumerate(scored[:k])]
+    return sorted(out)
 
 
 def found(df):
-    return {tuple(r) for r in df.collect()}
+    return sorted(tuple(r) for r in df.collect())
 
 
 def test_whole_test_table(spark):
@@ -52,3 +49,21 @@ def test_odd_rows(spark):
     assert found(top_products(df, F.col("id") % 50 == 0)) == brute(rows, lambda i: i % 50 == 0)
     assert top_products(df.limit(0), F.col("id") % 50 == 0).count() == 0
     assert top_products(df.where("vec_id = 50"), F.col("id") % 50 == 0).count() == 0
+
+
+def test_rows_that_repeat_an_id(spark):
+    rng = random.Random(1)
+    rows = [(i % 40, [rng.gauss(0, 1) for _ in range(4)]) for i in range(200)] + [(0, [3.0] * 4)] * 7
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    assert found(top_products(df, F.col("id") % 10 == 0)) == brute(rows, lambda i: i % 10 == 0)
+
+
+def test_large_components(spark):
+    rng = random.Random(2)
+    rows = [(i, [round(rng.gauss(0, 1) * 10**6, 2) for _ in range(3)]) for i in range(120)]
+    rows += [(500 + i, [1e6 + i, 0.0, -1e6]) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    assert found(top_products(df, F.col("id") % 10 == 0)) == brute(rows, lambda i: i % 10 == 0)
+    for huge in (1e30, -1e300):
+        with pytest.raises(OverflowError, match="do not fit a bigint"):
+            top_products(spark.createDataFrame([(0, [huge]), (1, [1.0])], "vec_id bigint, embedding array<double>"), F.col("id") == 0)

@@ -17,9 +17,11 @@ vectors (or copies of one) is cut into chunks by hashed id, and queries travel t
 chunks in blocks.
 
 Defined results: vectors that are NULL or hold a NULL or non-finite component, and rows without
-id, take no part; a shorter vector counts as padded with zeros; rows that repeat an id count
-once, with the smallest vector; equal scores go to the smaller id; fewer than k others give
-fewer rows; extra columns are not looked at.
+id, take no part; a shorter vector counts as padded with zeros; rows that repeat an id are
+queries and candidates of their own, and only a query's own row is none of its candidates; equal
+scores go to the smaller id; fewer than k others give fewer rows; an empty table gives none; extra
+columns are not looked at. Products beyond 2^52 are computed exactly from limbs; where a product
+could pass 2^62 the operator raises, as Spark's ANSI arithmetic does.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import query, stage, table
+from tidemark.llm.vector_codes import exact_products
 
 PIVOTS = 64
 RINGS = 48
@@ -46,7 +49,7 @@ OPENING = 1024
 class Pivots:
     """Pivots with the extra component, and the squared length that all vectors share."""
 
-    def __init__(self, rows: list[list[int]], dim: int, longest: int):
+    def __init__(self, rows: list[list[int]], dim: int, longest: float):
         self.dim, self.longest = dim, longest
         self.points = self.raised(padded(rows, dim))
         self.width = max(1.0, 2 * np.sqrt(longest) / RINGS)
@@ -60,51 +63,51 @@ class Pivots:
         return np.sqrt(np.maximum(square, 0))
 
 
-def padded(rows: list, dim: int) -> np.ndarray:
-    m = np.zeros((len(rows), dim))
+def padded(rows: list, dim: int, kind: type = float) -> np.ndarray:
+    m = np.zeros((len(rows), dim), kind)
     for i, r in enumerate(rows):
         m[i, : len(r)] = r
     return m
 
 
 def usable_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(id, v): one row per id, components as floor(scale * x)."""
+    """(row, id, v): a number of its own for every row, components as floor(scale * x)."""
     finite = F.forall(F.col("x"), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    # Beyond any product that is allowed: such values are told by `longest` and never multiplied.
+    whole = lambda x: F.floor(F.greatest(F.least(x * scale, F.lit(2.0**62)), F.lit(-(2.0**62))))
     return (
         vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("x"))
         .where(F.col("id").isNotNull() & F.col("x").isNotNull())
         .where(finite)
-        .select("id", F.transform("x", lambda x: F.floor(x * scale)).alias("v"))
-        .groupBy("id")
-        .agg(F.min("v").alias("v"))
+        .select(F.monotonically_increasing_id().alias("row"), "id", F.transform("x", whole).alias("v"))
     )
 
 
 def keyed(vectors: DataFrame, pivots: Pivots) -> DataFrame:
-    """(id, v, pivot, ring, r): every vector under its nearest pivot."""
+    """(row, id, v, pivot, ring, r): every vector under its nearest pivot."""
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raised = pivots.raised(padded(batch.column(1).to_pylist(), pivots.dim))
+            raised = pivots.raised(padded(batch.column(2).to_pylist(), pivots.dim))
             d = pivots.distances(raised)
             nearest = d.argmin(axis=1)
             r = d[np.arange(len(d)), nearest]
             made = [pa.array(nearest, pa.int32()), pa.array(r // pivots.width, pa.int32()), pa.array(r, pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=["id", "v", "pivot", "ring", "r"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=["row", "id", "v", "pivot", "ring", "r"])
 
-    return vectors.mapInArrow(assign, "id bigint, v array<bigint>, pivot int, ring int, r double")
+    return vectors.mapInArrow(assign, "row bigint, id bigint, v array<bigint>, pivot int, ring int, r double")
 
 
 def build_index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256):
     """(pivots, rows keyed by ring in shared storage, rings on the driver)."""
     usable = stage(usable_vectors(vectors, id_col, vector_col, scale), "pivot-vectors")
-    square = F.aggregate("v", F.lit(0).cast("bigint"), lambda s, x: s + x * x)
-    facts = usable.agg(F.max(F.size("v")).alias("dim"), F.max(square).alias("longest"), F.max(F.array_max(F.transform("v", F.abs))).alias("most")).first()
-    dim = facts["dim"] or 0
-    if dim * (facts["most"] or 0) ** 2 >= 1 << 52:
-        raise ValueError("components are too large for exact products")
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
+    facts = usable.agg(F.max(F.size("v")).alias("dim"), F.max(square).alias("longest")).first()
+    dim, longest = facts["dim"] or 0, facts["longest"] or 0.0
+    if longest >= 2.0**62:
+        raise OverflowError("products of vectors that long do not fit a bigint")
     sample = usable.orderBy(F.xxhash64("id"), "id").limit(PIVOTS).collect()
-    pivots = Pivots([r["v"] for r in sample], dim, facts["longest"] or 0)
+    pivots = Pivots([r["v"] for r in sample], dim, longest)
     rows = stage(keyed(usable, pivots), "pivot-rows") if sample else None
     rings = [] if rows is None else rows.groupBy("pivot", "ring").agg(F.min("r").alias("low"), F.max("r").alias("high"), F.count("*").alias("n")).collect()
     return pivots, rows, sorted(rings, key=lambda r: (r["pivot"], r["ring"]))
@@ -144,7 +147,7 @@ def _visits(queries: DataFrame, pivots: Pivots, rings: list, k: int, first: bool
                     out["pivot"].append(rings[j]["pivot"])
                     out["ring"].append(rings[j]["ring"])
                     out["ids"].append(ids[rows].tobytes())
-                    out["q"].append(q[rows].astype(np.int32).tobytes())
+                    out["q"].append(q[rows].astype(np.int64).tobytes())
                     out["least"].append(least[rows].tobytes())
                 yield pa.RecordBatch.from_pydict(out, VISIT)
 
@@ -152,17 +155,17 @@ def _visits(queries: DataFrame, pivots: Pivots, rings: list, k: int, first: bool
 
 
 VISIT = pa.schema([("pivot", pa.int32()), ("ring", pa.int32()), ("ids", pa.binary()), ("q", pa.binary()), ("least", pa.binary())])
-CHUNKED = pa.schema([("pivot", pa.int32()), ("ring", pa.int32()), ("members", pa.binary()), ("m", pa.binary())])
+CHUNKED = pa.schema([("pivot", pa.int32()), ("ring", pa.int32()), ("rows", pa.binary()), ("members", pa.binary()), ("m", pa.binary())])
 
 
 def _chunks(rows: DataFrame, dim: int) -> DataFrame:
-    """The rows of a ring packed into matrices of at most CHUNK vectors."""
+    """The rows of a ring packed into matrices of at most CHUNK vectors, in order of their ids."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pivot, ring = (np.array(batch.column(i).to_pylist(), np.int32) for i in (2, 3))
-            ids = np.array(batch.column(0).to_pylist(), np.int64)
-            m = padded(batch.column(1).to_pylist(), dim).astype(np.int32)
+            pivot, ring = (np.array(batch.column(i).to_pylist(), np.int32) for i in (3, 4))
+            row, ids = (np.array(batch.column(i).to_pylist(), np.int64) for i in (0, 1))
+            m = padded(batch.column(2).to_pylist(), dim, np.int64)
             order = np.lexsort((ids, ring, pivot))
             cuts = np.flatnonzero(np.diff(pivot[order]) | np.diff(ring[order])) + 1
             out = {c: [] for c in CHUNKED.names}
@@ -171,40 +174,39 @@ def _chunks(rows: DataFrame, dim: int) -> DataFrame:
                     part = group[at : at + CHUNK]
                     out["pivot"].append(int(pivot[part[0]]))
                     out["ring"].append(int(ring[part[0]]))
+                    out["rows"].append(row[part].tobytes())
                     out["members"].append(ids[part].tobytes())
                     out["m"].append(m[part].tobytes())
             yield pa.RecordBatch.from_pydict(out, CHUNKED)
 
-    return rows.select("id", "v", "pivot", "ring").mapInArrow(pack, "pivot int, ring int, members binary, m binary")
+    return rows.select("row", "id", "v", "pivot", "ring").mapInArrow(pack, "pivot int, ring int, rows binary, members binary, m binary")
 
 
-def _scan(visits: DataFrame, chunks: DataFrame, dim: int, k: int) -> DataFrame:
-    """(query_id, vec_id, score): per query and chunk the best k, if they reach its least score."""
+def _scan(visits: DataFrame, chunks: DataFrame, dim: int, longest: float, k: int) -> DataFrame:
+    """(query, vec_id, score): per query row and chunk the best k, if they reach its least score."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids = np.frombuffer(row["ids"], np.int64)
-                members = np.frombuffer(row["members"], np.int64)
-                q = np.frombuffer(row["q"], np.int32).reshape(len(ids), dim).astype(float)
-                m = np.frombuffer(row["m"], np.int32).reshape(len(members), dim).astype(float)
-                score = q @ m.T
-                score[ids[:, None] == members] = -np.inf
-                score[score < np.frombuffer(row["least"])[:, None]] = -np.inf
-                # Members are in order of their ids, so that a stable sort sends ties to the smaller.
+                own, rows, members = (np.frombuffer(row[c], np.int64) for c in ("ids", "rows", "members"))
+                q = np.frombuffer(row["q"], np.int64).reshape(len(own), dim)
+                m = np.frombuffer(row["m"], np.int64).reshape(len(members), dim)
+                # No sum of products passes the greatest squared length.
+                score = (q.astype(float) @ m.T.astype(float)).astype(np.int64) if longest < 2.0**52 else exact_products(q, m)
+                taken = (own[:, None] != rows) & (score >= np.frombuffer(row["least"])[:, None])
                 if len(members) > 4 * k:
-                    kth = -np.partition(-score, k - 1, axis=1)[:, k - 1]
-                    score[score < kth[:, None]] = -np.inf
-                i, j = np.nonzero(score > -np.inf)
+                    kth = -np.partition(np.where(taken, -score, np.iinfo(np.int64).max), k - 1, axis=1)[:, k - 1]
+                    taken &= score >= kth[:, None]
+                i, j = np.nonzero(taken)
                 order = np.lexsort((members[j], -score[i, j], i))
                 i, j = i[order], j[order]
                 place = np.arange(len(i)) - np.searchsorted(i, i)
                 i, j = i[place < k], j[place < k]
-                made = [pa.array(ids[i]), pa.array(members[j]), pa.array(score[i, j].astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(made, names=["query_id", "vec_id", "score"])
+                made = [pa.array(own[i]), pa.array(members[j]), pa.array(score[i, j])]
+                yield pa.RecordBatch.from_arrays(made, names=["query", "vec_id", "score"])
 
     pairs = visits.join(chunks, ["pivot", "ring"]).drop("pivot", "ring")
-    return pairs.mapInArrow(scan, "query_id bigint, vec_id bigint, score bigint")
+    return pairs.mapInArrow(scan, "query bigint, vec_id bigint, score bigint")
 
 
 def top_products(
@@ -218,24 +220,27 @@ def top_products(
     pivots, rows, rings = build_index(vectors, id_col, vector_col, scale)
     if rows is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    queries = rows.where(is_query).select("id", "v")
-    # Rows of a ring meet in tasks of their own; hashed ids cut a ring too large for one.
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(max(1, sum(r["n"] for r in rings) // CHUNK))))
+    asked = rows.where(is_query)
+    queries = asked.select("row", "v")
+    # Rows of a ring meet in tasks of their own; hashed row numbers cut a ring too large for one.
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(max(1, sum(r["n"] for r in rings) // CHUNK))))
     chunks = stage(_chunks(salted.repartition("salt"), pivots.dim), "pivot-chunks")
     lowest = float("-inf")
-    opening = _scan(_visits(queries.withColumn("least", F.lit(lowest)), pivots, rings, k, True), chunks, pivots.dim, k)
+    opening = _scan(_visits(queries.withColumn("least", F.lit(lowest)), pivots, rings, k, True), chunks, pivots.dim, pivots.longest, k)
     opening = stage(_best(opening, k), "pivot-opening")
-    least = opening.groupBy(F.col("query_id").alias("id")).agg(F.count("*").alias("n"), F.min("score").alias("s"))
-    least = least.select("id", F.when(F.col("n") >= k, F.col("s").cast("double")).otherwise(F.lit(lowest)).alias("least"))
-    later = queries.join(least, "id", "left").select("id", "v", F.coalesce("least", F.lit(lowest)).alias("least"))
-    rest = _scan(_visits(later, pivots, rings, k, False), chunks, pivots.dim, k)
-    return _best(opening.select("query_id", "vec_id", "score").unionByName(rest), k)
+    least = opening.groupBy(F.col("query").alias("row")).agg(F.count("*").alias("n"), F.min("score").alias("s"))
+    least = least.select("row", F.when(F.col("n") >= k, F.col("s").cast("double")).otherwise(F.lit(lowest)).alias("least"))
+    later = queries.join(least, "row", "left").select("row", "v", F.coalesce("least", F.lit(lowest)).alias("least"))
+    rest = _scan(_visits(later, pivots, rings, k, False), chunks, pivots.dim, pivots.longest, k)
+    best = _best(opening.select("query", "vec_id", "score").unionByName(rest), k)
+    named = asked.select(F.col("row").alias("query"), F.col("id").alias("query_id"))
+    return best.join(named, "query").select("query_id", "rank", "vec_id", "score")
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order).cast("int"))
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return ranked.where(F.col("rank") <= k).select("query", "rank", "vec_id", "score")
 
 
 @query("op10_pivot_search")

@@ -100,3 +100,11 @@ def test_no_python_in_the_plan(spark, trained):
     docs = spark.createDataFrame([(1, "x")], "doc_id bigint, text string")
     plan = with_spans(docs, trained)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_fit_takes_all_documents(spark):
+    """A kind that only texts with the largest hashes hold has a threshold of its own."""
+    many = spark.range(24_000).selectExpr("concat('order ', 100000000000 + id * 977, ' shipped, ref x', id * 31, 'y') as text")
+    last = spark.range(8_000).selectExpr("concat('write to user', id, '@mail', id % 5, '.example.com now') as text").where("xxhash64(text) > 8800000000000000000")
+    assert 100 < last.count() < 1_000
+    assert KINDS.index("email") in fit_spans(many.unionByName(last)).thresholds

@@ -6,15 +6,15 @@ addresses, numbers with other separators or without country code. Boosted trees
 the format of the span and its context, not by the base pattern itself. They learn from the
 candidates alone: those that a base span lies in are positive (telephone numbers also without their country code), those that break the kind's own
 rules (check digit, ranges, counts, letters attached) are negative, all others are left out of
-the fit. A threshold per kind, the lowest whose precision on the other half of the sample is
+the fit. A threshold per kind, the lowest whose precision on the other half of the texts is
 at least ``PRECISION``, selects the spans that are added; of overlapping ones the first stays.
 
-Only DataFrame functions and the DataFrame API for trees are used; texts are not shuffled. The
-fit takes the candidates of at most ``SAMPLE`` documents, those with the smallest hashed texts
-(in a table of more than 50 times as many documents, of a hashed share of it).
+Only DataFrame functions and the DataFrame API for trees are used. The fit takes the candidates
+of all documents, those of equal texts once: texts with candidates are shuffled by their hash.
+Trees and thresholds see each distinct vector of features once, weighted by how often it occurs.
 
 Defined results: NULL and empty texts have no spans; offsets are code points, the end exclusive;
-repeated rows and NULL ids are treated row by row; if the sample lacks positive or negative
+repeated rows and NULL ids are treated row by row; if the texts lack positive or negative
 candidates, no span is added to the base; extra columns are carried, never confused.
 """
 
@@ -58,7 +58,6 @@ FEATURES = (
     "email", "ip", "card", "phone", "length", "digits", "letters", "separators", "groups", "longest_group", "shortest_group",
     "parens", "spelled", "luhn", "largest_part", "letter_before", "letter_after", "digit_near_before", "digit_near_after", "keyword",
 )
-SAMPLE = 20_000
 PRECISION = 0.98
 TREES, DEPTH = 12, 3
 SPAN = "array<struct<kind:int,start:int,stop:int,text:string>>"
@@ -215,34 +214,31 @@ def _tree_column(lines, f: Column) -> Column:
     return F.when(f[int(m[1])] <= float(m[2]), yes).otherwise(no)
 
 
-def fit_spans(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> SpanModel:
-    """Fit trees and thresholds on the candidates of at most ``sample`` documents."""
+def fit_spans(docs: DataFrame, text_col: str = "text") -> SpanModel:
+    """Fit trees and thresholds on the candidates of all documents, equal texts once."""
     texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    ordered = texts.withColumn("order", F.xxhash64("text"))
-    # Of a very large table a share by hash is searched for the sample, enough if one text in 50 has a candidate.
-    share = min(1.0, 50 * sample / max(1, docs.count()))
-    if share < 1:
-        ordered = ordered.where(F.pmod("order", F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    found = ordered.withColumn("spans", candidates(F.col("text"))).where(F.size("spans") > 0)
-    picked = found.dropDuplicates(["order"]).orderBy("order").limit(sample).repartition("order")
+    found = texts.withColumn("spans", candidates(F.col("text"))).where(F.size("spans") > 0)
+    distinct = found.withColumn("order", F.xxhash64("text")).dropDuplicates(["order"])
     labelled = (
-        picked.select("order", F.explode(judged(_with_national_forms(F.col("spans")), base_spans(F.col("text")), F.col("text"))).alias("s"))
+        distinct.select("order", F.explode(judged(_with_national_forms(F.col("spans")), base_spans(F.col("text")), F.col("text"))).alias("s"))
         .select("order", "s.label", F.col("s.x.kind").alias("kind"), F.col("s.x.f").alias("f"))
         .where("label is not null")
         .withColumn("fit", F.pmod(F.xxhash64("order", F.lit("half")), F.lit(2)) == 0)
-        .select("fit", "kind", "label", "f", array_to_vector("f").alias("features"))
+        .groupBy("fit", "kind", "label", "f")
+        .agg(F.count("*").cast("double").alias("n"))
+        .withColumn("features", array_to_vector("f"))
         .persist()
     )
     try:
         train = labelled.where("fit")
         if train.select("label").distinct().count() < 2:
             return SpanModel([], {})
-        model = GBTClassifier(labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=1).fit(train)
+        model = GBTClassifier(labelCol="label", weightCol="n", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=1).fit(train)
         trees = [(w, t.toDebugString.split("\n")[1:]) for w, t in zip(model.treeWeights, model.trees, strict=True)]
         spans = SpanModel(trees, {})
-        other = labelled.where("not fit").select("kind", (F.floor(spans.score(F.col("f")) * 10_000) / 10_000).alias("score"), "label")
+        other = labelled.where("not fit").select("kind", (F.floor(spans.score(F.col("f")) * 10_000) / 10_000).alias("score"), "label", "n")
         # At most 4 x 10,001 rows: scores are cut to four places.
-        counts = other.groupBy("kind", "score").agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect()
+        counts = other.groupBy("kind", "score").agg(F.sum(F.col("label") * F.col("n")).alias("good"), F.sum("n").alias("n")).collect()
     finally:
         labelled.unpersist()
     for kind in range(len(KINDS)):

@@ -73,3 +73,12 @@ def test_fixed_texts_as_documents(spark, library, monkeypatch):
         ids, decoded = model.encode_and_decode(t)
         assert [int(i) for i in ids.split(",")[:-1]] == library.encode(t)
         assert decoded == library.decode(library.encode(t))
+
+
+def test_last_match_from_a_position_is_the_longest():
+    text = "▁the▁internationalisation,▁the the"
+    longest = {}
+    for end, (back, p) in MODEL.automaton.iter(text):
+        assert text[end - back : end + 1] == p and back + 1 > len(longest.get(end - back, ""))
+        longest[end - back] = p
+    assert longest == {k: next(p for n in range(len(text), k, -1) if (p := text[k:n]) in MODEL.id) for k in longest}

@@ -60,9 +60,10 @@ class PieceModel:
         self.id = {self.piece[i]: i for i, k in kinds.items() if k == "normal"}
         self.score = {p: vocabulary.get_score(i) for p, i in self.id.items()}
         self.control = {i for i, k in kinds.items() if k == "control"}
+        self.shown = ["" if i in self.control else p.replace(BLANK, " ") for i, p in enumerate(self.piece)]
         self.automaton = ahocorasick.Automaton()
         for p in self.id:
-            self.automaton.add_word(p, p)
+            self.automaton.add_word(p, (len(p) - 1, p))
         self.automaton.make_automaton()
         # Prefixes of a piece that are pieces themselves, the longest first.
         self.shorter = {p: next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in self.id), "") for p in self.id}
@@ -113,10 +114,9 @@ class PieceModel:
         if n == 1:
             return self._ids(text)
         longest: list[str] = [""] * n
-        for end, p in self.automaton.iter(text):
-            start = end + 1 - len(p)
-            if len(p) > len(longest[start]):
-                longest[start] = p
+        # Ends come in order, so that the last piece from a position is the longest.
+        for end, (back, p) in self.automaton.iter(text):
+            longest[end - back] = p
         failed = 0
         placed: list[str] = []
         pos, token = 0, longest[0] or text[0]
@@ -182,8 +182,7 @@ class PieceModel:
             if run:
                 out.append(_utf8(bytes(run)))
                 run.clear()
-            if i not in self.control:
-                out.append(self.piece[i].replace(BLANK, " "))
+            out.append(self.shown[i])
         if run:
             out.append(_utf8(bytes(run)))
         return "".join(out).removeprefix(" ")

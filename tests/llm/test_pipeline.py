@@ -1,5 +1,6 @@
 import re
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 from test_decontamination import brute as brute_leaks
@@ -7,6 +8,7 @@ from test_near_copies import brute as brute_components
 from test_personal_data import base
 
 import corpus_pipeline
+from tidemark.llm.common import BATCH_CONF, BATCH_ROWS, ship_code
 from tidemark.llm.personal_data import KINDS
 from tidemark.llm.piece_encoding import model_proto
 from tidemark.llm.quality import fit_quality, score_quality
@@ -74,3 +76,17 @@ def test_odd_rows(spark, tmp_path, empty):
         assert k == 4 or docs.columns == columns
     kept = sorted((r.doc_id or 0, r.decoded) for r in docs.collect())
     assert kept == ([] if empty else [(0, ""), (0, "mail <EMAIL> now"), (1, rows[0][1]), (2, "")])
+
+
+def test_batches_for_python_are_small_unless_the_session_says(spark):
+    rows = lambda: {r.n for r in spark.range(3000, numPartitions=1).mapInArrow(lambda it: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in it), "n bigint").collect()}
+    was = spark.conf.getAll.get(BATCH_CONF)
+    try:
+        spark.conf.unset(BATCH_CONF)
+        ship_code(spark)
+        assert rows() == {BATCH_ROWS}
+        spark.conf.set(BATCH_CONF, "1500")
+        ship_code(spark)
+        assert rows() == {1500}
+    finally:
+        spark.conf.set(BATCH_CONF, was) if was else spark.conf.unset(BATCH_CONF)

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from tidemark.operators.incremental import fresh_records, high_water_marks
 from tidemark.operators.merge import MergeSpec, merge_actions, merge_decisions, merge_plan
 from tidemark.operators.policies import CONTRIBUTORS, EXPECTATIONS, PULLS, USERS
+from tidemark.plans.expectations import core_expectations
 from tidemark.plans.users import current_users
+from tidemark.queries.catalogue import legacy_docs, schema_docs
 from tidemark.sources import catalog
 
 
@@ -147,3 +149,24 @@ def test_partitioned_merge_lists_touched_folders(spark, database):
     assert picked.count() == 5
     plan = executed(picked)
     assert "PartitionFilters: []" not in plan and "PushedFilters: []" in plan
+
+
+@pytest.fixture
+def parts(spark, tmp_path):
+    """A folder whose ``part`` is one file of one row group."""
+    made = spark.range(100).selectExpr("id as p_partkey", "'a b' as p_name", "cast(id as int) as p_size")
+    made.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    return str(tmp_path)
+
+
+def test_expectation_texts_are_parsed_once(spark, parts):
+    core = core_expectations(schema_docs(spark, parts))
+    assert core._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+    assert core.filter("expectation_name = 'expect_a_b_7'").count() == 1
+
+
+def test_documents_of_one_row_group_are_dealt_to_all_cores(spark, parts):
+    for docs in (schema_docs(spark, parts), legacy_docs(spark, parts)):
+        tasks = docs.select(F.spark_partition_id().alias("task"), "value")
+        assert tasks.select("task").distinct().count() > 4
+        assert tasks.count() == 100

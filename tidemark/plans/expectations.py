@@ -27,8 +27,7 @@ def core_expectations(docs: DataFrame, column: str = "value") -> DataFrame:
 
     A list that is not one of texts is an error; one that is missing is NULL.
     """
-    doc = F.try_parse_json(column)
-    return _core(docs.select(F.col(column).alias("text"), *landed.picked_or_error(doc, FIELDS, "unreadable")))
+    return _core(landed.checked_fields(docs, column, FIELDS, "unreadable"))
 
 
 def stored_documents(docs: DataFrame, column: str = "value") -> DataFrame:

@@ -12,7 +12,7 @@ from tidemark.operators.merge import ACTION, merge_plan
 from tidemark.operators.policies import EXPECTATIONS
 from tidemark.operators.select import pad_union
 from tidemark.plans.expectations import core_expectations, core_of_documents, legacy_expectations, stored_documents, with_legacy
-from tidemark.queries.registry import query, scratch_database, table
+from tidemark.queries.registry import query, scratch_database, spread_table, table
 from tidemark.session import scratch_path
 from tidemark.sources import catalog, landed
 from tidemark.sources.staging import stage
@@ -23,7 +23,7 @@ ISSUES = ["Volume", "schema", "Uniqueness"]
 
 def schema_docs(spark, sf_dir, keep="true", size=None):
     """One schema document per part, below a path that carries its name."""
-    rows = table(spark, sf_dir, "part").filter(keep)
+    rows = spread_table(spark, sf_dir, "part").filter(keep)
     size = F.col("p_size") if size is None else size
     names = lambda values, n: F.slice(F.array(*[F.lit(v) for v in values]), 1, n)
     metadata = pack(
@@ -105,7 +105,7 @@ def legacy_docs(spark, sf_dir):
         TrinoExecutionEngine=F.col("p_size") % 7 == 0,
     )
     name = F.when(F.col("p_partkey") % 3 == 0, core_name).otherwise(old_name)
-    return table(spark, sf_dir, "part").select(
+    return spread_table(spark, sf_dir, "part").select(
         F.to_json(F.create_map(name, pack(execution_engines=engines))).alias("value")
     )
 

@@ -32,6 +32,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows become texts that are made and parsed: dealt to all cores, whatever the file's layout.
+
+    One task reads a whole row group, which may hold a million narrow rows. Adaptive execution
+    would put such rows back into few tasks by their bytes, so their number is given.
+    """
+    tasks = max(spark.sparkContext.defaultParallelism * 2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return table(spark, sf_dir, name).repartition(tasks)
+
+
 def scratch_database(spark) -> str:
     """A database of its own for one query's tables, kept in the scratch folder."""
     name = f"tidemark_{uuid.uuid4().hex}"

@@ -115,14 +115,30 @@ def document_keys(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 def picked_or_error(doc: Column, fields: Mapping[str, tuple[str, str]], message: str) -> list[Column]:
     """As ``document_fields``, but a field that is there with another type is an error."""
+    return [
+        _of_its_kind(F.try_variant_get(doc, path, kind), F.try_variant_get(doc, path, "variant"), name, kind, message)
+        for name, (path, kind) in fields.items()
+    ]
 
-    def picked(name: str, path: str, kind: str) -> Column:
-        value, found = F.try_variant_get(doc, path, kind), F.try_variant_get(doc, path, "variant")
-        wrong = found.isNotNull() & ~F.is_variant_null(found) & value.isNull()
-        error = F.raise_error(F.concat(F.lit(f"{message} {name}: "), F.left(found.cast("string"), F.lit(200))))
-        return F.when(wrong, error.cast(kind)).otherwise(value).alias(name)
 
-    return [picked(name, path, kind) for name, (path, kind) in fields.items()]
+def checked_fields(texts: DataFrame, column: str, fields: Mapping[str, tuple[str, str]], message: str) -> DataFrame:
+    """``text`` and its fields as by ``picked_or_error``; each text is parsed once, each path read once.
+
+    Every step is a projection of its own. In one expression over arrays, which Spark does not
+    compile, each mention of a field would parse the whole text again.
+    """
+    parsed = texts.select(F.col(column).alias("text"), F.try_parse_json(column).alias("doc"))
+    kinds = {name: kind for name, (_, kind) in fields.items()}
+    values = [F.try_variant_get("doc", path, kind).alias(f"value_{name}") for name, (path, kind) in fields.items()]
+    found = [F.try_variant_get("doc", path, "variant").alias(f"found_{name}") for name, (path, _) in fields.items()]
+    read = parsed.select("text", *values, *found)
+    return read.select("text", *[_of_its_kind(F.col(f"value_{n}"), F.col(f"found_{n}"), n, kind, message) for n, kind in kinds.items()])
+
+
+def _of_its_kind(value: Column, found: Column, name: str, kind: str, message: str) -> Column:
+    wrong = found.isNotNull() & ~F.is_variant_null(found) & value.isNull()
+    error = F.raise_error(F.concat(F.lit(f"{message} {name}: "), F.left(found.cast("string"), F.lit(200))))
+    return F.when(wrong, error.cast(kind)).otherwise(value).alias(name)
 
 
 def infer_schema(texts: DataFrame, column: str = "value") -> str:

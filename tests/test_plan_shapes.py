@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.incremental import fresh_records, high_water_marks
 from tidemark.operators.merge import MergeSpec, merge_actions, merge_decisions, merge_plan
 from tidemark.operators.policies import CONTRIBUTORS, EXPECTATIONS, PULLS, USERS
-from tidemark.plans.expectations import core_expectations
+from tidemark.plans.expectations import core_expectations, legacy_expectations, with_legacy
 from tidemark.plans.users import current_users
 from tidemark.queries.catalogue import legacy_docs, schema_docs
 from tidemark.sources import catalog
@@ -170,3 +170,9 @@ def test_documents_of_one_row_group_are_dealt_to_all_cores(spark, parts):
         tasks = docs.select(F.spark_partition_id().alias("task"), "value")
         assert tasks.select("task").distinct().count() > 4
         assert tasks.count() == 100
+
+
+def test_both_catalogues_are_parsed_before_they_are_sorted(spark, parts):
+    both = with_legacy(core_expectations(schema_docs(spark, parts)), legacy_expectations(legacy_docs(spark, parts)))
+    assert both.count() == 166
+    assert "json" not in both._jdf.queryExecution().optimizedPlan().toString().lower()

@@ -9,6 +9,7 @@ from tidemark.functions.nested import engine_classes, sorted_lower, true_keys
 from tidemark.functions.text import underscored
 from tidemark.operators.select import stack_by_position
 from tidemark.sources import landed
+from tidemark.sources.staging import stage
 
 TABLE = "expectations"
 
@@ -72,6 +73,10 @@ def legacy_expectations(docs: DataFrame, column: str = "value") -> DataFrame:
 
 
 def with_legacy(core: DataFrame, legacy: DataFrame) -> DataFrame:
-    """Legacy names the core set lacks, then the core set; current ones first."""
+    """Legacy names the core set lacks, then the core set; current ones first.
+
+    Both are staged: the core set is read for its names too, and sorting reads all rows twice.
+    """
+    core, legacy = stage(core, "core"), stage(legacy, "legacy")
     gone = legacy.join(core.select("expectation_name").distinct(), "expectation_name", "left_anti")
     return stack_by_position(gone, core).orderBy("deprecated", "expectation_name")

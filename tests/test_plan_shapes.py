@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 from tidemark.operators.incremental import fresh_records, high_water_marks
 from tidemark.operators.merge import MergeSpec, merge_actions, merge_decisions, merge_plan
 from tidemark.operators.policies import CONTRIBUTORS, EXPECTATIONS, PULLS, USERS
+from tidemark.plans import pulls as pull_plans
+from tidemark.plans import workflow
 from tidemark.plans.expectations import core_expectations, legacy_expectations, with_legacy
 from tidemark.plans.users import current_users
 from tidemark.queries.catalogue import legacy_docs, schema_docs
+from tidemark.queries.tables import landing_of
 from tidemark.sources import catalog
+from tidemark.sources.staging import stage
 
 
 def executed(df) -> str:
@@ -176,3 +180,36 @@ def test_both_catalogues_are_parsed_before_they_are_sorted(spark, parts):
     both = with_legacy(core_expectations(schema_docs(spark, parts)), legacy_expectations(legacy_docs(spark, parts)))
     assert both.count() == 166
     assert "json" not in both._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_judged_pulls_are_read_not_worked_out_again(spark):
+    page = '[{"id": 1, "number": 1, "user": {"id": 7}, "updated_at": "2024-01-01T00:00:00Z"}, {"id": 2, "number": 2}]'
+    ids = "org_id string, org_name string, repo_id string, repo_name string"
+    pages = spark.createDataFrame([("1", "org", "2", "repo", page)], f"{ids}, page string")
+    empty = lambda body: spark.createDataFrame([], f"repo_id string, pull_number string, {body} string")
+    rows_of_run = pull_plans.pull_rows(pull_plans.pull_records(pages))
+    detailed = pull_plans.with_details(
+        rows_of_run, pull_plans.pull_details(empty("detail")), pull_plans.pull_reviews(empty("reviews"))
+    )
+    facts, bad = workflow._judged_pulls(detailed, stage)
+    assert rows(facts, "pull_id") == [("1",)]
+    assert rows(bad, "pull_id", "reject_reason") == [("2", "missing author")]
+    plan = facts._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" not in plan and "exists" not in plan
+    assert "exists" not in bad._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_landed_orders_of_one_row_group_are_dealt_to_all_cores(spark, parts):
+    made = {
+        "nation": ["id as n_nationkey", "'n' || id as n_name", "0L as n_regionkey"],
+        "region": ["id as r_regionkey", "'r' || id as r_name"],
+        "customer": ["id as c_custkey", "id % 10 as c_nationkey"],
+        "events": ["id as user_id", "timestamp_ntz '2024-01-01 00:00:00' as ts"],
+        "orders": ["id as o_orderkey", "id % 100 as o_custkey", "'O' as o_orderstatus", "'x' as o_orderpriority", "timestamp_ntz '2024-01-01 00:00:00' as o_orderdate"],
+    }
+    for name, columns in made.items():
+        spark.range(10_000 if name == "orders" else 100).selectExpr(*columns).coalesce(1).write.parquet(f"{parts}/{name}.parquet")
+    landing = landing_of(spark, parts)
+    for texts in (landing.pulls, landing.details):
+        assert texts.count() == 10_000
+        assert "RoundRobinPartitioning" in executed(texts)

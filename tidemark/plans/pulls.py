@@ -146,7 +146,17 @@ def pull_reject_reason() -> Column:
 
 def pull_facts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(typed pull rows, rejects) from rows with details. Empty lists become NULL."""
-    good, rejects = split_rejects(rows, pull_reject_reason())
+    return judged_facts(with_reason(rows))
+
+
+def with_reason(rows: DataFrame) -> DataFrame:
+    """Rows with details and why each cannot be stored, NULL if it can."""
+    return rows.withColumn("reject_reason", pull_reject_reason())
+
+
+def judged_facts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``pull_facts`` of rows whose reason is a column already."""
+    good, rejects = split_rejects(rows, F.col("reject_reason"))
     return typed_pulls(good), rejects
 
 

@@ -38,8 +38,7 @@ def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     One task reads a whole row group, which may hold a million narrow rows. Adaptive execution
     would put such rows back into few tasks by their bytes, so their number is given.
     """
-    tasks = max(spark.sparkContext.defaultParallelism * 2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return table(spark, sf_dir, name).repartition(tasks)
+    return table(spark, sf_dir, name).repartition(2 * spark.sparkContext.defaultParallelism)
 
 
 def scratch_database(spark) -> str:

@@ -22,7 +22,7 @@ from tidemark.plans.pulls import in_blocks
 from tidemark.plans.workflow import PULL_REJECTS, Landing, run_all
 from tidemark.queries.activity import api_time
 from tidemark.queries.catalogue import schema_docs
-from tidemark.queries.registry import query, scratch_database, table
+from tidemark.queries.registry import query, scratch_database, spread_table, table
 from tidemark.session import scratch_path
 from tidemark.sources import catalog, marks, quarantine
 from tidemark.sources.staging import sql_over, stage
@@ -392,7 +392,7 @@ def landing_of(spark, sf_dir, keep: str = "true", late: str = "false", authors:
 
     customer = table(spark, sf_dir, "customer")
     orders = (
-        table(spark, sf_dir, "orders")
+        spread_table(spark, sf_dir, "orders")
         .filter(keep)
         .join(customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
         .join(named, F.col("c_nationkey") == F.col("n_nationkey"))

@@ -3,7 +3,9 @@ from collections import defaultdict
 
 import pytest
 
-from tidemark.llm.decontamination import CONSISTENCY, COVERAGE, UNITS, drop_leaks, find_leaks
+from pyspark.sql import functions as F
+
+from tidemark.llm.decontamination import CONSISTENCY, COVERAGE, NAMES, UNITS, WINDOW, _windows, drop_leaks, find_leaks, words
 
 ITEM = "If Anna walks 12 km in 3 hours then how far does Anna walk in 5 hours at the same speed?"
 MOVED = "So if Bert walks 30 km in 4 hours then how far does Bert walk in 9 hours at the same speed? Yes."
@@ -133,3 +135,34 @@ def test_names_that_open_sentences_other_case_and_short_items(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = found(find_leaks(docs, spark.createDataFrame(items, "item_id bigint, text string")))
     assert got == {(k, 1) for k in range(1, 6)} | {(7, 2), (8, 3), (9, 4)}
+
+
+def test_texts_are_cut_into_words_once_for_each_form(spark, benchmark, tmp_path):
+    spark.createDataFrame([(1, ITEM)], "doc bigint, text string").write.parquet(f"{tmp_path}/docs")
+    hashed = _windows(spark.read.parquet(f"{tmp_path}/docs"), "doc", lengths=(2,))
+    plan = hashed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 + len(NAMES)
+    assert "array_distinct" not in plan
+
+
+def test_words_with_any_white_space_and_punctuation(spark):
+    texts = ["", " ", "a", " a  b\t", "\ta \n b\x00c\x0b", "a - b", "- a", "a -", "a\n", "a \x00 b", "Don't (STOP) a_b ~x~ [1] {2} ^3 `4` \\5 |", "é\u2028ß\u00a0ü “q” —", "a    b \r\n\r\n c"]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    got = spark.createDataFrame(rows, "k int, t string").select("k", words(F.col("t")).alias("w")).collect()
+
+    def cut(text):
+        return re.sub(r"[\x00 \t\n\x0b\f\r]+", " ", re.sub(r"[!-/:-@\[-`{-~]+", "", text.lower())).strip(" ").split(" ")
+
+    assert {r.k: r.w for r in got} == {k: cut(t) for k, t in rows}
+
+
+def test_windows_have_one_row_for_each_different_form(spark):
+    rows = [(1, "so then Bert has five pens"), (2, "all in small letters here"), (3, "One Two"), (4, ""), (5, "x")]
+    docs = spark.createDataFrame(rows, "doc bigint, text string")
+    counts = {}
+    for r in _windows(docs, "doc", lengths=(2,)).collect():
+        counts.setdefault((r.doc, r.at), []).append(r.hash)
+    assert all(len(set(h)) == len(h) for h in counts.values())
+    # Windows of five words and of two; a name inside a sentence gives two forms, one that opens it too.
+    want = {(1, 0): 2 + 1, (1, 1): 2 + 2, (1, 2): 2, (1, 3): 1, (1, 4): 1, (2, 0): 2, (2, 1): 1, (2, 2): 1, (2, 3): 1, (3, 0): 3}
+    assert {k: len(h) for k, h in counts.items()} == want and WINDOW == 5

@@ -30,6 +30,9 @@ different items of one id; extra columns are not looked at.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,25 +65,33 @@ def placeholders(text: Column, names: str | None = NAMES[0]) -> Column:
 
 def words(text: Column) -> Column:
     """Lower-cased words without ASCII punctuation."""
-    plain = F.regexp_replace(F.lower(text), r"[!-/:-@\[-`{-~]++", "")
-    return F.split(F.trim(F.regexp_replace(plain, r"[\x00\s]++", " ")), " ")
+    plain = F.regexp_replace(F.lower(text), r"\p{Punct}++", "")
+    # Single spaces, which are most, stay as they are and need no replacement.
+    return F.split(F.trim(F.regexp_replace(plain, r"[\x00\s](?<! (?![\x00\s]))[\x00\s]*+", " ")), " ")
 
 
 def _forms(rows: DataFrame, *keep: str) -> DataFrame:
     """One row per place of a text, with its words and their forms."""
     forms = [words(placeholders(F.col("text"), names)).alias(f"form{i}") for i, names in enumerate(NAMES)]
     worded = rows.select(*keep, words(F.col("text")).alias("plain"), *forms)
-    return worded.select("*", F.posexplode("plain").alias("at", "word"))
+    # Every text has a word, if an empty one. Without "outer", Spark infers a filter that cuts all texts once more.
+    return worded.select("*", F.posexplode_outer("plain").alias("at", "word"))
 
 
 def _windows(rows: DataFrame, *keep: str, lengths: tuple[int, ...] = ()) -> DataFrame:
     """One row per place and different form of a window of five words, or of the ``lengths`` too: its hash, place and words."""
     # No lambdas here: they would break the generated code and copy the text's arrays for every place.
-    made = []
+    # Nor array_distinct, which makes a set for every place.
+    hashes, different = [], []
     for length in (WINDOW, *lengths):
-        hashes = [F.xxhash64(*[F.get(f"form{i}", F.col("at") + k) for k in range(length)]) for i in range(len(NAMES))]
-        made.append(F.when(F.col("at") <= F.size("plain") - length, F.array(*hashes)).otherwise(F.array().cast("array<bigint>")))
-    return _forms(rows, *keep).select(*keep, "plain", "at", F.explode(F.array_distinct(F.concat(*made))).alias("hash"))
+        fits = F.col("at") <= F.size("plain") - length
+        made = [f"hash{length}_{i}" for i in range(len(NAMES))]
+        for i, name in enumerate(made):
+            hashes.append(F.when(fits, F.xxhash64(*[F.get(f"form{i}", F.col("at") + k) for k in range(length)])).alias(name))
+            others = [F.col(name) != F.col(other) for other in made[:i]]
+            different.append(F.when(reduce(and_, others), F.col(name)) if others else F.col(name))
+    hashed = _forms(rows, *keep).select(*keep, "plain", "at", *hashes)
+    return hashed.select(*keep, "plain", "at", F.explode(F.array(*different)).alias("hash")).where(F.col("hash").isNotNull())
 
 
 def _slice(column: str) -> Column:
